@@ -1,0 +1,73 @@
+"""The physical plans keep the properties that matter on large inputs."""
+
+from datetime import date
+
+import pytest
+
+import tillhouse as th
+from tillhouse.schemas import DIM_PRODUCTS, LOGISTICS, ORDER_LINES, PRODUCTS, RAW_ORDERS
+from tillhouse.session import size_settings
+
+DAY = date(2025, 10, 1)
+
+
+@pytest.fixture
+def stored(spark, staging):
+    def make(schema, rows=()):
+        return staging.save(spark.createDataFrame(list(rows), schema), "input")
+
+    return make
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_flatten_is_narrow_and_reads_only_used_fields(stored):
+    lines = th.flatten_orders(stored(RAW_ORDERS))
+    assert "Exchange" not in plan(lines)
+    pruned = plan(lines.select("sales_quantity"))
+    assert "items:array<struct<sales_quantity:bigint>>" in pruned
+
+
+def test_delivery_facts_are_narrow(stored):
+    assert "Exchange" not in plan(th.delivery_facts(stored(LOGISTICS)))
+
+
+def test_rfm_base_combines_before_both_shuffles(stored):
+    text = plan(th.rfm_base(stored(ORDER_LINES), DAY))
+    assert "SinglePartition" not in text
+    assert "hashpartitioning(customer_id" in text and "order_id" in text
+    assert text.count("HashAggregate") == 4
+    assert "SortAggregate" not in text
+
+
+def test_scores_are_a_projection_over_the_staged_base(stored, staging):
+    rows = [(f"{i}_1", i, i, "2025-01-01", "paid", 1, 1, float(i)) for i in range(50)]
+    text = plan(th.rfm(stored(ORDER_LINES, rows), DAY, staging=staging))
+    assert "Exchange" not in text and "Window" not in text
+
+
+@pytest.mark.parametrize(("policy", "join"), [("safe", "FullOuter"), ("reference", "LeftOuter")])
+def test_scd2_joins_once_with_the_filter_in_the_scan(spark, stored, policy, join):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(th.classify(th.current_rows(stored(DIM_PRODUCTS)), stored(PRODUCTS), DAY, policy))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert text.count("Join [") == 1 and join in text
+    assert "EqualTo(dw_end_date,9999-12-31)" in text
+    assert "IsNotNull(product_id)" in text and "IsNull(product_id)" in text
+    assert "SinglePartition" not in text
+
+
+def test_dense_keys_broadcast_only_partition_offsets(spark, stored, staging):
+    df = stored("id bigint", [(i,) for i in range(100)])
+    text = plan(th.dense_key(df, ["id"], 0, "key", staging))
+    assert "SinglePartition" not in text
+    assert "BroadcastHashJoin" in text and "LocalTableScan [_part" in text
+
+
+def test_shuffle_partitions_follow_the_data():
+    assert size_settings(0, 8)["spark.sql.shuffle.partitions"] == "16"
+    assert size_settings(20 << 40, 8000)["spark.sql.shuffle.partitions"] == "81920"

@@ -1,0 +1,220 @@
+import random
+from collections import Counter
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+import tillhouse as th
+from tillhouse.operators.scd2 import ACTION, OPEN_END
+from tillhouse.schemas import DIM_PRODUCTS, PRODUCTS, conform
+from tillhouse.sinks import VersionedTable
+
+D1, D2, D3 = date(2025, 1, 1), date(2025, 1, 2), date(2025, 1, 3)
+
+
+def snapshot(spark, *rows):
+    full = [(r[0], "c", "s", r[1], r[2] if len(r) > 2 else "d") for r in rows]
+    return spark.createDataFrame(full, PRODUCTS)
+
+
+def empty_dim(spark):
+    return spark.createDataFrame([], DIM_PRODUCTS)
+
+
+def merge(staging, dim, snap, day, policy):
+    """The next dimension as stored, without actions."""
+    merged = th.scd2_merge(dim, snap, day, policy, staging=staging)
+    return staging.save(conform(merged.drop(ACTION), DIM_PRODUCTS), "dim")
+
+
+def versions(dim):
+    return Counter((r.product_id, r.product_price, r.dw_start_date, r.dw_end_date) for r in dim.collect())
+
+
+def keys_are_unique(dim):
+    keys = [r.product_key for r in dim.collect()]
+    return None not in keys and len(keys) == len(set(keys))
+
+
+REFERENCE_RUNS = [
+    [(1, "10"), (2, "20"), (3, None), (4, "40"), (None, "5"), (6, "6"), (7, "7.0")],
+    [(1, "10"), (2, "21"), (3, "30"), (6, None), (None, "5"), (7, "7.00"), (8, "8"), (8, "9")],
+    [(1, "10"), (2, "21"), (8, "8")],
+]
+
+
+def test_reference_policy_over_three_runs(spark, staging):
+    dim = empty_dim(spark)
+    results = []
+    for day, rows in zip((D1, D2, D3), REFERENCE_RUNS, strict=True):
+        dim = merge(staging, dim, snapshot(spark, *rows), day, "reference")
+        assert keys_are_unique(dim)
+        results.append(versions(dim))
+    assert results[0] == Counter((p, v, D1, OPEN_END) for p, v in REFERENCE_RUNS[0])
+    assert results[1] == Counter(
+        [
+            (1, "10", D1, OPEN_END),
+            (2, "20", D1, D2),
+            (2, "21", D2, OPEN_END),
+            (7, "7.0", D1, D2),
+            (7, "7.00", D2, OPEN_END),
+            (8, "8", D2, OPEN_END),
+            (8, "9", D2, OPEN_END),
+            (None, "5", D2, OPEN_END),
+            (None, None, D2, OPEN_END),
+        ]
+    )
+    assert results[2] == Counter(
+        [
+            (1, "10", D1, OPEN_END),
+            (2, "21", D2, OPEN_END),
+            (8, "8", D2, OPEN_END),
+            (8, "9", D2, D3),
+            (8, "8", D3, OPEN_END),
+            (None, None, D3, OPEN_END),
+            (None, None, D3, OPEN_END),
+        ]
+    )
+
+
+def test_safe_policy_over_three_runs(spark, staging):
+    first = snapshot(spark, (1, "10"), (2, "20"), (3, None), (4, "40"), (6, "6"), (7, "7.0"), (9, None))
+    second = snapshot(spark, (1, "10"), (2, "21"), (3, "30"), (6, None), (7, "7.00"), (8, "8"), (9, None))
+    dim = merge(staging, empty_dim(spark), first, D1, "safe")
+    dim = merge(staging, dim, second, D2, "safe")
+    after_second = Counter(
+        [
+            (1, "10", D1, OPEN_END),
+            (2, "20", D1, D2),
+            (2, "21", D2, OPEN_END),
+            (3, None, D1, D2),
+            (3, "30", D2, OPEN_END),
+            (4, "40", D1, D2),
+            (6, "6", D1, D2),
+            (6, None, D2, OPEN_END),
+            (7, "7.0", D1, OPEN_END),
+            (8, "8", D2, OPEN_END),
+            (9, None, D1, OPEN_END),
+        ]
+    )
+    assert versions(dim) == after_second
+    again = merge(staging, dim, second, D2, "safe")
+    assert Counter(again.collect()) == Counter(dim.collect())
+    third = merge(staging, dim, first, D3, "safe")
+    assert keys_are_unique(third)
+    returned = {(r.product_id, r.product_price, r.dw_start_date) for r in th.current_rows(third).collect()}
+    assert (4, "40", D3) in returned and (2, "20", D3) in returned and (7, "7.0", D1) in returned
+    closed = versions(dim.where(F.col("dw_end_date") != F.lit(OPEN_END)))
+    assert not closed - versions(third)
+
+
+@pytest.mark.parametrize("policy", ["safe", "reference"])
+def test_other_attributes_are_not_compared(spark, staging, policy):
+    dim = merge(staging, empty_dim(spark), snapshot(spark, (1, "10", "old text")), D1, policy)
+    dim = merge(staging, dim, snapshot(spark, (1, "10", "new text")), D2, policy)
+    assert [r.product_description for r in dim.collect()] == ["old text"]
+
+
+def test_several_tracked_columns(spark, staging):
+    dim = merge(staging, empty_dim(spark), snapshot(spark, (1, "10", "a"), (2, "5", None)), D1, "safe")
+    merged = th.scd2_merge(
+        dim,
+        snapshot(spark, (1, "10.0", "b"), (2, "5", None)),
+        D2,
+        tracked=("product_price", "product_description"),
+        staging=staging,
+    )
+    assert Counter((r.product_id, r.action) for r in merged.collect()) == Counter(
+        [(1, "expired"), (1, "new_version"), (2, "unchanged")]
+    )
+
+
+def test_text_that_is_no_number_is_compared_as_text(spark, staging):
+    dim = merge(staging, empty_dim(spark), snapshot(spark, (1, "ask"), (2, "ask")), D1, "safe")
+    merged = th.scd2_merge(dim, snapshot(spark, (1, "call"), (2, "ask")), D2, staging=staging)
+    assert {(r.product_id, r.action) for r in merged.collect()} == {
+        (1, "expired"),
+        (1, "new_version"),
+        (2, "unchanged"),
+    }
+
+
+def test_a_second_change_on_one_day_keeps_an_empty_version(spark, staging):
+    dim = merge(staging, empty_dim(spark), snapshot(spark, (1, "10")), D1, "safe")
+    dim = merge(staging, dim, snapshot(spark, (1, "11")), D1, "safe")
+    assert versions(dim) == Counter([(1, "10", D1, D1), (1, "11", D1, OPEN_END)])
+
+
+def test_safe_policy_rejects_repeated_keys(spark, staging):
+    dim = merge(staging, empty_dim(spark), snapshot(spark, (1, "10")), D1, "safe")
+    with pytest.raises(th.DuplicateKeyError, match="2 times in the snapshot"):
+        th.scd2_merge(dim, snapshot(spark, (1, "10"), (1, "11")), D2, staging=staging)
+    with pytest.raises(th.DuplicateKeyError, match="2 times in the dimension"):
+        th.scd2_merge(dim.unionAll(dim), snapshot(spark, (1, "10")), D2, staging=staging)
+
+
+def test_safe_policy_leaves_rows_without_key_out(spark, staging):
+    snap = snapshot(spark, (1, "10"), (None, "5"))
+    dim = merge(staging, empty_dim(spark), snap, D1, "safe")
+    assert [r.product_id for r in dim.collect()] == [1]
+    assert [r.product_price for r in th.quarantine(snap).collect()] == ["5"]
+
+
+def test_safe_policy_closes_rows_without_key_it_inherits(spark, staging):
+    dim = merge(staging, empty_dim(spark), snapshot(spark, (1, "10"), (None, "5")), D1, "reference")
+    dim = merge(staging, dim, snapshot(spark, (1, "10")), D2, "safe")
+    assert versions(dim) == Counter([(1, "10", D1, OPEN_END), (None, "5", D1, D2)])
+
+
+def test_safe_policy_refuses_a_run_date_in_the_past(spark, staging):
+    dim = merge(staging, empty_dim(spark), snapshot(spark, (1, "10")), D2, "safe")
+    with pytest.raises(ValueError, match="before the newest"):
+        th.scd2_merge(dim, snapshot(spark, (1, "10")), D1, staging=staging)
+
+
+def test_unknown_policy(spark):
+    with pytest.raises(ValueError, match="policy"):
+        th.classify(empty_dim(spark), snapshot(spark, (1, "1")), D1, "strict")
+
+
+def test_run_date_defaults_to_today(spark, staging):
+    dim = merge(staging, empty_dim(spark), snapshot(spark, (1, "10")), None, "safe")
+    today = spark.range(1).select(F.current_date().alias("d")).first().d
+    assert dim.first().dw_start_date == today
+
+
+def test_keys_never_collide_over_runs(spark, staging):
+    dim = empty_dim(spark)
+    for run in range(1, 5):
+        snap = snapshot(spark, *[(i, str(i)) for i in range(run * 10)])
+        dim = merge(staging, dim, snap, date(2025, 1, run), "safe")
+        assert sorted(r.product_key for r in dim.collect()) == list(range(run * 10))
+
+
+@pytest.mark.parametrize("seed", [11, 12])
+def test_safe_invariants_on_random_snapshots(spark, staging, seed):
+    rng = random.Random(seed)
+    dim = empty_dim(spark)
+    for run in range(1, 5):
+        rows = [(i, rng.choice([None, "1", "1.0", "2", "x"])) for i in range(30) if rng.random() < 0.7]
+        before = dim.collect()
+        dim = merge(staging, dim, snapshot(spark, *rows), date(2025, 1, run), "safe")
+        after = dim.collect()
+        assert keys_are_unique(dim)
+        still_open = [r for r in after if r.dw_end_date == OPEN_END]
+        assert sorted(r.product_id for r in still_open) == sorted(i for i, _ in rows)
+        closed = Counter(r for r in before if r.dw_end_date != OPEN_END)
+        assert not closed - Counter(after)
+        for product in {r.product_id for r in after}:
+            spans = sorted((r.dw_start_date, r.dw_end_date) for r in after if r.product_id == product)
+            assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+
+
+def test_each_run_rebuilds_the_published_dimension_from_itself(spark, staging):
+    table = VersionedTable(spark, staging.path("products"), DIM_PRODUCTS)
+    for day, price in ((D1, "10"), (D2, "11"), (D3, "11")):
+        merged = th.scd2_merge(table.read(), snapshot(spark, (1, price)), day, staging=staging)
+        table.publish(merged.drop(ACTION))
+    assert versions(table.read()) == Counter([(1, "10", D1, D2), (1, "11", D2, OPEN_END)])
+    assert table.versions() == [1, 2, 3]

@@ -1,0 +1,140 @@
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from tillhouse import schemas, sinks, storage
+from tillhouse.schemas import CUSTOMERS, DIM_PRODUCTS, ORDER_LINES, conform
+from tillhouse.sinks import VersionedTable
+from tillhouse.staging import Staging, shared_root
+
+
+def people(spark, *ids):
+    return spark.createDataFrame([(i, 30, "F", "A", 0) for i in ids], CUSTOMERS)
+
+
+def test_conform_casts_orders_and_matches_case(spark):
+    df = spark.sql("SELECT 1L AS CUSTOMER_ID, 'A' AS city, 'F' AS gender, 30L AS age, 5 AS registration_date, 1 AS extra")
+    assert schemas.same_columns(conform(df, CUSTOMERS).schema, CUSTOMERS)
+
+
+def test_conform_refuses_missing_columns_and_overflow(spark):
+    with pytest.raises(PySparkException):
+        conform(spark.range(1), CUSTOMERS)
+    big = people(spark, 1).withColumn("age", F.lit(2**40))
+    with pytest.raises(PySparkException):
+        conform(big, CUSTOMERS).collect()
+
+
+def test_a_table_without_versions_is_empty(spark, staging):
+    table = VersionedTable(spark, staging.path("t"), CUSTOMERS)
+    assert table.current() is None
+    assert table.read().collect() == [] and table.read().schema == CUSTOMERS
+
+
+def test_an_unpublished_version_is_ignored_and_its_number_not_reused(spark, staging):
+    table = VersionedTable(spark, staging.path("t"), CUSTOMERS)
+    table.publish(people(spark, 1))
+    table.write(people(spark, 1, 2))  # the run ends before publishing
+    assert table.read().count() == 1
+    folder = table.publish(people(spark, 1, 2, 3))
+    assert folder.endswith("version-00000003")
+    assert table.read().count() == 3
+
+
+def test_a_failing_run_leaves_the_published_version(spark, staging):
+    table = VersionedTable(spark, staging.path("t"), CUSTOMERS)
+    table.publish(people(spark, 1))
+    broken = table.read().withColumn("age", F.raise_error(F.lit("bad row")).cast("int"))
+    with pytest.raises(PySparkException):
+        table.publish(broken)
+    assert table.read().count() == 1
+
+
+def test_damaged_files_are_no_first_run(spark, staging, tmp_path):
+    path = tmp_path / "t"
+    table = VersionedTable(spark, str(path), CUSTOMERS)
+    folder = table.publish(people(spark, 1, 2))
+    for file in (path / folder.rsplit("/", 1)[1]).glob("part-*"):
+        file.write_bytes(b"not parquet")
+    with pytest.raises(Exception, match="not a Parquet file"):
+        table.read().collect()
+
+
+def test_verification_notices_lost_rows(spark, staging):
+    table = VersionedTable(spark, staging.path("t"), CUSTOMERS)
+    folder = table.write(people(spark, 1, 2))
+    with pytest.raises(RuntimeError, match="holds 2 rows, 3 were written"):
+        table._verify(folder, 3)
+    with pytest.raises(RuntimeError, match="has columns"):
+        VersionedTable(spark, table.path, DIM_PRODUCTS)._verify(folder, 2)
+
+
+def test_external_table_survives_unless_replaced(spark, staging):
+    one, two = staging.path("one"), staging.path("two")
+    sinks.replace_parquet(people(spark, 1), one)
+    sinks.replace_parquet(people(spark, 1, 2), two)
+    sinks.create_external_table(spark, "people", CUSTOMERS, one, replace=True)
+    sinks.create_external_table(spark, "people", CUSTOMERS, two)
+    assert spark.table("people").count() == 1
+    sinks.create_external_table(spark, "people", CUSTOMERS, two, replace=True)
+    assert spark.table("people").count() == 2
+    sinks.point_table(spark, "people", one)
+    assert spark.table("people").count() == 1
+    assert spark.catalog.getTable("people").tableType == "EXTERNAL"
+    sinks.drop_table(spark, "people")
+    sinks.drop_table(spark, "people")
+    assert not spark.catalog.tableExists("people")
+    assert storage.exists(spark, one) and spark.read.parquet(two).count() == 2
+
+
+def test_a_table_can_be_rebuilt_from_itself(spark, staging):
+    table = VersionedTable(spark, staging.path("t"), CUSTOMERS)
+    first = table.publish(people(spark, 1))
+    sinks.create_external_table(spark, "people", CUSTOMERS, first, replace=True)
+    second = table.publish(spark.table("people").unionAll(people(spark, 2)))
+    sinks.point_table(spark, "people", second)
+    assert sorted(r.customer_id for r in spark.table("people").collect()) == [1, 2]
+    assert spark.read.parquet(first).count() == 1
+    sinks.drop_table(spark, "people")
+
+
+def test_declared_types_against_file_types(spark, staging):
+    path = staging.path("ints")
+    spark.sql("SELECT 1 AS order_id, 2L AS customer_id").write.parquet(path)
+    sinks.create_external_table(spark, "wider", ORDER_LINES, path, replace=True)
+    row = spark.table("wider").first()
+    assert (row.order_id, row.customer_id, row.payment_status) == (1, 2, None)
+    sinks.create_external_table(spark, "narrower", CUSTOMERS, path, replace=True)
+    with pytest.raises(Exception, match="PARQUET_COLUMN_DATA_TYPE_MISMATCH"):
+        spark.table("narrower").collect()
+    sinks.drop_table(spark, "wider")
+    sinks.drop_table(spark, "narrower")
+
+
+def test_quotes_in_a_location(spark, staging):
+    path = f"{staging.path('o')}'brien"
+    sinks.replace_parquet(people(spark, 1), path)
+    sinks.create_external_table(spark, "quoted", CUSTOMERS, path, replace=True)
+    assert spark.table("quoted").count() == 1
+    sinks.drop_table(spark, "quoted")
+
+
+def test_staging_lies_in_the_configured_folder_and_is_cleared(spark):
+    area = Staging(spark)
+    assert area.root.startswith(spark.conf.get("spark.checkpoint.dir"))
+    saved = area.save(spark.range(4).withColumn("odd", F.col("id") % 2 == 1), "n", "odd")
+    assert saved.where("odd").count() == 2
+    area.clear()
+    assert not storage.exists(spark, area.root)
+
+
+class Settings:
+    def __init__(self, **values):
+        self.conf = {k.replace("__", "."): v for k, v in values.items()}
+
+
+def test_shared_folder_is_required_on_a_cluster():
+    assert shared_root(Settings(spark__checkpoint__dir="hdfs://shared", spark__master="yarn")) == "hdfs://shared"
+    assert shared_root(Settings(spark__master="local[2]"))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_root(Settings(spark__master="yarn"))

@@ -5,10 +5,12 @@ from tillhouse.functions.columns import (
     epoch_ms_to_timestamp,
     is_late,
     line_amount,
+    line_units,
     order_day,
     order_line_id,
     price_text,
     recency_days,
+    sum_amount,
     to_epoch_ms,
     utc_day,
 )
@@ -18,10 +20,12 @@ __all__ = [
     "epoch_ms_to_timestamp",
     "is_late",
     "line_amount",
+    "line_units",
     "order_day",
     "order_line_id",
     "price_text",
     "recency_days",
+    "sum_amount",
     "to_epoch_ms",
     "utc_day",
 ]

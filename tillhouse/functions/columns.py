@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 from datetime import date
+from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DateType, DecimalType, TimestampNTZType, TimestampType
 
 MS_PER_DAY = 86_400_000
-MONEY = "decimal(18,4)"
+# Prices carry four decimal places; a sum of line amounts keeps them exactly.
+PRICE_UNIT = 10_000
+MONEY = "decimal(38,4)"
+HALF_BITS = 20
 
 
 def order_line_id(order_id: Column, product_id: Column) -> Column:
@@ -17,9 +21,30 @@ def order_line_id(order_id: Column, product_id: Column) -> Column:
     return F.concat(order_id.cast("string"), F.lit("_"), product_id.cast("string"))
 
 
+def line_units(quantity: Column, unit_price: Column) -> Column:
+    """Quantity times price as a whole number of 1/10000 currency units."""
+    return quantity * F.round(unit_price * PRICE_UNIT).cast("bigint")
+
+
 def line_amount(quantity: Column, unit_price: Column) -> Column:
-    """Quantity times price in exact decimals, so that sums do not depend on row order."""
-    return quantity * unit_price.cast(MONEY)
+    """Quantity times price, exact to four decimal places."""
+    return _units_to_money(line_units(quantity, unit_price).cast("decimal(20,0)"))
+
+
+def sum_amount(quantity: Column, unit_price: Column) -> Column:
+    """Exact total of the line amounts, whatever order the rows are added in.
+
+    Decimal buffers would double the cost of the aggregate, and one long could
+    overflow in a very large group, so high and low bits are summed as two longs.
+    """
+    units = line_units(quantity, unit_price)
+    high = F.sum(F.shiftright(units, HALF_BITS)).cast("decimal(20,0)")
+    low = F.sum(units.bitwiseAND(F.lit((1 << HALF_BITS) - 1))).cast("decimal(20,0)")
+    return _units_to_money(high * F.lit(1 << HALF_BITS).cast("decimal(7,0)") + low)
+
+
+def _units_to_money(units: Column) -> Column:
+    return (units * F.lit(Decimal(1) / PRICE_UNIT)).cast(MONEY)
 
 
 def order_day(order_date: Column) -> Column:

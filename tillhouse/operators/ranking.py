@@ -16,15 +16,16 @@ from functools import reduce
 from itertools import accumulate
 from operator import add, or_
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
 
 from tillhouse.staging import Staging
 
 # monotonically_increasing_id keeps the row's place in the low 33 bits, the partition above.
 PLACE_BITS = 33
 POSITION = "_position"
+SPREAD = "_spread"
 RANK_TYPE = "decimal(38,4)"
 
 
@@ -67,11 +68,13 @@ class _Sorted:
 
     def with_index(self, name: str, first: int) -> DataFrame:
         """Rows numbered from `first`; the joined side has one row per partition."""
-        if not self.parts:
-            return self.rows.withColumn(name, F.lit(first).cast("bigint")).drop(POSITION)
-        schema = StructType([StructField("_part", LongType()), StructField("_start", LongType())])
         starts = self.rows.sparkSession.createDataFrame(
-            list(zip(self.parts, self.starts, strict=True)), schema
+            pa.table(
+                {
+                    "_part": pa.array(self.parts, pa.int64()),
+                    "_start": pa.array(self.starts, pa.int64()),
+                }
+            )
         )
         place = F.col(POSITION).bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
         return (
@@ -86,9 +89,15 @@ class _Sorted:
 def dense_key(
     df: DataFrame, order: Sequence[str | Column], start: int, name: str, staging: Staging
 ) -> DataFrame:
-    """`df` plus a gapless key from `start`, in `order`; end `order` with a unique column."""
+    """`df` plus a gapless key from `start`, in `order`.
+
+    Rows that `order` cannot tell apart keep the order they are read in. That
+    also lets the range bounds split a large group of copies.
+    """
     columns = [F.asc_nulls_first(c) if isinstance(c, str) else c for c in order]
-    return _Sorted(df, columns, staging, name).with_index(name, start)
+    spread = df.withColumn(SPREAD, F.monotonically_increasing_id())
+    ranked = _Sorted(spread, [*columns, F.asc(SPREAD)], staging, name)
+    return ranked.with_index(name, start).drop(SPREAD)
 
 
 def global_row_number(

@@ -26,13 +26,13 @@ def rfm_base(lines: DataFrame, snapshot_date: date) -> DataFrame:
     Both shuffles carry partial aggregates, the first keyed by customer and
     order, so a customer holding a large part of the lines is spread out.
     """
-    amount = fn.line_amount(F.col("sales_quantity"), F.col("price_per_unit"))
+    monetary = fn.sum_amount(F.col("sales_quantity"), F.col("price_per_unit"))
     return (
         lines.groupBy("customer_id")
         .agg(
             F.max(fn.order_day(F.col("order_date"))).alias("last_purchase_date"),
             F.count_distinct("order_id").alias("frequency"),
-            F.sum(amount).alias("monetary"),
+            monetary.alias("monetary"),
         )
         .withColumn("recency", fn.recency_days(F.col("last_purchase_date"), snapshot_date))
     )

@@ -61,59 +61,60 @@ def classify(
     if policy not in POLICIES:
         raise ValueError(f"policy must be one of {POLICIES}, not {policy!r}")
     safe = policy == "safe"
-    attributes = snapshot.columns
     types = {f.name: f.dataType for f in open_rows.schema.fields}
-
-    def version(source: dict[str, Column], start: Column, end: Column, action: str) -> Column:
-        values = {**source, START: start, END: end}
-        return F.struct(
-            *[values[c].cast(types[c]).alias(c) for c in open_rows.columns],
-            F.lit(action).alias(ACTION),
+    attributes = [c for c in open_rows.columns if c not in (surrogate, START, END)]
+    old, new = F.col("old"), F.col("new")
+
+    def opened(row: Column, action: str) -> Column:
+        return (
+            row.withField(surrogate, F.lit(None).cast(types[surrogate]))
+            .withField(START, F.lit(as_of))
+            .withField(END, F.lit(OPEN_END))
+            .withField(ACTION, F.lit(action))
         )
 
-    def from_old(end: Column, action: str) -> Column:
-        return version({c: F.col(f"old.{c}") for c in open_rows.columns}, F.col(f"old.{START}"), end, action)
-
-    def from_new(action: str) -> Column:
-        source = {c: F.col(f"new.{c}") for c in attributes} | {surrogate: F.lit(None)}
-        return version(source, F.lit(as_of), F.lit(OPEN_END), action)
-
-    def comparable(side: str, column: str) -> Column:
-        value = F.col(f"{side}.{column}")
-        return fn.price_text(value) if safe and column in numeric_text else value
-
-    # NULL, so no row at all, when the reference policy meets a NULL on either side.
-    pairs = [(comparable("old", c), comparable("new", c)) for c in tracked]
-    same = reduce(and_, [old.eqNullSafe(new) if safe else old == new for old, new in pairs])
-
-    unchanged = F.array(from_old(F.col(f"old.{END}"), "unchanged"))
-    closed = F.array(from_old(F.lit(as_of), "expired"))
-    added = F.array(from_new("new"))
-    changed = F.array(from_old(F.lit(as_of), "expired"), from_new("new_version"))
-
-    old = open_rows.where(F.col(key).isNotNull()).select(key, F.struct(*open_rows.columns).alias("old"))
-    new = snapshot.where(F.col(key).isNotNull()).select(key, F.struct(*attributes).alias("new"))
-    joined = new.join(old, key, "full" if safe else "left")
+    def same_value(column: str) -> Column:
+        before, after = old[column], new[column]
+        if not safe:
+            return before == after
+        if column not in numeric_text:
+            return before.eqNullSafe(after)
+        return before.eqNullSafe(after) | fn.price_text(before).eqNullSafe(fn.price_text(after))
+
+    unchanged = old.withField(ACTION, F.lit("unchanged"))
+    expired = old.withField(END, F.lit(as_of)).withField(ACTION, F.lit("expired"))
+    changed = F.array(expired, opened(new, "new_version"))
+    same = reduce(and_, [same_value(c) for c in tracked])
     outcome = (
-        F.when(F.col("old").isNull(), added)
-        .when(F.col("new").isNull(), closed)
-        .when(same, unchanged)
-        .when(~same, changed)
+        F.when(old.isNull(), F.array(opened(new, "new")))
+        .when(new.isNull(), F.array(expired))
+        .when(same, F.array(unchanged))
+    )
+    # Under `reference` a NULL on either side makes the comparison NULL: no row.
+    outcome = outcome.otherwise(changed) if safe else outcome.when(~same, changed)
+
+    old_row = F.struct(*attributes, surrogate, START, END).alias("old")
+    new_row = F.struct(*[F.col(c).cast(types[c]).alias(c) for c in attributes]).alias("new")
+    has_key = F.col(key).isNotNull()
+    joined = (
+        snapshot.where(has_key)
+        .select(key, new_row)
+        .join(open_rows.where(has_key).select(key, old_row), key, "full" if safe else "left")
     )
-    merged = joined.select(F.explode(outcome).alias("row")).select("row.*")
+    results = [joined.select(F.explode(outcome).alias("row"))]
 
     # Rows without a key match nothing; keeping them out of the join keeps them
     # from piling up in one shuffle partition.
-    keyless_old = open_rows.where(F.col(key).isNull()).select(F.struct(*open_rows.columns).alias("old"))
+    keyless = open_rows.where(~has_key).select(old_row)
     if safe:
-        return merged.unionByName(keyless_old.select(F.inline(closed)))
-    keyless_new = snapshot.where(F.col(key).isNull()).select(F.struct(*attributes).alias("new"))
-    blank = version(
-        {c: F.lit(None) for c in open_rows.columns}, F.lit(as_of), F.lit(OPEN_END), "new"
-    )
-    return merged.unionByName(keyless_new.select(F.inline(added))).unionByName(
-        keyless_old.select(F.inline(F.array(blank)))
-    )
+        results.append(keyless.select(expired.alias("row")))
+    else:
+        blank = F.struct(*[F.lit(None).cast(types[c]).alias(c) for c in attributes])
+        keyless_new = snapshot.where(~has_key).select(new_row)
+        results.append(keyless_new.select(opened(new, "new").alias("row")))
+        results.append(keyless.select(opened(blank, "new").alias("row")))
+    rows = reduce(DataFrame.unionAll, results)
+    return rows.select(*[f"row.{c}" for c in open_rows.columns], f"row.{ACTION}")
 
 
 def scd2_merge(

@@ -14,6 +14,24 @@ SETTINGS = {
 }
 
 
+SCAN_SPLIT = 256 << 20
+SHUFFLE_SPLIT = 256 << 20
+
+
+def size_settings(shuffle_bytes: int, cores: int) -> dict[str, str]:
+    """Settings for a job whose largest shuffle moves about `shuffle_bytes`.
+
+    Adaptive execution merges small shuffle partitions but never adds any, so
+    the number to start from has to come from the data, not from the default.
+    """
+    partitions = max(2 * cores, -(-shuffle_bytes // SHUFFLE_SPLIT))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(SHUFFLE_SPLIT),
+        "spark.sql.files.maxPartitionBytes": str(SCAN_SPLIT),
+    }
+
+
 def build_session(app_name: str = "tillhouse", master: str | None = None, **conf: str) -> SparkSession:
     """A session with `SETTINGS`; keyword names use `__` for the dots of a Spark setting.
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tillhouse.functions.columns import snapshot_column
 from tillhouse.sinks.files import replace_parquet
@@ -45,7 +46,7 @@ def read_jdbc_table(
 def map_snapshot_types(df: DataFrame) -> DataFrame:
     """Dates and timestamps as epoch milliseconds, decimals as text, the rest unchanged."""
     return df.select(
-        *[snapshot_column(df[f.name], f.dataType).alias(f.name) for f in df.schema.fields]
+        *[snapshot_column(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in df.schema.fields]
     )
 
 
