@@ -5,7 +5,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 import tillhouse as th
-from tillhouse.operators.ranking import bucket_ends
+from tillhouse.operators.ntile import bucket_ends
 
 
 def scores(spark, staging, values, descending=False, buckets=5):

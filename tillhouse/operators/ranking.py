@@ -1,20 +1,17 @@
-"""Row numbers, quintiles and dense keys over a whole table, without one task seeing it.
+"""Row numbers and dense keys over a whole table, without one task seeing it.
 
 A window without PARTITION BY moves every row to a single task. Here the rows
 are range-partitioned and sorted, and `monotonically_increasing_id` records each
 row's partition and place in it. The frame is staged at that point, since range
 bounds are sampled and a second run could place rows differently. What reaches
-the driver is one count per partition, or one row per bucket boundary.
+the driver is one count per partition.
 """
 
 from __future__ import annotations
 
 from bisect import bisect_right
 from collections.abc import Sequence
-from dataclasses import dataclass
-from functools import reduce
 from itertools import accumulate
-from operator import add, or_
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -26,22 +23,9 @@ from tillhouse.staging import Staging
 PLACE_BITS = 33
 POSITION = "_position"
 SPREAD = "_spread"
-RANK_TYPE = "decimal(38,4)"
 
 
-@dataclass(frozen=True)
-class Measure:
-    """A score to compute: bucket 1 takes the smallest values, or the largest if `descending`.
-
-    NULL comes first in ascending and last in descending order, as in Spark.
-    """
-
-    column: str
-    score: str
-    descending: bool = False
-
-
-class _Sorted:
+class SortedRows:
     """A staged frame in total order, with the number of rows before each partition."""
 
     def __init__(self, df: DataFrame, order: Sequence[Column], staging: Staging, name: str):
@@ -58,8 +42,7 @@ class _Sorted:
         )
         sizes = sorted((row.part, row.n) for row in counts)
         self.parts = [part for part, _ in sizes]
-        self.starts = [0, *accumulate(n for _, n in sizes)][: len(sizes)]
-        self.total = sum(n for _, n in sizes)
+        *self.starts, self.total = accumulate((n for _, n in sizes), initial=0)
 
     def position_of(self, index: int) -> int:
         """The stored position of the row at a 0-based place in the total order."""
@@ -96,7 +79,7 @@ def dense_key(
     """
     columns = [F.asc_nulls_first(c) if isinstance(c, str) else c for c in order]
     spread = df.withColumn(SPREAD, F.monotonically_increasing_id())
-    ranked = _Sorted(spread, [*columns, F.asc(SPREAD)], staging, name)
+    ranked = SortedRows(spread, [*columns, F.asc(SPREAD)], staging, name)
     return ranked.with_index(name, start).drop(SPREAD)
 
 
@@ -105,69 +88,3 @@ def global_row_number(
 ) -> DataFrame:
     """`df` plus its 1-based number in `order`."""
     return dense_key(df, order, 1, name, staging)
-
-
-def bucket_ends(total: int, buckets: int) -> list[int]:
-    """1-based number of the last row of each bucket but the final one.
-
-    The first `total mod buckets` buckets hold one row more than the rest. With
-    fewer rows than buckets only the first `total` buckets are used.
-    """
-    size, larger = divmod(total, buckets)
-    ends = [b * size + min(b, larger) for b in range(1, buckets)]
-    return [end for b, end in enumerate(ends, 1) if b < total]
-
-
-def global_ntile(
-    df: DataFrame, buckets: int, measures: Sequence[Measure], unique_id: str, staging: Staging
-) -> DataFrame:
-    """`df` plus one ntile score per measure; ties are broken by `unique_id`.
-
-    `df` is read twice, so hand in a staged or stored frame. All measures are
-    sorted together in one narrow frame (measure, value, id); the few boundary
-    rows become literals, and scoring the wide rows is then a plain projection.
-    """
-    keys = [_sort_key(df, m, unique_id) for m in measures]
-    long = df.select(
-        F.explode(
-            F.array(*[F.struct(F.lit(i).alias("measure"), k.alias("key")) for i, k in enumerate(keys)])
-        ).alias("m")
-    ).select("m.measure", "m.key.*")
-    order = [F.asc_nulls_first(c) for c in ("measure", "null_rank", "value", "id")]
-    ranked = _Sorted(long, order, staging, "ranks")
-    total = ranked.total // len(measures)
-    ends = bucket_ends(total, buckets)
-    cuts = _rows_at(ranked, [i * total + end - 1 for i in range(len(measures)) for end in ends])
-
-    scores = {}
-    for i, (measure, key) in enumerate(zip(measures, keys, strict=True)):
-        above = [(key > _cut_key(row, long)).cast("int") for row in cuts if row.measure == i]
-        scores[measure.score] = reduce(add, above, F.lit(1)).cast("int")
-    return df.withColumns(scores)
-
-
-def _sort_key(df: DataFrame, measure: Measure, unique_id: str) -> Column:
-    """A struct whose ascending order, NULLs first, is the measure's order."""
-    value = df[measure.column].cast(RANK_TYPE)
-    nulls_at = df[measure.column].isNull() if measure.descending else df[measure.column].isNotNull()
-    return F.struct(
-        nulls_at.cast("int").alias("null_rank"),
-        (-value if measure.descending else value).alias("value"),
-        df[unique_id].alias("id"),
-    )
-
-
-def _rows_at(ranked: _Sorted, indexes: list[int]) -> list:
-    if not indexes:
-        return []
-    wanted = [F.col(POSITION) == ranked.position_of(i) for i in indexes]
-    return ranked.rows.where(reduce(or_, wanted)).collect()
-
-
-def _cut_key(row, long: DataFrame) -> Column:
-    return F.struct(
-        *[
-            F.lit(row[name]).cast(long.schema[name].dataType).alias(name)
-            for name in ("null_rank", "value", "id")
-        ]
-    )

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillhouse import functions as fn
-from tillhouse.operators.ranking import Measure, dense_key, global_ntile
+from tillhouse.operators.ntile import Measure, global_ntile
+from tillhouse.operators.ranking import dense_key
 from tillhouse.schemas import DIM_CUSTOMER, conform
 from tillhouse.staging import Staging
 
