@@ -123,15 +123,18 @@ def order_lines_roundtrip(spark, sf_dir):
     return sinks.replace_parquet(schemas.conform(lines, schemas.ORDER_LINES), path)
 
 
-def _customer_dimension(spark, sf_dir):
-    return th.dim_customer(
-        recipes.customers(spark, sf_dir), recipes.order_lines(spark, sf_dir), SNAPSHOT_DATE
-    )
+def _customer_dimension(spark, sf_dir, staging=None):
+    customers, lines = recipes.customers(spark, sf_dir), recipes.order_lines(spark, sf_dir)
+    return th.dim_customer(customers, lines, SNAPSHOT_DATE, staging)
+
+
+def _stored_customers(spark, sf_dir) -> str:
+    with th.Staging(spark) as scratch:
+        return _stored(spark, _customer_dimension(spark, sf_dir, scratch), "Dim_Customer")
 
 
 def dim_customer_roundtrip(spark, sf_dir):
-    path = th.Staging(spark).path("Dim_Customer")
-    return sinks.replace_parquet(_customer_dimension(spark, sf_dir), path)
+    return spark.read.parquet(_stored_customers(spark, sf_dir))
 
 
 def fact_logistics_roundtrip(spark, sf_dir):
@@ -151,8 +154,10 @@ def _product_versions(spark, sf_dir, runs: int, policy: str = "safe") -> sinks.V
     path = th.Staging(spark).path("Dim_Products")
     table = sinks.VersionedTable(spark, path, schemas.DIM_PRODUCTS)
     for run in range(1, runs + 1):
-        merged = th.scd2_merge(table.read(), _snapshot(spark, sf_dir, run), RUN_DATES[run - 1], policy)
-        table.publish(merged.drop(ACTION))
+        snapshot, day = _snapshot(spark, sf_dir, run), RUN_DATES[run - 1]
+        with th.Staging(spark) as scratch:
+            merged = th.scd2_merge(table.read(), snapshot, day, policy, staging=scratch)
+            table.publish(merged.drop(ACTION))
     return table
 
 
@@ -172,7 +177,7 @@ def ext_staging_orderlines(spark, sf_dir):
 
 
 def ext_dim_customer(spark, sf_dir):
-    path = _stored(spark, _customer_dimension(spark, sf_dir), "Dim_Customer")
+    path = _stored_customers(spark, sf_dir)
     sinks.create_external_table(spark, "Dim_Customer", schemas.DIM_CUSTOMER, path, replace=True)
     return spark.table("Dim_Customer")
 

@@ -8,21 +8,21 @@ import tillhouse as th
 from tillhouse.operators.ntile import bucket_ends
 
 
-def scores(spark, staging, values, descending=False, buckets=5):
+def scores(spark, values, descending=False, buckets=5):
     df = spark.createDataFrame(list(enumerate(values)), "id bigint, v bigint")
-    ranked = th.global_ntile(df, buckets, [th.Measure("v", "score", descending)], "id", staging)
+    ranked = th.global_ntile(df, buckets, [th.Measure("v", "score", descending)], "id")
     return {r.id: r.score for r in ranked.collect()}
 
 
-def test_null_first_ascending_and_last_descending(spark, staging):
+def test_null_first_ascending_and_last_descending(spark):
     values = [None, 1, 2, 3, 4, 5, 6]
-    assert scores(spark, staging, values) == {0: 1, 1: 1, 2: 2, 3: 2, 4: 3, 5: 4, 6: 5}
-    assert scores(spark, staging, values, True) == {6: 1, 5: 1, 4: 2, 3: 2, 2: 3, 1: 4, 0: 5}
+    assert scores(spark, values) == {0: 1, 1: 1, 2: 2, 3: 2, 4: 3, 5: 4, 6: 5}
+    assert scores(spark, values, True) == {6: 1, 5: 1, 4: 2, 3: 2, 2: 3, 1: 4, 0: 5}
 
 
 @pytest.mark.parametrize("n", [0, 1, 3, 5, 7, 50])
-def test_small_sizes(spark, staging, n):
-    got = scores(spark, staging, list(range(n)))
+def test_small_sizes(spark, n):
+    got = scores(spark, list(range(n)))
     small, larger = divmod(n, 5)
     expected = [b for b in range(1, 6) for _ in range(small + (b <= larger))]
     assert [got[i] for i in range(n)] == expected
@@ -49,7 +49,7 @@ def test_matches_the_window_function_with_heavy_ties_and_nulls(spark, staging, s
         "input",
     )
     measures = [th.Measure("few", "a"), th.Measure("few", "b", True), th.Measure("many", "c", True)]
-    got = th.global_ntile(df, 5, measures, "id", staging)
+    got = th.global_ntile(df, 5, measures, "id")
     expected = df.withColumns(
         {
             "a": F.ntile(5).over(Window.orderBy(F.asc_nulls_first("few"), "id")),

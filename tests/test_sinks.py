@@ -41,6 +41,27 @@ def test_an_unpublished_version_is_ignored_and_its_number_not_reused(spark, stag
     assert table.read().count() == 3
 
 
+def test_old_versions_are_dropped_on_request(spark, staging):
+    table = VersionedTable(spark, staging.path("t"), CUSTOMERS)
+    table.publish(people(spark, 1))
+    table.write(people(spark, 9))
+    table.publish(people(spark, 1, 2))
+    table.publish(people(spark, 1, 2, 3))
+    table.write(people(spark, 9))
+    table.drop_old(keep=2)
+    assert table.versions() == [3, 4, 5]
+    assert table.read().count() == 3
+
+
+def test_a_table_shows_files_replaced_after_it_was_read(spark, staging):
+    path = staging.path("p")
+    for ids in ((1,), (1, 2)):
+        sinks.replace_parquet(people(spark, *ids), path)
+        sinks.create_external_table(spark, "replaced", CUSTOMERS, path)
+        assert spark.table("replaced").count() == len(ids)
+    sinks.drop_table(spark, "replaced")
+
+
 def test_a_failing_run_leaves_the_published_version(spark, staging):
     table = VersionedTable(spark, staging.path("t"), CUSTOMERS)
     table.publish(people(spark, 1))

@@ -61,23 +61,26 @@ def bucket_ends(total: int, buckets: int) -> list[int]:
 
 
 def global_ntile(
-    df: DataFrame, buckets: int, measures: Sequence[Measure], unique_id: str, staging: Staging
+    df: DataFrame, buckets: int, measures: Sequence[Measure], unique_id: str
 ) -> DataFrame:
     """`df` plus one ntile score per measure; ties are broken by `unique_id`.
 
     `df` is read for the sort and again for scoring, so hand in a staged or
     stored frame. All measures are sorted together, one after the other, so
-    each takes up the same number of consecutive positions.
+    each takes up the same number of consecutive positions. The sorted copy is
+    dropped as soon as the boundaries are known.
     """
     keys = [m.key(unique_id) for m in measures]
     entries = [F.struct(F.lit(i).alias("measure"), k.alias("key")) for i, k in enumerate(keys)]
     narrow = df.select(F.explode(F.array(*entries)).alias("entry")).select("entry.measure", "entry.key.*")
-    ranked = SortedRows(narrow, [F.asc_nulls_first(c) for c in narrow.columns], staging, "ranks")
+    order = [F.asc_nulls_first(c) for c in narrow.columns]
+    with Staging(df.sparkSession) as scratch:
+        ranked = SortedRows(narrow, order, scratch, "ranks")
+        total = ranked.total // len(measures)
+        ends = bucket_ends(total, buckets)
+        indexes = [i * total + end - 1 for i in range(len(measures)) for end in ends]
+        boundaries = _rows_at(ranked, [ranked.position_of(i) for i in indexes])
 
-    total = ranked.total // len(measures)
-    ends = bucket_ends(total, buckets)
-    wanted = [ranked.position_of(i * total + end - 1) for i in range(len(measures)) for end in ends]
-    boundaries = _rows_at(ranked, wanted)
     scores = {}
     for i, measure in enumerate(measures):
         past = [_exceeds(keys[i], row, narrow).cast("int") for row in boundaries if row.measure == i]

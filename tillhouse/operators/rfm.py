@@ -48,7 +48,7 @@ def rfm(
     """
     staging = staging or Staging(lines.sparkSession)
     base = staging.save(rfm_base(lines, snapshot_date), "rfm")
-    scored = global_ntile(base, buckets, MEASURES, "customer_id", staging)
+    scored = global_ntile(base, buckets, MEASURES, "customer_id")
     total = F.col("r_score") + F.col("f_score") + F.col("m_score")
     return scored.withColumns({"RFM_Score": total, "monetary": F.col("monetary").cast("double")})
 
@@ -58,7 +58,6 @@ def dim_customer(
 ) -> DataFrame:
     """Every customer with a dense key and an RFM score, NULL without orders."""
     staging = staging or Staging(customers.sparkSession)
-    order = ["customer_id", *[c for c in customers.columns if c != "customer_id"]]
-    keyed = dense_key(customers, order, 0, "cust_key", staging)
+    keyed = dense_key(customers, ["customer_id"], 0, "cust_key", staging)
     scores = rfm(lines, snapshot_date, staging=staging).select("customer_id", "RFM_Score")
     return conform(keyed.join(scores, "customer_id", "left"), DIM_CUSTOMER)

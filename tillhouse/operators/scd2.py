@@ -152,7 +152,8 @@ def scd2_merge(
     )
     kept = staged.where(~F.col("inserted")).drop("inserted")
     inserted = staged.where("inserted").drop("inserted", surrogate)
-    order = [key, *[c for c in snapshot.columns if c != key], ACTION]
+    # Unique keys fix the order alone; `reference` may insert several rows for one.
+    order = [key] if policy == "safe" else [key, *[c for c in snapshot.columns if c != key], ACTION]
     merged = kept.unionByName(dense_key(inserted, order, first_key, surrogate, staging))
     if policy == "safe":
         history = dim.where(~F.col(END).eqNullSafe(F.lit(OPEN_END)))
@@ -161,19 +162,16 @@ def scd2_merge(
 
 
 def _require_unique(open_rows: DataFrame, snapshot: DataFrame, key: str) -> None:
-    """One pass over the key columns alone, with counts combined before the shuffle."""
-    sides = [
-        df.where(F.col(key).isNotNull()).select(F.lit(side).alias("side"), F.col(key).alias("key"))
-        for side, df in (("dimension", open_rows), ("snapshot", snapshot))
-    ]
-    repeated = (
-        reduce(DataFrame.unionAll, sides)
-        .groupBy("side", "key")
-        .agg(F.count("*").alias("n"))
-        .where("n > 1")
-        .limit(3)
-        .collect()
-    )
-    if repeated:
-        examples = ", ".join(f"{r.key} ({r.n} times in the {r.side})" for r in repeated)
-        raise DuplicateKeyError(f"{key} must be unique: {examples}")
+    """Compare rows and distinct keys on both sides, reading the key columns alone."""
+    sides = {"dimension": open_rows, "snapshot": snapshot}
+    totals = reduce(
+        DataFrame.unionAll,
+        [
+            df.agg(F.count(key).alias("n"), F.count_distinct(key).alias("keys")).withColumn("side", F.lit(side))
+            for side, df in sides.items()
+        ],
+    ).collect()
+    for side in (total.side for total in totals if total.n != total["keys"]):
+        counted = sides[side].where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
+        example = counted.where("n > 1").first()
+        raise DuplicateKeyError(f"{key} {example[key]} occurs {example.n} times in the {side}")

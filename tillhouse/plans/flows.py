@@ -101,15 +101,12 @@ def run_dimensions(
         conform(land_snapshot(products, paths.products), PRODUCTS_SOURCE)
     )
     lines = read_table(spark, paths.order_lines, ORDER_LINES)
-    staging = Staging(spark)
-    try:
+    table = VersionedTable(spark, paths.dim_products, DIM_PRODUCTS)
+    with Staging(spark) as staging:
         scored = dim_customer(landed_customers, lines, snapshot_date, staging)
         replace_parquet(scored, paths.dim_customer)
-        table = VersionedTable(spark, paths.dim_products, DIM_PRODUCTS)
         merged = scd2_merge(table.read(), landed_products, as_of, policy, staging=staging)
         folder = table.publish(merged.drop(ACTION))
-    finally:
-        staging.clear()
     create_external_table(spark, "Dim_Customer", DIM_CUSTOMER, paths.dim_customer, replace=True)
     create_external_table(spark, "Dim_Products", DIM_PRODUCTS, folder, replace=True)
     return read_table(spark, paths.dim_customer, DIM_CUSTOMER), table.read()

@@ -25,6 +25,8 @@ def create_external_table(
         f"CREATE TABLE IF NOT EXISTS {name} ({_columns(schema)}) "
         f"USING PARQUET LOCATION {_quoted(path)}"
     )
+    # The session may remember the files of an earlier run.
+    spark.catalog.refreshTable(name)
 
 
 def drop_table(spark: SparkSession, name: str) -> None:

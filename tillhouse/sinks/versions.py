@@ -71,6 +71,15 @@ class VersionedTable:
         if found != expected:
             raise RuntimeError(f"{folder} holds {found} rows, {expected} were written")
 
+    def drop_old(self, keep: int = 2) -> None:
+        """Delete all but the newest `keep` published versions, and runs that never published."""
+        versions = self.versions()
+        published = [v for v in versions if storage.exists(self.spark, f"{self.folder(v)}/{PUBLISHED}")]
+        kept = set(published[-max(keep, 1) :])
+        for version in versions:
+            if version not in kept and published and version < published[-1]:
+                storage.delete(self.spark, self.folder(version))
+
     def publish(self, df: DataFrame) -> str:
         """Write, check and publish a new version; returns its folder."""
         folder = self.write(df)

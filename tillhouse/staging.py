@@ -25,7 +25,11 @@ def shared_root(spark: SparkSession) -> str:
 
 
 class Staging:
-    """A fresh folder for one job's intermediates; `clear` drops it once results are out."""
+    """A fresh folder for one job's intermediates.
+
+    `clear` drops it once the results are written elsewhere; as a context
+    manager it is cleared on leaving.
+    """
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
@@ -45,3 +49,9 @@ class Staging:
 
     def clear(self) -> None:
         storage.delete(self.spark, self.root)
+
+    def __enter__(self) -> Staging:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.clear()
