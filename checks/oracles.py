@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 OPEN = "DATE '9999-12-31'"
 MS_PER_DAY = "86400000"
 
@@ -172,8 +174,17 @@ VIEWS = {
 
 
 def _with(select: str, policy: str = "safe") -> str:
-    views = ",\n".join(f"{name} AS ({sql})" for name, sql in (VIEWS | _versions(policy)).items())
-    return f"WITH {views}\n{select}"
+    """`select` preceded by the views it uses, directly or through other views."""
+    views = VIEWS | _versions(policy)
+    used: set[str] = set()
+    texts = [select]
+    while texts:
+        words = set(re.findall(r"\w+", texts.pop()))
+        fresh = {name for name in views if name in words} - used
+        used |= fresh
+        texts += [views[name] for name in fresh]
+    clauses = ",\n".join(f"{name} AS ({sql})" for name, sql in views.items() if name in used)
+    return f"WITH {clauses}\n{select}" if clauses else select
 
 
 PAIRS = """

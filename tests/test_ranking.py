@@ -1,4 +1,5 @@
 import random
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import Window
@@ -61,6 +62,18 @@ def test_matches_the_window_function_with_heavy_ties_and_nulls(spark, staging, s
     assert got.count() == expected.count()
 
 
+def test_amounts_that_share_a_double_are_ordered_exactly(spark):
+    base = Decimal("900719925474099300000.0000")
+    amounts = [base + Decimal(i) / 10000 for i in range(40)]
+    ids = list(range(40))
+    random.Random(5).shuffle(ids)
+    df = spark.createDataFrame(list(zip(ids, amounts, strict=True)), "id bigint, v decimal(30,4)")
+    for descending in (False, True):
+        ranked = th.global_ntile(df, 4, [th.Measure("v", "score", descending)], "id").collect()
+        expected = {a: (39 - i if descending else i) // 10 + 1 for i, a in enumerate(amounts)}
+        assert {r.v: r.score for r in ranked} == expected
+
+
 def test_dense_key_follows_the_order_without_gaps(spark, staging):
     df = spark.range(5000).select((F.col("id") * 37 % 5000).alias("id")).repartition(7)
     keyed = th.dense_key(df, ["id"], 100, "key", staging)

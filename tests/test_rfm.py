@@ -37,6 +37,12 @@ def test_amounts_are_exact_and_may_be_negative(spark):
     assert totals == {1: "100.0000", 2: "-7.5000"}
 
 
+def test_missing_prices_are_left_out_of_the_total(spark):
+    lines = lines_frame(spark, line(1, 1, price=None), line(1, 2, price=2.0), line(2, 3, price=None))
+    totals = {r.customer_id: r.monetary for r in th.rfm_base(lines, DAY).collect()}
+    assert totals == {1: 2, 2: None}
+
+
 def test_large_groups_do_not_overflow(spark):
     big = 9.0e13
     lines = lines_frame(spark, *[line(1, i, price=big, quantity=9) for i in range(200)])

@@ -41,6 +41,25 @@ def test_an_unpublished_version_is_ignored_and_its_number_not_reused(spark, stag
     assert table.read().count() == 3
 
 
+def test_a_plain_folder_is_taken_over(spark, staging):
+    path = staging.path("t")
+    sinks.replace_parquet(people(spark, 1), path)
+    table = VersionedTable(spark, path, CUSTOMERS)
+    assert table.current() == path
+    table.write(people(spark, 7, 8, 9))  # not published: must not be mixed in
+    assert [r.customer_id for r in table.read().collect()] == [1]
+    table.publish(table.read().unionAll(people(spark, 2)))
+    assert sorted(r.customer_id for r in table.read().collect()) == [1, 2]
+
+
+def test_an_empty_version_is_a_version(spark, staging):
+    table = VersionedTable(spark, staging.path("t"), CUSTOMERS)
+    table.publish(people(spark, 1).where("customer_id > 1"))
+    assert table.current() is not None and table.read().count() == 0
+    table.publish(spark.createDataFrame([], CUSTOMERS))
+    assert table.versions() == [1, 2]
+
+
 def test_old_versions_are_dropped_on_request(spark, staging):
     table = VersionedTable(spark, staging.path("t"), CUSTOMERS)
     table.publish(people(spark, 1))

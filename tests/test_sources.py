@@ -74,6 +74,13 @@ def test_truncated_document_fails_or_is_kept(spark, tmp_path):
     assert [r._corrupt_record for r in kept] == [None, '{"order_id": 9, "items": [']
 
 
+def test_inferred_schema_keeps_other_fields(spark, tmp_path):
+    path = write(tmp_path, "a.json", json.dumps(DOCUMENTS[0] | {"channel": "web"}))
+    orders = sources.read_orders_json(spark, path, schema=None)
+    assert orders.first().channel == "web"
+    assert orders.schema["items"].dataType.elementType.names == ["price_per_unit", "product_id", "sales_quantity"]
+
+
 def test_corrupt_option_is_checked(spark):
     with pytest.raises(ValueError, match="corrupt"):
         sources.read_orders_json(spark, "x", corrupt="drop")

@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from tillhouse.operators.ranking import POSITION, SortedRows
 from tillhouse.staging import Staging
 
-EXACT = "decimal(38,4)"
+EXACT = "decimal(34,4)"
+PLACES = 10_000
 
 
 @dataclass(frozen=True)
@@ -34,17 +35,18 @@ class Measure:
     descending: bool = False
 
     def key(self, unique_id: str) -> Column:
-        """A struct that ascends in this order.
+        """A struct of cheaply compared fields that ascends in this order.
 
-        The double settles most comparisons at little cost; the exact value
-        comes into play only where two doubles are equal.
+        The nearest double comes first; values that share one are told apart by
+        what it leaves over, a whole number of the fourth decimal place.
         """
         exact = F.col(self.column).cast(EXACT)
         signed = -exact if self.descending else exact
+        nearest = signed.cast("double")
         missing = F.lit("Infinity" if self.descending else "-Infinity").cast("double")
         return F.struct(
-            F.coalesce(signed.cast("double"), missing).alias("approximate"),
-            signed.alias("exact"),
+            F.coalesce(nearest, missing).alias("nearest"),
+            ((signed - nearest.cast(EXACT)) * PLACES).cast("bigint").alias("left_over"),
             F.col(unique_id).alias("id"),
         )
 

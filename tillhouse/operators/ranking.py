@@ -75,7 +75,8 @@ def dense_key(
     """`df` plus a gapless key from `start`, in `order`.
 
     Rows that `order` cannot tell apart keep the order they are read in. That
-    also lets the range bounds split a large group of copies.
+    also lets the range bounds split a large group of copies. Hand in a stored
+    frame, whose rows come back in the same order if a task has to run again.
     """
     columns = [F.asc_nulls_first(c) if isinstance(c, str) else c for c in order]
     spread = df.withColumn(SPREAD, F.monotonically_increasing_id())

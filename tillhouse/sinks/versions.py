@@ -34,11 +34,16 @@ class VersionedTable:
         return f"{self.path}/{PREFIX}{version:08d}"
 
     def current(self) -> str | None:
-        """Folder of the newest published version, None before the first run."""
+        """Folder of the newest published version, None before the first run.
+
+        A plain Parquet folder written by other means counts as the version
+        before the first, so that an existing table is taken over, not restarted.
+        """
         for version in reversed(self.versions()):
             if storage.exists(self.spark, f"{self.folder(version)}/{PUBLISHED}"):
                 return self.folder(version)
-        return None
+        names = storage.child_names(self.spark, self.path)
+        return self.path if any(n.endswith(".parquet") for n in names) else None
 
     def read(self) -> DataFrame:
         """Rows of the current version; an empty frame only if nothing was ever published.

@@ -12,9 +12,13 @@ CORRUPT_COLUMN = "_corrupt_record"
 
 
 def read_orders_json(
-    spark: SparkSession, path: str, multi_line: bool = False, corrupt: str = "fail"
+    spark: SparkSession,
+    path: str,
+    multi_line: bool = False,
+    corrupt: str = "fail",
+    schema: StructType | None = RAW_ORDERS,
 ) -> DataFrame:
-    """Read orders with the declared schema; no pass over the data to infer one.
+    """Read orders with a declared schema; None infers one, at the cost of another pass.
 
     The default expects one document per line, which Spark can split between
     tasks. `multi_line` is for files holding one document or one array spread
@@ -27,14 +31,13 @@ def read_orders_json(
         _refuse_line_delimited(spark, path)
     reader = spark.read.option("multiLine", str(multi_line).lower())
     if corrupt == "fail":
-        return reader.schema(RAW_ORDERS).option("mode", "FAILFAST").json(path)
-    schema = StructType(RAW_ORDERS.fields).add(CORRUPT_COLUMN, StringType())
-    return (
-        reader.schema(schema)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
-        .json(path)
-    )
+        reader = reader.option("mode", "FAILFAST")
+    else:
+        reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
+    if schema is not None:
+        kept = StructType(schema.fields)
+        reader = reader.schema(kept if corrupt == "fail" else kept.add(CORRUPT_COLUMN, StringType()))
+    return reader.json(path)
 
 
 def _refuse_line_delimited(spark: SparkSession, path: str) -> None:
