@@ -20,6 +20,8 @@ from tillhouse.staging import Staging
 
 EXACT = "decimal(34,4)"
 PLACES = 10_000
+# Below this, values with four decimal places all have doubles of their own.
+DISTINCT_DOUBLES = float(2**53 // PLACES)
 
 
 @dataclass(frozen=True)
@@ -40,13 +42,14 @@ class Measure:
         The nearest double comes first; values that share one are told apart by
         what it leaves over, a whole number of the fourth decimal place.
         """
-        exact = F.col(self.column).cast(EXACT)
-        signed = -exact if self.descending else exact
-        nearest = signed.cast("double")
+        value = F.col(self.column)
+        nearest = value.cast("double")
+        left_over = (value.cast(EXACT) - nearest.cast(EXACT)) * PLACES
+        left_over = F.when(F.abs(nearest) < DISTINCT_DOUBLES, 0).otherwise(left_over.cast("bigint"))
         missing = F.lit("Infinity" if self.descending else "-Infinity").cast("double")
         return F.struct(
-            F.coalesce(nearest, missing).alias("nearest"),
-            ((signed - nearest.cast(EXACT)) * PLACES).cast("bigint").alias("left_over"),
+            F.coalesce(-nearest if self.descending else nearest, missing).alias("nearest"),
+            (-left_over if self.descending else left_over).alias("left_over"),
             F.col(unique_id).alias("id"),
         )
 
