@@ -4,9 +4,10 @@ import compare
 import pytest
 
 import __spark_entry__ as driver
+from checks import oracles, queries
 
-QUERIES = driver.queries()
-ORACLES = driver.oracle_sql()
+QUERIES = queries.all_queries()
+ORACLES = oracles.all_oracles()
 
 
 @pytest.fixture(scope="module")
@@ -16,6 +17,8 @@ def connection(sf_dir):
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(driver.queries())
+    assert set(ORACLES) <= set(driver.oracle_sql())
 
 
 def test_entry_gives_the_customer_dimension(spark):
