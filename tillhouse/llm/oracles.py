@@ -3,5 +3,26 @@
 from __future__ import annotations
 
 
+EMBEDDING_LINKS = """
+WITH RECURSIVE good AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b
+    ON a.label = b.label AND len(a.v) = len(b.v) AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.98
+), reached(node, other) AS (
+  SELECT vec_id, vec_id FROM embeddings
+  UNION
+  SELECT r.node, l.b FROM reached r JOIN links l ON l.a = r.other
+), component AS (SELECT node, min(other) AS component_id FROM reached GROUP BY node)
+SELECT e.vec_id, coalesce(n.n_links, 0) AS n_links, c.component_id, e.vec_id = c.component_id AS kept
+FROM embeddings e JOIN component c ON c.node = e.vec_id
+LEFT JOIN (SELECT a, count(*) AS n_links FROM links GROUP BY a) n ON n.a = e.vec_id
+"""
+
+
 def all_oracles() -> dict[str, str]:
-    return {}
+    return {"op1_embedding_links": EMBEDDING_LINKS}
