@@ -8,8 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillhouse.llm import chunk_encoding, decontamination, language_id, personal_data, secrets, simhash, token_counts
-from tillhouse.llm import vector_links
+from tillhouse.llm import (
+    chunk_encoding,
+    decontamination,
+    language_id,
+    license_scan,
+    personal_data,
+    secrets,
+    simhash,
+    token_counts,
+    url_filter,
+    vector_links,
+)
 from tillhouse.staging import Staging
 
 
@@ -42,12 +52,21 @@ def op5_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(docs, Staging(spark)).select("doc_id", "fingerprint", "component_id", "kept")
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return license_scan.find_licences(docs, license_scan.train(docs, Staging(spark)))
+
+
 def op7_chunk_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     path = public_tokenizers.path("word_bpe_49k.json")
     return chunk_encoding.encode_documents(docs, Staging(spark), path, digests=True)
 
 
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     model = personal_data.train(docs, Staging(spark))
@@ -61,5 +80,16 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_embedding_links, op2_token_counts, op3_decontamination, op4_language_id, op5_simhash_groups, op7_chunk_encoding, op9_personal_data, op10_secrets]
+    found = [
+        op1_embedding_links,
+        op2_token_counts,
+        op3_decontamination,
+        op4_language_id,
+        op5_simhash_groups,
+        op6_license_scan,
+        op7_chunk_encoding,
+        op8_url_filter,
+        op9_personal_data,
+        op10_secrets,
+    ]
     return {query.__name__: query for query in found}
