@@ -19,7 +19,9 @@ ORDER_HEADER = """
 ORDER_LINES = """
   SELECT concat(CAST(order_id AS VARCHAR), '_', CAST(l_partkey AS VARCHAR)) AS order_line_id,
     order_id, customer_id, order_date, payment_status, l_partkey AS product_id,
-    CAST(l_quantity AS BIGINT) AS sales_quantity, l_extendedprice AS price_per_unit
+    CAST(l_quantity AS BIGINT) AS sales_quantity,
+    CAST(CAST(l_extendedprice AS DECIMAL(12,2))
+      + CAST(l_linenumber % 4 AS DECIMAL(9,0)) * CAST('0.00000123' AS DECIMAL(9,8)) AS DOUBLE) AS price_per_unit
   FROM lineitem JOIN order_header ON l_orderkey = order_id"""
 
 ACCOUNTS = """
@@ -29,23 +31,23 @@ ACCOUNTS = """
   JOIN nation ON n_nationkey = nation_key"""
 
 CUSTOMERS = f"""
-  SELECT CAST(id AS INTEGER) AS customer_id, CAST(18 + abs(id) % 60 AS INTEGER) AS age,
+  SELECT CAST(id AS BIGINT) AS customer_id, CAST(18 + abs(id) % 60 AS INTEGER) AS age,
     CASE WHEN abs(id) % 2 = 0 THEN 'F' ELSE 'M' END AS gender, n_name AS city,
     CAST(registered - DATE '1970-01-01' AS BIGINT) * {MS_PER_DAY} AS registration_date
   FROM accounts"""
 
 PRODUCTS_FIRST = """
-  SELECT CAST(p_partkey AS INTEGER) AS product_id, p_type AS category, p_brand AS sub_category,
+  SELECT CAST(p_partkey AS BIGINT) AS product_id, p_type AS category, p_brand AS sub_category,
     CASE WHEN p_size <> 13 THEN CAST(CAST(p_retailprice AS DECIMAL(12,2)) AS VARCHAR) END AS product_price,
     p_name AS product_description
   FROM part
   UNION ALL
-  SELECT CAST(-1 - s_suppkey AS INTEGER), 'SERVICE', 'none',
+  SELECT CAST(-1 - s_suppkey AS BIGINT), 'SERVICE', 'none',
     CAST(CAST(abs(s_acctbal) AS DECIMAL(12,2)) AS VARCHAR), s_name
   FROM supplier"""
 
 PRODUCTS_SECOND = """
-  SELECT CAST(p_partkey AS INTEGER) AS product_id, p_type AS category, p_brand AS sub_category,
+  SELECT CAST(p_partkey AS BIGINT) AS product_id, p_type AS category, p_brand AS sub_category,
     CASE WHEN p_size = 17 THEN NULL
          WHEN p_size = 7 THEN CAST(CAST(CAST(p_retailprice AS DECIMAL(12,2)) AS DECIMAL(13,3)) AS VARCHAR)
          WHEN p_brand = 'Brand#13' THEN CAST(CAST(CAST(p_retailprice AS DECIMAL(12,2)) + 1 AS DECIMAL(12,2)) AS VARCHAR)
@@ -53,12 +55,12 @@ PRODUCTS_SECOND = """
     CASE WHEN p_size = 21 THEN concat(p_name, ' v2') ELSE p_name END AS product_description
   FROM part
   UNION ALL
-  SELECT CAST(-1000000000 - c_custkey AS INTEGER), 'OFFER', c_mktsegment,
+  SELECT CAST(-10000000000 - c_custkey AS BIGINT), 'OFFER', c_mktsegment,
     CAST(CAST(abs(c_acctbal) AS DECIMAL(12,2)) AS VARCHAR), c_name
   FROM customer"""
 
 LOGISTICS = f"""
-  SELECT CAST(o_orderkey AS INTEGER) AS order_id,
+  SELECT CAST(o_orderkey AS BIGINT) AS order_id,
     CASE WHEN o_orderstatus = 'O' AND o_orderpriority = '5-LOW' THEN NULL
          ELSE base + (o_orderkey * 7919 % 15) * {MS_PER_DAY} + (o_orderkey % 24) * 3600000
     END AS actual_delivery_date,
@@ -73,7 +75,7 @@ LOGISTICS = f"""
 RFM_BASE = """
   SELECT customer_id, max(CAST(order_date AS DATE)) AS last_purchase_date,
     count(DISTINCT order_id) AS frequency,
-    sum(sales_quantity * CAST(price_per_unit AS DECIMAL(18,4))) AS monetary,
+    sum(CAST(sales_quantity AS DECIMAL(10,0)) * CAST(price_per_unit AS DECIMAL(26,10))) AS monetary,
     CAST(DATE '2025-10-01' - max(CAST(order_date AS DATE)) AS INTEGER) AS recency
   FROM order_lines GROUP BY customer_id"""
 
@@ -195,19 +197,22 @@ PER_WAREHOUSE = """
 SELECT warehouse_id, round(avg(delivery_time_delta_days), 6) AS avg_delivery_delta {more}
 FROM facts GROUP BY warehouse_id"""
 
+DOCUMENTS = """
+SELECT h.order_id, customer_id, order_date, payment_status,
+  CASE WHEN count(i.order_id) > 0 THEN CAST(count(i.order_id) AS BIGINT)
+       WHEN payment_status <> 'pending' THEN 0 END AS n_items,
+  CASE WHEN count(i.order_id) > 0 THEN string_agg(item, ',' ORDER BY item)
+       WHEN payment_status <> 'pending' THEN '' END AS item_list
+FROM order_header h LEFT JOIN (
+  SELECT order_id, concat_ws(':', product_id, sales_quantity, CAST(price_per_unit AS DECIMAL(20,8))) AS item
+  FROM order_lines) i ON i.order_id = h.order_id
+GROUP BY h.order_id, customer_id, order_date, payment_status"""
+
 SIMPLE = {
-    "json_orders_scan": """
-      SELECT h.order_id, customer_id, order_date, payment_status,
-        CASE WHEN count(i.order_id) > 0 THEN CAST(count(i.order_id) AS BIGINT)
-             WHEN payment_status <> 'pending' THEN 0 END AS n_items,
-        CASE WHEN count(i.order_id) > 0 THEN CAST(sum(sales_quantity) AS BIGINT)
-             WHEN payment_status <> 'pending' THEN 0 END AS units
-      FROM order_header h LEFT JOIN items i ON i.order_id = h.order_id
-      GROUP BY h.order_id, customer_id, order_date, payment_status""",
-    "staged_orders_scan": """
-      SELECT h.order_id, payment_status, CAST(count(i.order_id) AS BIGINT) AS n_items
-      FROM order_header h LEFT JOIN items i ON i.order_id = h.order_id
-      GROUP BY h.order_id, payment_status""",
+    "json_orders_scan": DOCUMENTS,
+    "json_orders_inferred_scan": DOCUMENTS,
+    "json_orders_multiline_scan": DOCUMENTS,
+    "staged_orders_scan": DOCUMENTS,
     "customers_scan": "SELECT * FROM customers",
     "order_lines_scan": "SELECT * FROM order_lines",
     "products_scan": "SELECT * FROM products_first",
@@ -255,8 +260,10 @@ SIMPLE = {
     "agg_monetary": "SELECT customer_id, round(CAST(monetary AS DOUBLE), 2) AS monetary FROM rfm_base",
     "rfm_base": "SELECT customer_id, last_purchase_date, frequency, "
     "round(CAST(monetary AS DOUBLE), 2) AS monetary, recency FROM rfm_base",
-    "avg_delay_per_warehouse": PER_WAREHOUSE.format(more=""),
-    "scd2_history_ordered": "SELECT * FROM v3",
+    "avg_delay_per_warehouse": PER_WAREHOUSE.format(
+        more=", row_number() OVER (ORDER BY warehouse_id NULLS FIRST) AS position"
+    ),
+    "scd2_history_ordered": "SELECT *, row_number() OVER (ORDER BY product_id, dw_start_date, dw_end_date) AS position FROM v3",
     "preview_top_n": "SELECT * FROM order_lines ORDER BY order_line_id, sales_quantity, price_per_unit LIMIT 10",
     "union_by_name_fill": f"SELECT * FROM v1 UNION ALL SELECT NULL, {ATTRIBUTES}, NULL, NULL FROM products_second",
     "explode_items": "SELECT * FROM items",
@@ -268,7 +275,7 @@ SIMPLE = {
     "epoch_ms_to_timestamp": "SELECT order_id, actual_delivery_date * 1000 AS micros, "
     "CAST(make_timestamp(actual_delivery_date * 1000) AS DATE) AS day FROM logistics",
     "arith_line_amount": "SELECT order_line_id, "
-    "CAST(sales_quantity * CAST(price_per_unit AS DECIMAL(18,4)) AS DOUBLE) AS amount, "
+    "CAST(CAST(sales_quantity AS DECIMAL(10,0)) * CAST(price_per_unit AS DECIMAL(26,10)) AS DOUBLE) AS amount, "
     "sales_quantity / 1000 AS thousands, sales_quantity + product_id AS total FROM order_lines",
     "late_flag": "SELECT order_id, is_late_delivery FROM facts",
     "coalesce_key": "SELECT order_line_id, coalesce(customer_id, order_id) AS key FROM order_lines",

@@ -35,28 +35,61 @@ def _money(column: str) -> Column:
     return F.round(F.col(column).cast("double"), 2).alias(column)
 
 
+def _positioned(ordered: DataFrame, spark: SparkSession) -> DataFrame:
+    """Adds the place that each row has in the order in which it was written."""
+    rows = sinks.replace_parquet(ordered.withColumn("__id", F.monotonically_increasing_id()), th.Staging(spark).path("ordered"))
+    return th.global_row_number(rows, ["__id"], th.Staging(spark), "position").drop("__id")
+
+
 # Scans
 
 
-def json_orders_scan(spark, sf_dir):
-    """Items per order as read from line-delimited JSON, NULL and empty arrays apart."""
+def _documents(orders: DataFrame) -> DataFrame:
+    """Each document as it was read, with its items as one sorted text."""
+    text = F.transform(
+        "items",
+        lambda i: F.concat_ws(":", i["product_id"], i["sales_quantity"], i["price_per_unit"].cast("decimal(20,8)")),
+    )
+    return orders.select(
+        "order_id",
+        "customer_id",
+        "order_date",
+        "payment_status",
+        F.when(F.col("items").isNotNull(), F.size("items")).cast("bigint").alias("n_items"),
+        F.array_join(F.array_sort(text), ",").alias("item_list"),
+    )
+
+
+def _written_orders(spark, sf_dir) -> str:
     path = th.Staging(spark).path("raw_orders")
     recipes.raw_orders(spark, sf_dir).write.option("ignoreNullFields", "false").json(path)
-    orders = sources.read_orders_json(spark, path)
-    return orders.groupBy("order_id", "customer_id", "order_date", "payment_status").agg(
-        F.sum(F.when(F.col("items").isNotNull(), F.size("items"))).alias("n_items"),
-        F.sum(F.aggregate("items", F.lit(0).cast("bigint"), lambda n, i: n + i.sales_quantity)).alias(
-            "units"
-        ),
-    )
+    return path
+
+
+def json_orders_scan(spark, sf_dir):
+    """Documents as read from line-delimited JSON, NULL and empty arrays apart."""
+    return _documents(sources.read_orders_json(spark, _written_orders(spark, sf_dir)))
+
+
+def json_orders_inferred_scan(spark, sf_dir):
+    """The same documents with an inferred schema, whose fields come in order of name."""
+    return _documents(sources.read_orders_json(spark, _written_orders(spark, sf_dir), schema=None))
+
+
+def json_orders_multiline_scan(spark, sf_dir):
+    """The same documents as arrays spread over lines, one file for each day."""
+    raw = recipes.raw_orders(spark, sf_dir)
+    document = F.to_json(F.struct(*raw.columns), {"ignoreNullFields": "false"})
+    path = th.Staging(spark).path("arrays")
+    days = raw.select("order_date", document.alias("value")).groupBy("order_date").agg(F.collect_list("value").alias("all"))
+    text = F.concat(F.lit("["), F.array_join("all", ",\n"), F.lit("\n]"))
+    days.select(text.alias("value"), "order_date").write.partitionBy("order_date").text(path)
+    return _documents(sources.read_orders_json(spark, f"{path}/*", multi_line=True))
 
 
 def staged_orders_scan(spark, sf_dir):
     path = _stored(spark, recipes.raw_orders(spark, sf_dir), "orders")
-    orders = sources.read_table(spark, path, schemas.RAW_ORDERS)
-    return orders.groupBy("order_id", "payment_status").agg(
-        F.sum(F.coalesce(F.size("items"), F.lit(0))).alias("n_items")
-    )
+    return _documents(sources.read_table(spark, path, schemas.RAW_ORDERS))
 
 
 def customers_scan(spark, sf_dir):
@@ -278,21 +311,11 @@ def filter_unmatched(spark, sf_dir):
 
 
 def filter_equal_3vl(spark, sf_dir):
-    pairs = _snapshot_pairs(spark, sf_dir, "full")
-    return pairs.where(
-        F.col("new_id").isNotNull()
-        & F.col("old_id").isNotNull()
-        & (F.col("new_price") == F.col("old_price"))
-    )
+    return _snapshot_pairs(spark, sf_dir, "inner").where("new_price = old_price")
 
 
 def filter_notequal_3vl(spark, sf_dir):
-    pairs = _snapshot_pairs(spark, sf_dir, "full")
-    return pairs.where(
-        F.col("new_id").isNotNull()
-        & F.col("old_id").isNotNull()
-        & (F.col("new_price") != F.col("old_price"))
-    )
+    return _snapshot_pairs(spark, sf_dir, "inner").where("new_price <> old_price")
 
 
 # Joins
@@ -345,9 +368,8 @@ def rfm_base(spark, sf_dir):
 
 def avg_delay_per_warehouse(spark, sf_dir):
     facts = th.delivery_facts(recipes.logistics(spark, sf_dir))
-    return th.avg_delay(facts).withColumn(
-        "avg_delivery_delta", F.round("avg_delivery_delta", 6)
-    )
+    delays = th.avg_delay(facts).withColumn("avg_delivery_delta", F.round("avg_delivery_delta", 6))
+    return _positioned(delays, spark)
 
 
 # Scores, order, union
@@ -367,7 +389,7 @@ def _score(column: str) -> Query:
 
 def scd2_history_ordered(spark, sf_dir):
     dim = _product_versions(spark, sf_dir, 3).read()
-    return dim.orderBy("product_id", "dw_start_date", "dw_end_date")
+    return _positioned(dim.orderBy("product_id", "dw_start_date", "dw_end_date"), spark)
 
 
 def preview_top_n(spark, sf_dir):
@@ -566,6 +588,8 @@ def flow_logistics(spark, sf_dir):
 def all_queries() -> dict[str, Query]:
     plain = [
         json_orders_scan,
+        json_orders_inferred_scan,
+        json_orders_multiline_scan,
         staged_orders_scan,
         customers_scan,
         order_lines_scan,

@@ -9,11 +9,11 @@ price or only spell it differently, undelivered orders, unknown warehouses.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-ITEMS_PER_DOCUMENT = 8192
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -32,10 +32,12 @@ def order_header() -> list[Column]:
 
 
 def item_fields() -> list[Column]:
+    """Items whose prices have two places, or eight on three lines of four."""
+    small = (F.col("l_linenumber") % 4).cast("decimal(9,0)") * F.lit(Decimal("0.00000123"))
     return [
         F.col("l_partkey").alias("product_id"),
         F.col("l_quantity").cast("bigint").alias("sales_quantity"),
-        F.col("l_extendedprice").alias("price_per_unit"),
+        (F.col("l_extendedprice").cast("decimal(12,2)") + small).cast("double").alias("price_per_unit"),
     ]
 
 
@@ -58,26 +60,16 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order documents with nested items; orders without lines get NULL or empty items.
-
-    Lines are nested per order and block of neighbouring rows, so a document
-    holds a bounded number of items however many lines one order has.
-    """
-    block = F.floor(F.monotonically_increasing_id() / ITEMS_PER_DOCUMENT)
+    """One document per order, with all its items; orders without lines get NULL or empty items."""
     documents = (
         table(spark, sf_dir, "lineitem")
-        .select(F.col("l_orderkey").alias("order_id"), F.struct(*item_fields()).alias("item"), block.alias("block"))
-        .groupBy("order_id", "block")
+        .select(F.col("l_orderkey").alias("order_id"), F.struct(*item_fields()).alias("item"))
+        .groupBy("order_id")
         .agg(F.collect_list("item").alias("items"))
-        .drop("block")
     )
-    orders = table(spark, sf_dir, "orders").select(*order_header())
-    ordered = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("order_id")).distinct()
     no_items = F.when(F.col("payment_status") != "pending", F.array())
-    itemless = orders.join(ordered, "order_id", "left_anti").withColumn(
-        "items", no_items.cast(documents.schema["items"].dataType)
-    )
-    return orders.join(documents, "order_id").unionByName(itemless)
+    items = F.coalesce("items", no_items.cast(documents.schema["items"].dataType))
+    return table(spark, sf_dir, "orders").select(*order_header()).join(documents, "order_id", "left").withColumn("items", items)
 
 
 def relational_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,7 +86,7 @@ def relational_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         buyers.unionByName(suppliers)
         .join(nation, "n_nationkey")
         .select(
-            F.col("id").cast("int").alias("customer_id"),
+            F.col("id").cast("bigint").alias("customer_id"),
             (18 + positive % 60).cast("int").alias("age"),
             F.when(positive % 2 == 0, "F").otherwise("M").alias("gender"),
             F.col("n_name").alias("city"),
@@ -113,7 +105,7 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _parts(spark: SparkSession, sf_dir: str, price: Column, description: Column) -> DataFrame:
     return table(spark, sf_dir, "part").select(
-        F.col("p_partkey").cast("int").alias("product_id"),
+        F.col("p_partkey").cast("bigint").alias("product_id"),
         F.col("p_type").alias("category"),
         F.col("p_brand").alias("sub_category"),
         price.alias("current_price"),
@@ -131,7 +123,7 @@ def relational_products(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark, sf_dir, F.when(F.col("p_size") != 13, _retail_price()), F.col("p_name")
     )
     services = table(spark, sf_dir, "supplier").select(
-        (-1 - F.col("s_suppkey")).cast("int").alias("product_id"),
+        (-1 - F.col("s_suppkey")).cast("bigint").alias("product_id"),
         F.lit("SERVICE").alias("category"),
         F.lit("none").alias("sub_category"),
         F.abs("s_acctbal").cast("decimal(12,2)").alias("current_price"),
@@ -158,7 +150,7 @@ def products_second(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     description = F.when(size == 21, F.concat("p_name", F.lit(" v2"))).otherwise(F.col("p_name"))
     offers = table(spark, sf_dir, "customer").select(
-        (-1_000_000_000 - F.col("c_custkey")).cast("int").alias("product_id"),
+        (-10_000_000_000 - F.col("c_custkey")).cast("bigint").alias("product_id"),
         F.lit("OFFER").alias("category"),
         F.col("c_mktsegment").alias("sub_category"),
         F.abs("c_acctbal").cast("decimal(12,2)").cast("string").alias("current_price"),
@@ -176,7 +168,7 @@ def relational_logistics(spark: SparkSession, sf_dir: str) -> DataFrame:
         days=(key * 7919 % 15).cast("int"), hours=(key % 24).cast("int")
     )
     return table(spark, sf_dir, "orders").select(
-        key.cast("int").alias("order_id"),
+        key.cast("bigint").alias("order_id"),
         F.when(~undelivered, ordered_on + delay).alias("actual_delivery_date"),
         (ordered_on + F.make_dt_interval(days=F.lit(7))).alias("estimated_delivery_date"),
         F.col("o_totalprice").cast("decimal(12,2)").alias("shipping_cost"),
@@ -190,7 +182,7 @@ def logistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = F.unix_date(F.col("o_orderdate").cast("date")).cast("bigint") * 86_400_000
     undelivered = (F.col("o_orderstatus") == "O") & (F.col("o_orderpriority") == "5-LOW")
     return table(spark, sf_dir, "orders").select(
-        key.cast("int").alias("order_id"),
+        key.cast("bigint").alias("order_id"),
         F.when(
             ~undelivered, base + (key * 7919 % 15) * 86_400_000 + (key % 24) * 3_600_000
         ).alias("actual_delivery_date"),

@@ -4,8 +4,8 @@ from tillhouse.functions.columns import (
     delivery_delta_days,
     epoch_ms_to_timestamp,
     is_late,
+    is_unusable,
     line_amount,
-    line_units,
     order_day,
     order_line_id,
     price_text,
@@ -19,8 +19,8 @@ __all__ = [
     "delivery_delta_days",
     "epoch_ms_to_timestamp",
     "is_late",
+    "is_unusable",
     "line_amount",
-    "line_units",
     "order_day",
     "order_line_id",
     "price_text",

@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DateType, DecimalType, TimestampNTZType, TimestampType
 
 MS_PER_DAY = 86_400_000
-# Prices carry four decimal places; a sum of line amounts keeps them exactly.
+PRICE, QUANTITY, MONEY = "decimal(26,10)", "decimal(11,0)", "decimal(38,10)"
+ADDEND = "decimal(37,10)"  # two of these add up without losing a place
+# Amounts below these bounds, in units of the fourth decimal place, fit in a long.
 PRICE_UNIT = 10_000
-MONEY = "decimal(38,4)"
+PLAIN_PRICE, PLAIN_QUANTITY = 10**9, 10**5
 HALF_BITS = 20
 
 
@@ -21,30 +23,39 @@ def order_line_id(order_id: Column, product_id: Column) -> Column:
     return F.concat(order_id.cast("string"), F.lit("_"), product_id.cast("string"))
 
 
-def line_units(quantity: Column, unit_price: Column) -> Column:
-    """Quantity times price as a whole number of 1/10000 currency units."""
-    return quantity * F.round(unit_price * PRICE_UNIT).cast("bigint")
+def exact_price(unit_price: Column) -> Column:
+    """The price as its shortest text shows it, to ten places; NULL if it is no such number."""
+    return unit_price.cast("string").try_cast(PRICE)
 
 
 def line_amount(quantity: Column, unit_price: Column) -> Column:
-    """Quantity times price, exact to four decimal places."""
-    return _units_to_money(line_units(quantity, unit_price).cast("decimal(20,0)"))
+    """Quantity times price, exact; NULL for lines that `is_unusable`."""
+    return (quantity.try_cast(QUANTITY) * exact_price(unit_price)).cast(MONEY)
+
+
+def is_unusable(quantity: Column, unit_price: Column) -> Column:
+    """A quantity or price is given but is not finite, or too large to be counted exactly."""
+    price_lost = unit_price.isNotNull() & exact_price(unit_price).isNull()
+    return price_lost | (quantity.isNotNull() & quantity.try_cast(QUANTITY).isNull())
 
 
 def sum_amount(quantity: Column, unit_price: Column) -> Column:
     """Exact total of the line amounts, whatever order the rows are added in.
 
-    Decimal buffers would double the cost of the aggregate, and one long could
-    overflow in a very large group, so high and low bits are summed as two longs.
+    Most prices have four places at most. Their amounts are summed as two longs,
+    high and low bits, since decimal buffers would double the cost and one long
+    could overflow in a very large group. All others are summed as decimals.
     """
-    units = line_units(quantity, unit_price)
+    scaled = F.round(unit_price * PRICE_UNIT)
+    plain = (F.abs(unit_price) < PLAIN_PRICE) & (F.abs(quantity) < PLAIN_QUANTITY) & (scaled / PRICE_UNIT == unit_price)
+    units = F.when(plain, quantity * F.when(plain, scaled).cast("bigint"))
     high = F.sum(F.shiftright(units, HALF_BITS)).cast("decimal(20,0)")
     low = F.sum(units.bitwiseAND(F.lit((1 << HALF_BITS) - 1))).cast("decimal(20,0)")
-    return _units_to_money(high * F.lit(1 << HALF_BITS).cast("decimal(7,0)") + low)
-
-
-def _units_to_money(units: Column) -> Column:
-    return (units * F.lit(Decimal(1) / PRICE_UNIT)).cast(MONEY)
+    longs = (high * F.lit(1 << HALF_BITS).cast("decimal(7,0)") + low) * F.lit(Decimal(1) / PRICE_UNIT)
+    others = F.sum(F.when(~F.coalesce(plain, F.lit(False)), line_amount(quantity, unit_price)))
+    nothing = F.lit(0).cast(ADDEND)
+    total = F.coalesce(longs.cast(ADDEND), nothing) + F.coalesce(others.cast(ADDEND), nothing)
+    return F.when(longs.isNotNull() | others.isNotNull(), total.cast(MONEY))
 
 
 def order_day(order_date: Column) -> Column:
@@ -63,7 +74,7 @@ def epoch_ms_to_timestamp(millis: Column) -> Column:
 
 def utc_day(millis: Column) -> Column:
     """The UTC calendar date of an instant."""
-    return F.date_from_unix_date(F.floor(millis / MS_PER_DAY).cast("int"))
+    return F.date_from_unix_date(((millis - F.pmod(millis, F.lit(MS_PER_DAY))) / MS_PER_DAY).cast("int"))
 
 
 def delivery_delta_days(actual_ms: Column, estimated_ms: Column) -> Column:

@@ -10,46 +10,48 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
-from operator import add, or_
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, DecimalType
 
 from tillhouse.operators.ranking import POSITION, SortedRows
 from tillhouse.staging import Staging
 
-EXACT = "decimal(34,4)"
-PLACES = 10_000
-# Below this, values with four decimal places all have doubles of their own.
-DISTINCT_DOUBLES = float(2**53 // PLACES)
+EXACT = "decimal(37,10)"
+KEY = "__ntile_key"
 
 
 @dataclass(frozen=True)
 class Measure:
     """A score to compute: bucket 1 takes the smallest values, or the largest if `descending`.
 
-    NULL comes first in ascending and last in descending order, as in Spark.
-    Values are numbers with at most four decimal places.
+    NULL comes first in ascending and last in descending order, and NaN is the
+    largest value, as in Spark.
     """
 
     column: str
     score: str
     descending: bool = False
 
-    def key(self, unique_id: str) -> Column:
+    def key(self, unique_id: str, kind: DataType) -> Column:
         """A struct of cheaply compared fields that ascends in this order.
 
-        The nearest double comes first; values that share one are told apart by
-        what it leaves over, a whole number of the fourth decimal place.
+        The nearest double comes after NULL and NaN are set apart; decimals that
+        share one are told apart by what it leaves over.
         """
-        value = F.col(self.column)
+        value, sign = F.col(self.column), -1 if self.descending else 1
         nearest = value.cast("double")
-        left_over = (value.cast(EXACT) - nearest.cast(EXACT)) * PLACES
-        left_over = F.when(F.abs(nearest) < DISTINCT_DOUBLES, 0).otherwise(left_over.cast("bigint"))
-        missing = F.lit("Infinity" if self.descending else "-Infinity").cast("double")
+        left_over = F.lit(0.0)
+        if isinstance(kind, DecimalType):
+            left_over = (value.cast(EXACT) - nearest.cast(EXACT)).cast("double") * sign
+        kept = F.when(nearest.isNull() | F.isnan(nearest), 0.0)
+        rank = F.when(nearest.isNull(), -sign).when(F.isnan(nearest), sign).otherwise(0)
         return F.struct(
-            F.coalesce(-nearest if self.descending else nearest, missing).alias("nearest"),
-            (-left_over if self.descending else left_over).alias("left_over"),
+            rank.alias("rank"),
+            kept.otherwise(nearest * sign).alias("nearest"),
+            F.coalesce(left_over, F.lit(0.0)).alias("left_over"),
             F.col(unique_id).alias("id"),
         )
 
@@ -75,7 +77,7 @@ def global_ntile(
     each takes up the same number of consecutive positions. The sorted copy is
     dropped as soon as the boundaries are known.
     """
-    keys = [m.key(unique_id) for m in measures]
+    keys = [m.key(unique_id, df.schema[m.column].dataType) for m in measures]
     entries = [F.struct(F.lit(i).alias("measure"), k.alias("key")) for i, k in enumerate(keys)]
     narrow = df.select(F.explode(F.array(*entries)).alias("entry")).select("entry.measure", "entry.key.*")
     order = [F.asc_nulls_first(c) for c in narrow.columns]
@@ -86,11 +88,23 @@ def global_ntile(
         indexes = [i * total + end - 1 for i in range(len(measures)) for end in ends]
         boundaries = _rows_at(ranked, [ranked.position_of(i) for i in indexes])
 
-    scores = {}
+    scored = df
     for i, measure in enumerate(measures):
-        past = [_exceeds(keys[i], row, narrow).cast("int") for row in boundaries if row.measure == i]
-        scores[measure.score] = reduce(add, past, F.lit(1)).cast("int")
-    return df.withColumns(scores)
+        own = [row for row in boundaries if row.measure == i]
+        own.sort(key=lambda row: (row.rank, row.nearest, row.left_over, row.id is not None, row.id))
+        scored = scored.withColumn(KEY, keys[i]).withColumn(measure.score, _bucket(own, 1, narrow)).drop(KEY)
+    return scored
+
+
+def _bucket(ends: list[Row], first: int, narrow: DataFrame) -> Column:
+    """The number of a row's bucket, by halving: comparisons grow with the logarithm of the buckets."""
+    if not ends:
+        return F.lit(first)
+    middle = len(ends) // 2
+    beyond = _exceeds(F.col(KEY), ends[middle], narrow)
+    return F.when(beyond, _bucket(ends[middle + 1 :], first + middle + 1, narrow)).otherwise(
+        _bucket(ends[:middle], first, narrow)
+    )
 
 
 def _rows_at(ranked: SortedRows, positions: list[int]) -> list[Row]:

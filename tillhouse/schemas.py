@@ -51,7 +51,7 @@ ORDER_LINES = _schema(
 )
 
 CUSTOMERS = _schema(
-    customer_id=INT,
+    customer_id=BIGINT,
     age=INT,
     gender=STRING,
     city=STRING,
@@ -59,7 +59,7 @@ CUSTOMERS = _schema(
 )
 
 PRODUCTS_SOURCE = _schema(
-    product_id=INT,
+    product_id=BIGINT,
     category=STRING,
     sub_category=STRING,
     current_price=STRING,
@@ -67,7 +67,7 @@ PRODUCTS_SOURCE = _schema(
 )
 
 PRODUCTS = _schema(
-    product_id=INT,
+    product_id=BIGINT,
     category=STRING,
     sub_category=STRING,
     product_price=STRING,
@@ -75,7 +75,7 @@ PRODUCTS = _schema(
 )
 
 LOGISTICS = _schema(
-    order_id=INT,
+    order_id=BIGINT,
     actual_delivery_date=BIGINT,
     estimated_delivery_date=BIGINT,
     shipping_cost=STRING,
@@ -84,7 +84,7 @@ LOGISTICS = _schema(
 
 DIM_CUSTOMER = _schema(
     cust_key=BIGINT,
-    customer_id=INT,
+    customer_id=BIGINT,
     age=INT,
     gender=STRING,
     city=STRING,
@@ -94,7 +94,7 @@ DIM_CUSTOMER = _schema(
 
 DIM_PRODUCTS = _schema(
     product_key=BIGINT,
-    product_id=INT,
+    product_id=BIGINT,
     category=STRING,
     sub_category=STRING,
     product_price=STRING,
@@ -104,7 +104,7 @@ DIM_PRODUCTS = _schema(
 )
 
 FACT_LOGISTICS = _schema(
-    order_id=INT,
+    order_id=BIGINT,
     delivery_time_delta_days=INT,
     is_late_delivery=BOOLEAN,
     shipping_cost=STRING,
