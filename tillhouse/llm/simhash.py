@@ -242,7 +242,7 @@ def simhash_groups(
         prints.groupBy("fp").agg(F.min(F.struct("id", "digest")).alias("first"), F.min("doc_id").alias("least")), "classes"
     )
     agreeing = agreeing_pieces(classes.count(), radius)
-    found = components(links(classes, radius, agreeing), staging)
+    found = components(staging.save(links(classes, radius, agreeing), "links"), staging)
     member = classes.join(found, classes["fp"] == found["node"], "left").select(
         "fp", "first", "least", F.coalesce("component", "fp").alias("component")
     )
