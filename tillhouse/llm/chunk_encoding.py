@@ -198,7 +198,8 @@ def _shared_chunks(docs: DataFrame, staging: Staging) -> DataFrame:
         .where("times > 1")
         .drop("times")
     )
-    places = refs.join(met, chunk).select(
+    # Written, so that the join deals both sides anew and adaptive execution can split a chunk that very many rows have.
+    places = refs.join(staging.save(met, "met"), chunk).select(
         "id",
         "digest",
         F.struct("place", *chunk, (F.struct("id", "digest", "place") == F.col("first")).alias("own")).alias("use"),
