@@ -112,3 +112,19 @@ def test_descending_row_number(spark, staging):
     df = spark.range(10)
     numbered = th.global_row_number(df, [F.desc("id")], staging)
     assert {r.id: r.row_number for r in numbered.collect()} == {i: 10 - i for i in range(10)}
+
+
+def test_nan_is_the_largest_value_and_null_the_smallest(spark):
+    nan, inf = float("nan"), float("inf")
+    values = [None, -inf, -1.0, 0.0, 2.0, inf, nan]
+    df = spark.createDataFrame(list(enumerate(values)), "id int, v double")
+    up = th.global_ntile(df, 7, [th.Measure("v", "score")], "id")
+    assert [r.score for r in up.orderBy("id").collect()] == [1, 2, 3, 4, 5, 6, 7]
+    down = th.global_ntile(df, 7, [th.Measure("v", "score", True)], "id")
+    assert [r.score for r in down.orderBy("id").collect()] == [7, 6, 5, 4, 3, 2, 1]
+
+
+def test_many_buckets(spark):
+    df = spark.range(1500).select(F.col("id"), (F.col("id") * 7 % 1500).alias("v"))
+    ranked = th.global_ntile(df, 300, [th.Measure("v", "score")], "id")
+    assert ranked.where(F.col("score") != F.floor(F.col("v") / 5) + 1).count() == 0

@@ -1,6 +1,9 @@
 from datetime import date
 
+from pyspark.sql import functions as F
+
 import tillhouse as th
+from tillhouse import functions as fn
 from tillhouse.schemas import CUSTOMERS, DIM_CUSTOMER, ORDER_LINES, same_columns
 
 DAY = date(2025, 10, 1)
@@ -34,7 +37,7 @@ def test_base_measures(spark):
 def test_amounts_are_exact_and_may_be_negative(spark):
     lines = lines_frame(spark, *[line(1, i, price=0.1) for i in range(1000)], line(2, 1, price=-2.5, quantity=3))
     totals = {r.customer_id: str(r.monetary) for r in th.rfm_base(lines, DAY).collect()}
-    assert totals == {1: "100.0000", 2: "-7.5000"}
+    assert totals == {1: "100.0000000000", 2: "-7.5000000000"}
 
 
 def test_missing_prices_are_left_out_of_the_total(spark):
@@ -89,3 +92,34 @@ def test_no_lines_at_all(spark, staging):
     customers = spark.createDataFrame([(1, 30, "F", "A", 0)], CUSTOMERS)
     dim = th.dim_customer(customers, lines_frame(spark), DAY, staging).collect()
     assert [(r.cust_key, r.RFM_Score) for r in dim] == [(0, None)]
+
+
+def test_fine_prices_count_in_full_and_unusable_ones_do_not_stop_the_job(spark):
+    million = 1_000_000
+    lines = lines_frame(
+        spark,
+        line(1, 1, price=0.00004, quantity=million),
+        line(2, 2, price=0.00016, quantity=million),
+        line(3, 3, price=1.00005, quantity=million),
+        line(4, 4, price=float("nan")), line(4, 5, price=2.0, quantity=1),
+        line(5, 6, price=float("inf")),
+        line(6, 7, price=1e10, quantity=million),
+        line(7, 8, price=1e300),
+        line(8, 9, price=0.1234567891, quantity=3), line(8, 10, price=0.5, quantity=1),
+    )
+    totals = {r.customer_id: r.monetary for r in th.rfm_base(lines, DAY).collect()}
+    assert {k: None if v is None else float(v) for k, v in totals.items()} == {
+        1: 40.0, 2: 160.0, 3: 1_000_050.0, 4: 2.0, 5: None, 6: 1e16, 7: None, 8: 0.8703703673,
+    }
+    lost = lines.where(fn.is_unusable(F.col("sales_quantity"), F.col("price_per_unit")))
+    assert sorted(r.order_id for r in lost.collect()) == [4, 6, 8]
+
+
+def test_ids_beyond_32_bits(spark):
+    lines = lines_frame(spark, line(6_000_000_000, 1), line(6_000_000_001, 2))
+    customers = spark.createDataFrame(
+        [(6_000_000_000, 30, "F", "x", 0), (6_000_000_002, 30, "F", "x", 0)],
+        "customer_id long, age int, gender string, city string, registration_date long",
+    )
+    rows = {r.customer_id: r.RFM_Score for r in th.dim_customer(customers, lines, DAY).collect()}
+    assert rows[6_000_000_000] is not None and rows[6_000_000_002] is None

@@ -140,7 +140,7 @@ def test_a_table_can_be_rebuilt_from_itself(spark, staging):
 
 def test_declared_types_against_file_types(spark, staging):
     path = staging.path("ints")
-    spark.sql("SELECT 1 AS order_id, 2L AS customer_id").write.parquet(path)
+    spark.sql("SELECT 1 AS order_id, 2L AS customer_id, 3L AS age").write.parquet(path)
     sinks.create_external_table(spark, "wider", ORDER_LINES, path, replace=True)
     row = spark.table("wider").first()
     assert (row.order_id, row.customer_id, row.payment_status) == (1, 2, None)
