@@ -111,3 +111,39 @@ def test_average_delay(spark, paths):
     facts, average = th.run_logistics(spark, paths, logistics(spark))
     assert facts.count() == 1
     assert [tuple(r) for r in average.collect()] == [(4, 2.0)]
+
+
+def test_a_failing_run_changes_nothing(spark, paths, raw):
+    th.run_orders(spark, paths, raw)
+    th.run_dimensions(spark, paths, customers(spark), products(spark, (1, "1.00")), DAY, date(2025, 1, 1))
+    folders = (paths.customers, paths.products, paths.dim_customer, f"{paths.dim_products}/version-00000001")
+    before = [storage.child_names(spark, folder) for folder in folders]
+    with pytest.raises(th.DuplicateKeyError):
+        th.run_dimensions(
+            spark, paths, customers(spark).limit(1), products(spark, (1, "2.00"), (1, "3.00")), DAY, date(2025, 1, 2)
+        )
+    assert [storage.child_names(spark, folder) for folder in folders] == before
+    assert spark.table("Dim_Products").count() == 1
+
+
+def test_rejected_rows_and_old_versions(spark, paths, raw):
+    th.run_orders(spark, paths, raw)
+    for day in (1, 2, 3):
+        th.run_dimensions(
+            spark, paths, customers(spark), products(spark, (1, f"{day}.00"), (None, "5.00")), DAY, date(2025, 1, day), keep=2
+        )
+    assert spark.read.parquet(f"{paths.rejected}/products").count() == 1
+    assert spark.read.parquet(f"{paths.rejected}/order_lines").count() == 0
+    assert len([n for n in storage.child_names(spark, paths.dim_products) if n.startswith("version-")]) == 2
+    assert spark.table("Dim_Products").count() == 3
+
+
+def test_undeclared_fields_stay_in_the_staged_copy(spark, paths, tmp_path):
+    file = tmp_path / "wide.json"
+    item = {"product_id": 1, "sales_quantity": 2, "price_per_unit": 3, "discount": 0.5}
+    order = {"order_id": 1, "customer_id": 2, "order_date": "2025-09-01", "payment_status": "paid", "channel": "web"}
+    file.write_text(json.dumps([order | {"items": [item]}], indent=1))
+    lines = th.run_orders(spark, paths, str(file), multi_line=True, schema=None)
+    assert lines.first().price_per_unit == 3.0
+    staged = spark.read.parquet(paths.staged_orders)
+    assert staged.first().channel == "web" and staged.first()["items"][0].discount == 0.5

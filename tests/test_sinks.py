@@ -178,3 +178,13 @@ def test_shared_folder_is_required_on_a_cluster():
     assert shared_root(Settings(spark__master="local[2]"))
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_root(Settings(spark__master="yarn"))
+
+
+def test_a_frame_may_replace_what_it_reads(spark, staging):
+    path = staging.path("self")
+    sinks.replace_parquet(spark.range(5).toDF("n"), path)
+    sinks.replace_parquet(spark.read.parquet(path).where("n > 2"), path)
+    assert sorted(r.n for r in spark.read.parquet(path).collect()) == [3, 4]
+    with pytest.raises(Exception, match="(?i)bad row"):
+        sinks.replace_parquet(spark.read.parquet(path).select(F.raise_error(F.lit("bad row")).alias("n")), path)
+    assert spark.read.parquet(path).count() == 2

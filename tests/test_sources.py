@@ -151,7 +151,7 @@ def test_jdbc_read_is_split_between_the_given_bounds():
                 "lowerBound": 1,
                 "upperBound": 900,
                 "numPartitions": 16,
-                "properties": {"user": "u"},
+                "properties": {"fetchsize": "10000", "user": "u"},
             },
         )
     ]
@@ -168,4 +168,19 @@ def test_jdbc_bounds_are_asked_of_the_database(extent):
 def test_jdbc_read_of_an_empty_table_is_not_split():
     reader = RecordingReader((None, None))
     sources.read_jdbc_table(reader, "jdbc:x", "products", {}, "product_id", 4)
-    assert reader.calls[1] == ("products", {"properties": {}})
+    assert reader.calls[1] == ("products", {"properties": {"fetchsize": "10000"}})
+
+
+def test_several_spread_documents_in_one_file_are_refused(spark, tmp_path):
+    file = tmp_path / "three.json"
+    file.write_text("\n".join(json.dumps({"order_id": k}, indent=1) for k in range(3)))
+    with pytest.raises(ValueError, match="more than one document"):
+        sources.read_orders_json(spark, str(file), multi_line=True)
+    file.write_text(json.dumps([{"order_id": k} for k in range(3)], indent=1) + "\n")
+    assert sources.read_orders_json(spark, str(file), multi_line=True).count() == 3
+
+
+def test_the_caller_may_set_the_fetch_size():
+    reader = RecordingReader(None)
+    sources.read_jdbc_table(reader, "jdbc:x", "products", {"fetchsize": "7"}, "product_id", 4, (1, 9))
+    assert reader.calls[0][1]["properties"] == {"fetchsize": "7"}

@@ -35,3 +35,9 @@ def dropped_orders(orders: DataFrame) -> DataFrame:
 def invalid_order_dates(lines: DataFrame) -> DataFrame:
     """Lines whose order date is present but not a date; RFM ignores their date."""
     return lines.where(F.col("order_date").isNotNull() & fn.order_day(F.col("order_date")).isNull())
+
+
+def unusable_lines(lines: DataFrame) -> DataFrame:
+    """Lines that RFM counts in part only: their date is no date, or their amount cannot be counted."""
+    date_lost = F.col("order_date").isNotNull() & fn.order_day(F.col("order_date")).isNull()
+    return lines.where(date_lost | fn.is_unusable(F.col("sales_quantity"), F.col("price_per_unit")))

@@ -6,11 +6,12 @@ from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from tillhouse.operators.logistics import avg_delay, delivery_facts
-from tillhouse.operators.orders import flatten_orders
+from tillhouse.operators.orders import flatten_orders, unusable_lines
 from tillhouse.operators.rfm import dim_customer
-from tillhouse.operators.scd2 import ACTION, scd2_merge
+from tillhouse.operators.scd2 import ACTION, quarantine, scd2_merge
 from tillhouse.schemas import (
     CUSTOMERS,
     DIM_CUSTOMER,
@@ -22,11 +23,11 @@ from tillhouse.schemas import (
     RAW_ORDERS,
     conform,
 )
-from tillhouse.sinks.catalog import create_external_table
+from tillhouse.sinks.catalog import create_external_table, point_table
 from tillhouse.sinks.files import replace_parquet
 from tillhouse.sinks.versions import VersionedTable
 from tillhouse.sources.json_orders import read_orders_json
-from tillhouse.sources.snapshots import land_snapshot
+from tillhouse.sources.snapshots import land_snapshot, map_snapshot_types
 from tillhouse.sources.tables import read_table, rename_products
 from tillhouse.staging import Staging
 
@@ -65,20 +66,37 @@ class WarehousePaths:
     def dim_products(self) -> str:
         return f"{self.root}/warehouse/e-commerce/Dim_Products"
 
+    @property
+    def rejected(self) -> str:
+        return f"{self.root}/warehouse/e-commerce/rejected"
+
     @property
     def fact_logistics(self) -> str:
         return f"{self.root}/warehouse/e-commerce/fact_logistics"
 
 
+def _publish_table(spark: SparkSession, name: str, schema: StructType, folder: str) -> None:
+    """Create the table or move it to `folder`; readers never miss it."""
+    create_external_table(spark, name, schema, folder)
+    point_table(spark, name, folder)
+
+
 def run_orders(
-    spark: SparkSession, paths: WarehousePaths, raw_orders: str, multi_line: bool = False
+    spark: SparkSession,
+    paths: WarehousePaths,
+    raw_orders: str,
+    multi_line: bool = False,
+    schema: StructType | None = RAW_ORDERS,
 ) -> DataFrame:
-    """JSON orders at `raw_orders` to staged orders to order lines and their table."""
-    orders = read_orders_json(spark, raw_orders, multi_line)
-    replace_parquet(orders, paths.staged_orders)
-    staged = read_table(spark, paths.staged_orders, RAW_ORDERS)
+    """JSON orders at `raw_orders` to staged orders to order lines and their table.
+
+    Fields that `schema` does not name are left out of the staged copy; None
+    infers the schema and keeps every field.
+    """
+    orders = read_orders_json(spark, raw_orders, multi_line, schema=schema)
+    staged = replace_parquet(orders, paths.staged_orders)
     replace_parquet(conform(flatten_orders(staged), ORDER_LINES), paths.order_lines)
-    create_external_table(spark, "staging_orderlines", ORDER_LINES, paths.order_lines)
+    _publish_table(spark, "staging_orderlines", ORDER_LINES, paths.order_lines)
     return read_table(spark, paths.order_lines, ORDER_LINES)
 
 
@@ -90,25 +108,37 @@ def run_dimensions(
     snapshot_date: date,
     as_of: date | None = None,
     policy: str = "safe",
+    keep: int = 2,
 ) -> tuple[DataFrame, DataFrame]:
-    """Land both relational snapshots, rebuild the customer dimension, merge the products.
+    """Rebuild the customer dimension, merge the products, land both snapshots.
 
     Needs the order lines that `run_orders` writes. `customers` and `products`
-    come from `read_jdbc_table` or any other reader.
+    come from `read_jdbc_table` or any other reader. Both results are built and
+    checked before anything is replaced, so a run that fails changes nothing.
+    `keep` versions of the product dimension stay. Products without a key and
+    lines whose amount or date cannot be used are written below `paths.rejected`.
     """
-    landed_customers = conform(land_snapshot(customers, paths.customers), CUSTOMERS)
-    landed_products = rename_products(
-        conform(land_snapshot(products, paths.products), PRODUCTS_SOURCE)
-    )
     lines = read_table(spark, paths.order_lines, ORDER_LINES)
     table = VersionedTable(spark, paths.dim_products, DIM_PRODUCTS)
     with Staging(spark) as staging:
-        scored = dim_customer(landed_customers, lines, snapshot_date, staging)
+        landed = {
+            paths.customers: staging.save(map_snapshot_types(customers), "customers"),
+            paths.products: staging.save(map_snapshot_types(products), "products"),
+        }
+        sold = rename_products(conform(landed[paths.products], PRODUCTS_SOURCE))
+        scored = dim_customer(conform(landed[paths.customers], CUSTOMERS), lines, snapshot_date, staging)
+        scored = staging.save(scored, "scored")
+        merged = scd2_merge(table.read(), sold, as_of, policy, staging=staging)
+        folder = table.write(merged.drop(ACTION))
+        for path, snapshot in landed.items():
+            replace_parquet(snapshot, path)
+        replace_parquet(quarantine(sold), f"{paths.rejected}/products")
+        replace_parquet(unusable_lines(lines), f"{paths.rejected}/order_lines")
         replace_parquet(scored, paths.dim_customer)
-        merged = scd2_merge(table.read(), landed_products, as_of, policy, staging=staging)
-        folder = table.publish(merged.drop(ACTION))
-    create_external_table(spark, "Dim_Customer", DIM_CUSTOMER, paths.dim_customer, replace=True)
-    create_external_table(spark, "Dim_Products", DIM_PRODUCTS, folder, replace=True)
+        table.mark(folder)
+    _publish_table(spark, "Dim_Customer", DIM_CUSTOMER, paths.dim_customer)
+    _publish_table(spark, "Dim_Products", DIM_PRODUCTS, folder)
+    table.drop_old(keep)
     return read_table(spark, paths.dim_customer, DIM_CUSTOMER), table.read()
 
 
@@ -120,7 +150,7 @@ def run_logistics(
     facts = replace_parquet(
         conform(delivery_facts(landed), FACT_LOGISTICS), paths.fact_logistics
     )
-    create_external_table(spark, "Fact_Logistics", FACT_LOGISTICS, paths.fact_logistics, replace=True)
+    _publish_table(spark, "Fact_Logistics", FACT_LOGISTICS, paths.fact_logistics)
     return facts, avg_delay(facts)
 
 
@@ -134,8 +164,10 @@ def run_all(
     snapshot_date: date,
     as_of: date | None = None,
     policy: str = "safe",
+    multi_line: bool = False,
+    schema: StructType | None = RAW_ORDERS,
 ) -> None:
     """Orders before dimensions, which read the order lines; logistics stands alone."""
-    run_orders(spark, paths, raw_orders)
+    run_orders(spark, paths, raw_orders, multi_line, schema)
     run_dimensions(spark, paths, customers, products, snapshot_date, as_of, policy)
     run_logistics(spark, paths, logistics)

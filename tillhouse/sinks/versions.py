@@ -87,6 +87,9 @@ class VersionedTable:
 
     def publish(self, df: DataFrame) -> str:
         """Write, check and publish a new version; returns its folder."""
-        folder = self.write(df)
+        return self.mark(self.write(df))
+
+    def mark(self, folder: str) -> str:
+        """Publish a version that `write` has left."""
         storage.touch(self.spark, f"{folder}/{PUBLISHED}")
         return folder

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
@@ -29,6 +33,7 @@ def read_orders_json(
         raise ValueError(f"corrupt must be 'fail' or 'column', not {corrupt!r}")
     if multi_line:
         _refuse_line_delimited(spark, path)
+        _refuse_more_roots(spark, path)
     reader = spark.read.option("multiLine", str(multi_line).lower())
     if corrupt == "fail":
         reader = reader.option("mode", "FAILFAST")
@@ -64,3 +69,30 @@ def _refuse_line_delimited(spark: SparkSession, path: str) -> None:
     found = wrong.limit(1).collect()
     if found:
         raise ValueError(f"{found[0].file} holds one document per line; read it without multi_line")
+
+
+def _refuse_more_roots(spark: SparkSession, path: str) -> None:
+    """Multi-line mode would drop whatever follows the first array or object of a file.
+
+    Each file is one task's work in that mode, and so it is here. Broken files
+    are left to the reader, which tells what is wrong with them.
+    """
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        decoder = json.JSONDecoder()
+        for batch in batches:
+            more = []
+            for file, text in zip(*(batch.column(c).to_pylist() for c in ("file", "value")), strict=True):
+                text = text.lstrip()
+                try:
+                    _, end = decoder.raw_decode(text)
+                except json.JSONDecodeError:
+                    continue
+                if text[end:].strip():
+                    more.append(file)
+            yield pa.RecordBatch.from_pydict({"file": pa.array(more, pa.string())})
+
+    whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
+    found = whole.mapInArrow(check, "file string").limit(1).collect()
+    if found:
+        raise ValueError(f"{found[0].file} holds more than one document; multi_line would keep the first only")

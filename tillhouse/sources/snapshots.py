@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from tillhouse.functions.columns import snapshot_column
 from tillhouse.sinks.files import replace_parquet
 
+FETCH_SIZE = "10000"
+
 
 def read_jdbc_table(
     spark: SparkSession,
@@ -24,8 +26,12 @@ def read_jdbc_table(
 
     `bounds` only shape the stride: rows outside them are still read. Without
     bounds the database is asked for the column's smallest and largest value.
-    `properties` carries the user, password and driver of the caller's choice.
+    `properties` carries the user, password and driver of the caller's choice;
+    unless it says otherwise, `FETCH_SIZE` rows travel at a time, since drivers
+    may else hold a whole partition in memory. The connections do not share one
+    transaction: a table that changes meanwhile is not read as of one moment.
     """
+    properties = {"fetchsize": FETCH_SIZE} | properties
     if bounds is None:
         extent = f"(SELECT MIN({split_column}) AS lo, MAX({split_column}) AS hi FROM {table}) extent"
         lo, hi = spark.read.jdbc(url, extent, properties=properties).first()

@@ -30,3 +30,9 @@ def touch(spark: SparkSession, path: str) -> None:
 def delete(spark: SparkSession, path: str) -> None:
     fs, target = _handle(spark, path)
     fs.delete(target, True)
+
+
+def rename(spark: SparkSession, path: str, target: str) -> None:
+    fs, source = _handle(spark, path)
+    if not fs.rename(source, _handle(spark, target)[1]):
+        raise RuntimeError(f"{path} could not be renamed to {target}")
