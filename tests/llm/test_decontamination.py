@@ -52,7 +52,7 @@ def test_copies_are_found_and_clean_documents_are_not(spark, documents, staging)
     bench = spark.createDataFrame(list(enumerate(ITEMS)) + [(9, None), (10, ""), (11, "?!"), (None, "x y")], BENCHMARK)
     leaks = [f"{prose(50)} {item} {prose(30)}" for item in ITEMS]
     leaks += [ITEMS[2].upper().replace(" ", ", \n"), ITEMS[3] + " " + ITEMS[1], "x " + ITEMS[0]]
-    leaks += [f"{prose(20)} {edited(item, 0.1)} {prose(20)}" for item in ITEMS[2:]]
+    leaks += [f"{prose(20)} {edited(item, 0.2)} {prose(20)}" for item in ITEMS[2:]]
     holds = [{0}, {1}, {2}, {3}, {2}, {1, 3}, {0}, {2}, {3}]
     clean = [prose(200) for _ in range(40)] + [" ".join(ITEMS[3].split()[:10]), None, ""]
     docs = documents(leaks + clean, extra=[(None, ITEMS[0], None, None, None)], repeat=True)

@@ -3,8 +3,8 @@
 Words of the benchmark are numbered; every other word of a document is number 0.
 A document's n-grams that the benchmark has too are hits. How many documents have
 an n-gram tells how rare it is, and of each few neighbouring n-grams of an item
-the rarest is a seed, so that any run of words copied from an item holds a seed
-however common its n-grams are. Documents and items that share a seed are aligned
+the rarest and those about as rare are seeds, so that any run of words copied from
+an item holds a seed however common its n-grams are. Documents and items that share a seed are aligned
 with Smith-Waterman around it, which scores edited copies.
 """
 
@@ -26,6 +26,7 @@ from tillhouse.staging import Staging
 
 N_GRAM = 4
 NEIGHBOURS = 3
+RARITY = 4
 MATCH, MISMATCH, GAP = 2, -1, -1
 LEAST_SHARE = 0.5
 WORDS = re.compile(rb"[a-z0-9\x80-\xff]+")
@@ -152,19 +153,21 @@ def _item_grams(spark, items, vocabulary, base) -> DataFrame:
 
 
 def _seeds(hits: DataFrame, item_grams: DataFrame) -> DataFrame:
-    """Of each run of neighbouring n-grams of an item, the one in the fewest documents."""
+    """The n-grams of each item that are about as rare as the rarest of a run of neighbours they stand in.
+
+    So every run of neighbouring n-grams has a seed, and where none of them is
+    common, all are seeds.
+    """
     spread = hits.select("digest", "id", "gram", "n").distinct().groupBy("gram", "n").agg(F.count("*").alias("documents"))
-    ranked = item_grams.join(spread, ["gram", "n"], "left").withColumn(
-        "rank", F.struct(F.coalesce("documents", F.lit(0)).alias("documents"), "place", "gram")
-    )
+    ranked = item_grams.join(spread, ["gram", "n"], "left").na.fill(0, ["documents"])
     # An item is a test question: its n-grams are few, so its window stays small.
-    run = W.partitionBy("item_id").orderBy("place").rowsBetween(0, NEIGHBOURS - 1)
-    rarest = F.min("rank").over(run)
+    item = W.partitionBy("item_id").orderBy("place")
     last = F.max("place").over(W.partitionBy("item_id"))
-    picked = ranked.select("item_id", "n", rarest.alias("seed"), "place", last.alias("last")).where(
-        (F.col("place") + NEIGHBOURS - 1 <= F.col("last")) | (F.col("place") == 0)
-    )
-    return picked.select("item_id", "n", F.col("seed.place").alias("place"), F.col("seed.gram").alias("gram")).distinct()
+    full = (F.col("place") + NEIGHBOURS - 1 <= last) | (F.col("place") == 0)
+    rarest = F.when(full, F.min("documents").over(item.rowsBetween(0, NEIGHBOURS - 1)))
+    bound = F.max("rarest").over(item.rowsBetween(1 - NEIGHBOURS, 0))
+    rows = ranked.withColumn("rarest", rarest).withColumn("bound", bound)
+    return rows.where(F.col("documents") <= RARITY * F.greatest(F.lit(1), "bound")).select("item_id", "n", "place", "gram").distinct()
 
 
 def _scored(pairs: DataFrame, items: DataFrame) -> DataFrame:
