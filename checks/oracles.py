@@ -16,12 +16,14 @@ ORDER_HEADER = """
     CASE o_orderstatus WHEN 'F' THEN 'paid' WHEN 'O' THEN 'pending' ELSE 'failed' END AS payment_status
   FROM orders"""
 
-ORDER_LINES = """
+PRICE = """CAST(CAST(l_extendedprice AS DECIMAL(12,2))
+      + CAST(l_linenumber % 4 AS DECIMAL(9,0)) * CAST('0.00000123' AS DECIMAL(9,8)) AS DOUBLE)"""
+
+ORDER_LINES = f"""
   SELECT concat(CAST(order_id AS VARCHAR), '_', CAST(l_partkey AS VARCHAR)) AS order_line_id,
     order_id, customer_id, order_date, payment_status, l_partkey AS product_id,
     CAST(l_quantity AS BIGINT) AS sales_quantity,
-    CAST(CAST(l_extendedprice AS DECIMAL(12,2))
-      + CAST(l_linenumber % 4 AS DECIMAL(9,0)) * CAST('0.00000123' AS DECIMAL(9,8)) AS DOUBLE) AS price_per_unit
+    {PRICE} AS price_per_unit
   FROM lineitem JOIN order_header ON l_orderkey = order_id"""
 
 ACCOUNTS = """
@@ -171,7 +173,7 @@ VIEWS = {
     "dim_customer": DIM_CUSTOMER,
     "facts": FACTS,
     "items": "SELECT l_orderkey AS order_id, l_partkey AS product_id, "
-    "CAST(l_quantity AS BIGINT) AS sales_quantity, l_extendedprice AS price_per_unit FROM lineitem",
+    f"CAST(l_quantity AS BIGINT) AS sales_quantity, {PRICE} AS price_per_unit FROM lineitem",
 }
 
 
