@@ -26,7 +26,7 @@ UNKNOWN = "und"
 # Distinct n-grams of a text, in bands; each band has its own distance limit.
 BANDS = np.array([8, 32, 128, 512])
 PREFIX_WORDS = (1, 4, 16, 64)
-REJECT_QUANTILE, REJECT_SHARE = 0.01, 0.5
+REJECT_QUANTILE, REJECT_SHARE = 0.01, 0.2
 LETTERS_ONLY = bytes(b if chr(b).isalpha() or b >= 128 else 32 for b in range(256))
 
 
