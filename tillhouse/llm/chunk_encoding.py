@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillhouse.llm.columns import map_batches, row_key, texts
+from tillhouse.llm.columns import map_batches, row_key, sliced, texts
 from tillhouse.llm.vocabulary import Splitter, read_file
 from tillhouse.staging import Staging
 
@@ -233,7 +233,7 @@ def _cut_rows(source, digests: bool):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(source.value)
-        for batch in batches:
+        for batch in sliced(batches):
             rows: list[dict] = []
             stretches: list[str] = []
             plans: list[tuple] = []

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tillhouse.staging import Staging
 
 LAST_ID = 2**63 - 1
+ROWS_AT_ONCE = 1000
 
 
 def texts(batch: pa.RecordBatch, name: str = "text") -> list[str]:
@@ -18,6 +19,13 @@ def texts(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     return [value or "" for value in batch.column(name).to_pylist()]
 
 
+def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of at most `ROWS_AT_ONCE` rows, so that few texts are Python strings at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+            yield batch.slice(at, ROWS_AT_ONCE)
+
+
 def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], dict]], schema: str) -> DataFrame:
     """`mapInArrow` for a function of one batch that returns columns by name.
 
@@ -29,7 +37,7 @@ def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], dic
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         function = make()
-        for batch in batches:
+        for batch in sliced(batches):
             columns = function(batch)
             yield pa.RecordBatch.from_arrays(
                 [
