@@ -88,6 +88,17 @@ def test_verdicts_follow_the_words_of_ruled_pages(spark):
     assert got[200] == "block" and got[201] == "allow"
 
 
+def test_the_most_frequent_rows_are_bounded(spark, staging, monkeypatch):
+    from tillhouse.llm import url_filter
+
+    counted = spark.createDataFrame([(f"w{k}", 1 + 1000 // (k + 1)) for k in range(500)], "word string, n long")
+    assert url_filter.most_frequent(counted, staging).count() == 500
+    monkeypatch.setattr(url_filter, "MODEL_WORDS", 40)
+    kept = {r.word: r.n for r in url_filter.most_frequent(counted, staging).collect()}
+    assert 20 <= len(kept) <= 40
+    assert min(kept.values()) > max(r.n for r in counted.collect() if r.word not in kept)
+
+
 def test_bayes_by_hand():
     fitted = Bayes.fit({"x": (3, 0), "y": (0, 1)}, (3, 1))
     blocked, score = fitted.blocks(["x", "y", "unseen"])

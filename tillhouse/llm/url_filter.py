@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillhouse.llm.columns import map_batches
+from tillhouse.staging import Staging
 
 ALLOW, BLOCK = "allow", "block"
 # Fixed values: (host, path) of each rule with its verdict.
@@ -127,20 +128,37 @@ class Bayes:
         return score > 0, score
 
 
-def word_counts(pages: DataFrame) -> dict[str, int]:
-    """The `MODEL_WORDS` most frequent words of all pages' texts, counted over all of them."""
+def most_frequent(counted: DataFrame, staging: Staging) -> DataFrame:
+    """The rows of the largest `n`, at most `MODEL_WORDS` of them; rows of about equal `n` come or go together.
+
+    A count of rows for each eighth of a power of two tells where to cut, so that
+    neither the driver nor a task sorts all rows.
+    """
+    counted = staging.save(counted, "counted").withColumn("__size", F.floor(F.log2("n") * 8))
+    sizes = {row["__size"]: row["count"] for row in counted.groupBy("__size").count().collect()}
+    least, kept = 0, 0
+    for size in sorted(sizes, reverse=True):
+        kept += sizes[size]
+        if kept > MODEL_WORDS:
+            least = size + 1
+            break
+    return counted.where(F.col("__size") >= least).drop("__size")
+
+
+def word_counts(pages: DataFrame, staging: Staging) -> dict[str, int]:
+    """The most frequent words of all pages' texts, counted over all of them."""
     shown = F.regexp_replace(F.regexp_replace("html", r"(?is)<(script|style)\b.*?</\1>", " "), "<[^>]*>", " ")
     words = pages.select(F.explode(F.split(F.lower(shown), r"[^\p{L}]+")).alias("word"))
     words = words.where((F.length("word") > 0) & (F.length("word") <= LONGEST_WORD))
-    top = words.groupBy("word").count().orderBy(F.desc("count"), "word").limit(MODEL_WORDS)
-    counts = {row["word"]: row["count"] for row in top.collect()}
+    counted = words.groupBy("word").agg(F.count("*").alias("n"))
+    counts = {row["word"]: row["n"] for row in most_frequent(counted, staging).collect()}
     for words in TELLING.values():
         for word in words:
             counts[word] = counts.get(word, 0) + TELLING_WEIGHT
     return counts
 
 
-def train(ruled_pages: DataFrame, segmenter: Segmenter) -> Bayes:
+def train(ruled_pages: DataFrame, segmenter: Segmenter, staging: Staging) -> Bayes:
     """Learns from pages with a `ruled` verdict: tokens are counted in tasks, then over all pages."""
     shared = ruled_pages.sparkSession.sparkContext.broadcast(segmenter)
 
@@ -162,13 +180,10 @@ def train(ruled_pages: DataFrame, segmenter: Segmenter) -> Bayes:
 
     seen = ruled_pages.where("ruled IS NOT NULL")
     per_batch = map_batches(seen.select("host", "path", "ruled"), make, "token string, blocked long, allowed long")
-    top = (
-        per_batch.groupBy("token")
-        .agg(F.sum("blocked").alias("blocked"), F.sum("allowed").alias("allowed"))
-        .orderBy(F.desc(F.col("blocked") + F.col("allowed")), "token")
-        .limit(MODEL_WORDS)
+    counted = per_batch.groupBy("token").agg(
+        F.sum("blocked").alias("blocked"), F.sum("allowed").alias("allowed"), F.sum(F.col("blocked") + F.col("allowed")).alias("n")
     )
-    counts = {row["token"]: (row["blocked"], row["allowed"]) for row in top.collect()}
+    counts = {row["token"]: (row["blocked"], row["allowed"]) for row in most_frequent(counted, staging).collect()}
     for verdict, words in TELLING.items():
         for word in words:
             for token in (f"host:{word}", f"path:{word}"):
@@ -178,7 +193,7 @@ def train(ruled_pages: DataFrame, segmenter: Segmenter) -> Bayes:
     return Bayes.fit(counts, tuple(pages))
 
 
-def judge(pages: DataFrame, rules=RULES) -> DataFrame:
+def judge(pages: DataFrame, staging: Staging | None = None, rules=RULES) -> DataFrame:
     """One row per row of `pages`: `page_id`, `host`, `path`, `rule`, `verdict`, `score`.
 
     A rule's verdict stands; any other page is blocked if its words speak more
@@ -187,8 +202,9 @@ def judge(pages: DataFrame, rules=RULES) -> DataFrame:
     Repeated rows repeat. `score` is the log odds for blocking, null under a rule.
     """
     ruled = with_rules(pages.select("page_id", "url"), rules).drop("url")
-    segmenter = Segmenter(word_counts(pages))
-    bayes = train(ruled, segmenter)
+    staging = staging or Staging(pages.sparkSession)
+    segmenter = Segmenter(word_counts(pages, staging))
+    bayes = train(ruled, segmenter, staging)
     shared = pages.sparkSession.sparkContext.broadcast((segmenter, bayes))
 
     def make():
