@@ -61,6 +61,40 @@ def check(docs, model):
     return rows
 
 
+def candidates(text):
+    """Every run of whole digit groups by trying all pairs of groups; of longer groups the first digits."""
+    groups, spans = [m.span() for m in re.finditer("[0-9]+", text)], set()
+    for i, (a, first) in enumerate(groups):
+        ends = range(a + 13, a + 20) if first - a > 19 else []
+        for k in range(i, len(groups)):
+            if k > i and not re.fullmatch(r"[ ().-]{1,2}", text[groups[k - 1][1] : groups[k][0]]):
+                break
+            n = len(re.sub("[^0-9]", "", text[a : groups[k][1]]))
+            if n > 19:
+                break
+            ends = [*ends, *([groups[k][1]] if n >= 8 else [])]
+        for end in ends:
+            sign = text[a - 1 : a]
+            spans.add((a - (sign == "+" or (sign == "(" and ")" in text[a:end])), end))
+    return spans
+
+
+def test_every_run_of_digit_groups_is_a_candidate(documents, odd_texts):
+    from pyspark.sql import functions as F
+
+    cards = ["4465758382889437 4465758382889437", "pay 4111111111111111 12 26 (now", "4111-1111-1111-1111-4111-1111-1111-1111"]
+    more = ["(4111111111111111) (555) 123-4567 and \U0001f600 +1 (171) 555-2028 12345678901234567890123 1.2.3.4 12-34-56-78"]
+    texts = [t for t in cards + more + TEXTS + odd_texts if t]
+    docs = documents(texts).select("doc_id", F.explode(personal_data._numbers(F.col("text"))).alias("c"))
+    got = {}
+    for doc_id, c in docs.collect():
+        got.setdefault(doc_id, []).append((c.start, c.end))
+        assert c.value == texts[doc_id][c.start : c.end] and c.n_digits == len(re.sub("[^0-9]", "", c.value))
+    for k, text in enumerate(texts):
+        assert sorted(got.get(k, [])) == sorted(candidates(text))
+    assert {(0, 16), (17, 33)} == set(got[0]) and (4, 20) in got[1] and (0, 19) in got[2] and (20, 39) in got[2]
+
+
 def test_base_matches_by_their_definition(documents, odd_texts):
     texts = TEXTS + odd_texts
     rows = check(documents(texts), NOTHING)

@@ -32,13 +32,20 @@ PATTERNS = {
 }
 OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 
-# The generators: an address whose signs are spelt out, and any group of 8 to 19 digits.
+# The generators: an address whose signs are spelt out, and runs of whole digit groups.
+# An address is tried with and without blanks around its dots, as a sentence may end after it.
+SPELT_START = rf"(?:(?<!{LOCAL})|\G){LOCAL}++\x20?+(?:[\[(](?i:at)[\])]|@)\x20?+[A-Za-z0-9-]++"
 SPELT = (
-    rf"(?:(?<!{LOCAL})|\G){LOCAL}++\x20?+(?:[\[(](?i:at)[\])]|@)\x20?+[A-Za-z0-9-]++"
-    r"(?:\x20?+(?:\.|[\[(](?i:dot)[\])])\x20?+[A-Za-z0-9-]++)++"
+    SPELT_START + r"(?:\x20?+(?:\.|[\[(](?i:dot)[\])])\x20?+[A-Za-z0-9-]++)++",
+    SPELT_START + r"(?:(?:\.|\x20?+[\[(](?i:dot)[\])]\x20?+)[A-Za-z0-9-]++)++",
 )
-NUMBER = r"(?:(?<![0-9])|\G)(?:\+|\()?[0-9](?:[\x20().-]{0,2}+[0-9]){7,18}"
-BEFORE, AFTER = 24, 1
+# Digit groups a sign or two apart, with 8 digits or more; and for each group in them the
+# sign before it and what follows up to the 20th digit, which tells whether the 19th ends a group.
+SIGNS = r"[\x20().-]{0,2}+"
+CHAIN = rf"[+(]?+[0-9](?:{SIGNS}[0-9]){{7,}}+"
+GROUP = rf"(?:(?<=([+(]))|)(?<![0-9])(?=([0-9](?:{SIGNS}[0-9]){{0,19}}+))[0-9]"
+LEAST_DIGITS, CARD_DIGITS, MOST_DIGITS = 8, 13, 19
+BEFORE, AFTER = 24, 3
 
 SAMPLE_DOCS = 4000
 PRECISION = 0.98
@@ -72,24 +79,96 @@ FEATURES = {
     "spelt": lambda c: c["value"].rlike(r"(?i)[\[(](?:at|dot)[\])]"),
     "told": lambda c: c["before"].rlike(r"(?i)(?:phone|mobile|call|cell|fax|tel|card|visa|mail|contact)\W*$"),
     "counted": lambda c: c["before"].rlike(r"(?i)(?:order|invoice|item|ref|isbn|serial|id|no|nr|#)\W*$"),
+    "follows": lambda c: c["before"].rlike(r"[0-9][ ().-]{1,2}$"),
+    "followed": lambda c: c["after"].rlike(r"^[ ().-]{1,2}[0-9]"),
     "inside": lambda c: c["before"].rlike("[A-Za-z0-9_]$") | c["after"].rlike("^[A-Za-z0-9_]"),
 }
 
 
-def _candidates(text: Column) -> Column:
-    """What the generators propose, with the text around it."""
-    def described(s: Column) -> Column:
-        start = F.greatest(F.lit(0), s["start"] - BEFORE)
-        return F.struct(
-            s["start"].alias("start"),
-            s["end"].alias("end"),
-            s["value"].alias("value"),
-            F.length(digits(s["value"])).alias("n_digits"),
-            F.substring(text, start + 1, s["start"] - start).alias("before"),
-            F.substring(text, s["end"] + 1, F.lit(AFTER)).alias("after"),
+def _places(value: Column, pattern: str) -> Column:
+    """The places of the characters that a pattern of one ASCII character matches."""
+    marked = F.split(F.regexp_replace(value, pattern, "!"), "")
+    return F.filter(F.transform(marked, lambda sign, at: F.when(sign == "!", at)), lambda at: at.isNotNull())
+
+
+def _described(start: Column, value: Column, before: Column, after: Column) -> Column:
+    return F.struct(
+        start.alias("start"),
+        (start + F.length(value)).alias("end"),
+        value.alias("value"),
+        F.length(digits(value)).alias("n_digits"),
+        before.alias("before"),
+        after.alias("after"),
+    )
+
+
+def _numbers(text: Column) -> Column:
+    """Every run of whole digit groups with 8 to 19 digits, from every group, with the text around it.
+
+    A sign `+` before the run belongs to it, and so does a bracket that it closes.
+    Of a group with more than 19 digits, the first 13 to 19 are tried as well.
+    The work is linear in the text: a run is cut from what follows its first group.
+    """
+    def of_chain(chain: Column) -> Column:
+        groups = F.arrays_zip(
+            _places(chain["value"], "(?<![0-9])[0-9]").alias("at"),
+            F.regexp_extract_all(chain["value"], F.lit(GROUP), F.lit(1)).alias("sign"),
+            F.regexp_extract_all(chain["value"], F.lit(GROUP), F.lit(2)).alias("rest"),
+        )
+        around = F.transform(
+            groups,
+            lambda g, k: F.struct(
+                (chain["start"] + g["at"]).alias("start"),
+                g["sign"].alias("sign"),
+                g["rest"].alias("rest"),
+                F.when(k == 0, chain["before"]).otherwise("0 ").alias("before"),
+                chain["after"].alias("after"),
+            ),
         )
+        return F.flatten(F.transform(around, of_group))
+
+    def of_group(group: Column) -> Column:
+        ends = F.transform(_places(group["rest"], "[0-9](?![0-9])"), lambda at: at + 1)
+        whole = group["rest"].rlike(rf"^[0-9]{{{MOST_DIGITS + 1}}}$")
+        ends = F.when(whole, F.sequence(F.lit(CARD_DIGITS), F.lit(MOST_DIGITS))).otherwise(ends)
+
+        def of_end(end: Column) -> Column:
+            run = F.substring(group["rest"], F.lit(1), end)
+            signed = (group["sign"] == "+") | ((group["sign"] == "(") & run.contains(")"))
+            sign = F.when(signed, group["sign"]).otherwise("")
+            follows = F.substring(group["rest"], end + 1, F.lit(AFTER))
+            before = F.when((group["sign"] == "(") & ~signed, F.concat(group["before"], F.lit("("))).otherwise(group["before"])
+            return _described(
+                group["start"] - F.length(sign),
+                F.concat(sign, run),
+                before,
+                F.when(follows == "", group["after"]).otherwise(follows),
+            )
+
+        return F.filter(F.transform(ends, of_end), lambda c: c["n_digits"].between(LEAST_DIGITS, MOST_DIGITS))
+
+    return F.flatten(F.transform(F.transform(found(text, CHAIN), lambda s: _around(text, s)), of_chain))
+
+
+def _around(text: Column, span: Column) -> Column:
+    """A span with the text around it."""
+    first = F.greatest(F.lit(0), span["start"] - BEFORE)
+    return F.struct(
+        span["start"].alias("start"),
+        span["value"].alias("value"),
+        F.substring(text, first + 1, span["start"] - first).alias("before"),
+        F.substring(text, span["end"] + 1, F.lit(AFTER)).alias("after"),
+    )
+
 
-    return F.concat(F.transform(found(text, NUMBER), described), F.transform(found(text, SPELT), described))
+def _candidates(text: Column) -> Column:
+    """What the generators propose, with the text around it."""
+    addresses = F.array_distinct(F.concat(*(found(text, pattern) for pattern in SPELT)))
+    described = F.transform(
+        F.transform(addresses, lambda s: _around(text, s)),
+        lambda s: _described(s["start"], s["value"], s["before"], s["after"]),
+    )
+    return F.concat(_numbers(text), described)
 
 
 def _is_base(candidate: Column) -> Column:
