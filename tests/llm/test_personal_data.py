@@ -118,6 +118,25 @@ def test_candidates_are_added_by_format_and_context(documents, staging):
     assert rows[1] == ""
 
 
+def test_what_the_base_patterns_miss_is_added(documents, staging):
+    texts = [f"word {k} call me: +1 ({k % 10}21) 555-0{k % 1000:03d} thanks" for k in range(300)]
+    texts += [f"word {k} write to jane{k}@site{k % 7}.org. Thanks" for k in range(300)]
+    texts += [f"word {k} paid with 4465758382889437 today" for k in range(300)]
+    model = train(documents(texts), staging)
+    assert model.trees and model.threshold <= 1
+    added = {
+        "please call me: (221) 555-0199 today": "phone:16:30",
+        "reach joe (at) place (dot) net. She did": "email:6:30",
+        "paid 4111111111111111 12 26 today": "card:5:21",
+        "4111111111111111 4111111111111111": "card:0:16,card:17:33",
+        "your order 842-555-0111 today": "",
+        "it was on 2024-01-15 or 1701234567890 ago": "",
+    }
+    rows = {r.doc_id: r for r in digest(find_personal_data(documents(list(added)), model)).collect()}
+    assert [rows[k].spans for k in range(len(added))] == list(added.values())
+    assert all(r.n_email + r.n_ip + r.n_card + r.n_phone == 0 for r in rows.values())
+
+
 @pytest.mark.parametrize("texts", [[], [None, ""], ["no numbers at all"]])
 def test_training_without_candidates_selects_nothing(documents, staging, texts):
     model = train(documents(texts), staging)

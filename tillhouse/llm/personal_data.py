@@ -2,15 +2,19 @@
 
 Wide generators propose number groups and spelt-out addresses, which may overlap
 each other and the base matches. Boosted trees score each candidate by its format
-and by the text around it. They learn from the candidates of a sample of the
-documents, those that a base match confirms against all others, and the
-threshold is set on documents that they have not seen. Candidates above the
-threshold are added to the base matches of their kind. Everything is built from
-DataFrame expressions.
+and by the text around it. They learn from the base matches of a sample of the
+documents, rewritten where they stand: without plus, with other signs, spelt out,
+or with digits after them, against rewritings that are none, such as numbers
+after `order`. The threshold is set on documents that they have not seen.
+Candidates above it are added to the base matches of their kind. Everything is
+built from DataFrame expressions.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -63,6 +67,11 @@ def _base(text: Column) -> dict[str, Column]:
     return {kind: F.filter(found(text, PATTERNS[kind]), holds[kind]) for kind in KINDS}
 
 
+def _told(before: Column) -> Column:
+    return before.rlike(r"(?i)\b(?:phone|mobile|call|cell|fax|tel|card|visa|mail|contact)\W*$")
+
+
+COUNTING = ("order", "invoice", "item", "ref", "isbn", "serial", "id", "no", "nr")
 FEATURES = {
     "plus": lambda c: c["value"].startswith("+"),
     "bracket": lambda c: c["value"].contains("("),
@@ -72,17 +81,28 @@ FEATURES = {
     "short": lambda c: c["n_digits"] < 9,
     "long": lambda c: c["n_digits"] > 12,
     "luhn": lambda c: F.call_function("luhn_check", digits(c["value"])),
-    "fours": lambda c: c["value"].rlike(r"^[0-9]{4}([ -]?[0-9]{4}){2,3}$"),
-    "threes": lambda c: c["value"].rlike(r"^\(?[0-9]{3}\)?[ .-]{1,2}[0-9]{3}[ .-][0-9]{4}$"),
+    "fours": lambda c: c["value"].rlike(r"^[0-9]{4}([ .-]?[0-9]{4}){2,3}$"),
+    "threes": lambda c: c["value"].rlike(r"^(?:[0-9]{1,3}[ .-])?\(?[0-9]{3}\)?[ .-]{1,2}[0-9]{3}[ .-][0-9]{4}$"),
     "zero": lambda c: c["value"].rlike(r"^\(?0"),
     "at": lambda c: c["value"].contains("@"),
     "spelt": lambda c: c["value"].rlike(r"(?i)[\[(](?:at|dot)[\])]"),
-    "told": lambda c: c["before"].rlike(r"(?i)(?:phone|mobile|call|cell|fax|tel|card|visa|mail|contact)\W*$"),
-    "counted": lambda c: c["before"].rlike(r"(?i)(?:order|invoice|item|ref|isbn|serial|id|no|nr|#)\W*$"),
+    "told": lambda c: _told(c["before"]),
+    "counted": lambda c: c["before"].rlike(rf"(?i)(?:\b(?:{'|'.join(COUNTING)})|#)\W*$"),
+    "bare": lambda c: c["value"].rlike("^[0-9]+$"),
+    "date": lambda c: c["value"].rlike(r"^(?:19|20)[0-9]{2}[.-][01]?[0-9][.-][0-3]?[0-9]\b|^[0-3]?[0-9][.-][01]?[0-9][.-](?:19|20)[0-9]{2}\b"),
+    "sentence": lambda c: c["value"].rlike(r"\.\x20"),
     "follows": lambda c: c["before"].rlike(r"[0-9][ ().-]{1,2}$"),
     "followed": lambda c: c["after"].rlike(r"^[ ().-]{1,2}[0-9]"),
     "inside": lambda c: c["before"].rlike("[A-Za-z0-9_]$") | c["after"].rlike("^[A-Za-z0-9_]"),
 }
+# Several at once, as a tree asks two only.
+ALONE = ("follows", "followed", "inside", "counted", "date")
+FEATURES |= {
+    "address": lambda c: c["value"].rlike("[A-Za-z@]") & ~FEATURES["sentence"](c),
+    "card": lambda c: FEATURES["luhn"](c) & FEATURES["fours"](c) & ~FEATURES["counted"](c),
+    "alone": lambda c: ~reduce(or_, (FEATURES[name](c) for name in ALONE)),
+    "grouped": lambda c: FEATURES["threes"](c) & FEATURES["alone"](c),
+}
 
 
 def _places(value: Column, pattern: str) -> Column:
@@ -184,24 +204,128 @@ def _scanned(docs: DataFrame) -> DataFrame:
     return with_base.withColumn("base_ends", F.transform(every, lambda s: F.concat_ws(":", s["start"], s["end"])))
 
 
+def _rewritten(kind: str, base: Column) -> list[tuple[Column, Column, Column, int]]:
+    """What a base match could look like instead: text before, the text itself, text after it, and how much is personal data.
+
+    The last is 0 for nothing, 1 for the text itself, 2 for it and the copy that
+    follows. Nulls do not apply. `base` has `value`, `before` and `after`.
+    """
+    value, before, after = base["value"], base["before"], base["after"]
+    pick = F.pmod(F.xxhash64(value), F.lit(len(COUNTING))).cast("int") + 1
+    counting = F.concat(before, F.lit(" "), F.element_at(F.array(*map(F.lit, COUNTING)), pick), F.lit(" "))
+    if kind == "phone":
+        code = r"^\+[0-9]{1,3}[\x20.-]+(?=\(?[0-9])"
+        unplussed = F.when(value.rlike("[0-9][^0-9]+[0-9]"), F.substring(value, 2, F.length(value)))
+        national = F.when(value.rlike(code), F.regexp_replace(value, code, ""))
+        parts = F.regexp_replace(F.regexp_replace(national, "^[^0-9]+", ""), "[^0-9]+", " ")
+        parted = [F.when(parts.contains(" "), F.regexp_replace(parts, " ", sign)) for sign in (" ", "-", ".")]
+        bare = digits(F.coalesce(national, value))
+        day = F.date_add(F.lit("1990-01-01").cast("date"), F.pmod(F.xxhash64(value), F.lit(15000)).cast("int"))
+        forms = [unplussed, national, *parted]
+        return [
+            *((before, form, after, 1) for form in forms),
+            (F.concat(before, F.lit(" phone ")), bare, after, 1),
+            *((counting, form, after, 0) for form in [*forms, bare]),
+            (F.when(~_told(before), before), bare, after, 0),
+            *((before, F.date_format(day, form), after, 0) for form in ("yyyy-MM-dd", "dd.MM.yyyy")),
+            (before, value, after, 0),
+        ]
+    if kind == "card":
+        plain = digits(value)
+        # Another last digit fails the check sum.
+        last = F.pmod(F.substring(plain, -1, 1).cast("int") + 1, F.lit(10)).cast("string")
+        broken = F.concat(F.substring(plain, F.lit(1), F.length(plain) - 1), last)
+        dotted = F.regexp_replace(plain, "(?<=[0-9])(?=(?:[0-9]{4})+$)", ".")
+        more = F.concat(F.lit(" 12 26"), after)
+        return [
+            (before, dotted, after, 1),
+            (before, value, more, 1),
+            (before, value, F.concat(F.lit(" "), value, after), 2),
+            (before, broken, after, 0),
+            (before, broken, more, 0),
+            (counting, dotted, after, 0),
+            (counting, broken, more, 0),
+        ]
+    if kind == "email":
+        def spelt(at: str, dot: str) -> Column:
+            return F.regexp_replace(F.regexp_replace(value, r"\.(?=[^@]*$)", dot), "@", at)
+
+        # A word, a sign, a word and the next sentence are no address.
+        sentence = F.regexp_replace(F.regexp_replace(value, r"(@[^.]*).*$", "$1. Then"), "@", " @ ")
+        ways = [(" (at) ", " (dot) "), ("[at]", "[dot]"), (" [at] ", "."), (" @ ", ".")]
+        return [*((before, spelt(*way), after, 1) for way in ways), (before, sentence, after, 0)]
+    # A first number over 255 is none of an address.
+    return [(before, F.concat(F.lit("9"), value), after, 0)]
+
+
+def _forms(kind: str, text: Column) -> Column:
+    """The rewritten base matches of one kind as texts, with the place of the personal data in them."""
+    def described(s: Column) -> Column:
+        after = F.substring(text, s["end"] + 1, F.lit(BEFORE))
+        return F.struct(
+            s["value"].alias("value"),
+            F.regexp_extract(_around(text, s)["before"], "[^0-9@]*$", 0).alias("before"),
+            F.regexp_extract(after, "^[^0-9@]*", 0).alias("after"),
+        )
+
+    def rewritten(base: Column) -> Column:
+        return F.array(
+            *(
+                F.struct(
+                    F.concat(before, value, after).alias("text"),
+                    F.when(F.lit(hits > 0), F.length(before)).alias("start"),
+                    F.length(value).alias("length"),
+                    F.lit(hits == 2).alias("twice"),
+                )
+                for before, value, after, hits in _rewritten(kind, base)
+            )
+        )
+
+    return F.flatten(F.transform(F.transform(f"__{kind}", described), rewritten))
+
+
+def _labelled(docs: DataFrame) -> DataFrame:
+    """Candidates `c` that are no base matches, whether they are `personal`, and the `part` of the sample.
+
+    The base matches of `docs`, rewritten where they stand, give both; the
+    candidates of the texts themselves are only taken where a counting word or
+    a letter before them tells that they are none. So no label follows from the
+    base patterns, and all are of the sort that can be added.
+    """
+    scanned = _scanned(docs)
+    forms = [_forms(kind, F.col("text")) for kind in KINDS]
+    examples = scanned.select("part", F.explode(F.concat(*forms)).alias("e")).select("part", "e.*").where("text IS NOT NULL")
+    span = F.struct(F.col("c.start"), F.col("c.end"))
+    first = F.struct(F.col("start"), (F.col("start") + F.col("length")).alias("end"))
+    shift = F.col("length") + 1
+    second = F.struct(F.col("start") + shift, F.col("start") + F.col("length") + shift)
+    personal = (span == first) | (F.col("twice") & (span == second))
+    made = (
+        _scanned(examples)
+        .select("*", F.explode(F.filter("__tried", lambda c: ~_is_base(c))).alias("c"))
+        .select("part", F.coalesce(personal, F.lit(False)).alias("personal"), "c")
+    )
+    seen = scanned.select("part", F.lit(False).alias("personal"), F.explode(F.filter("__tried", lambda c: ~_is_base(c))).alias("c"))
+    return made.union(seen.where(FEATURES["counted"](F.col("c")) | FEATURES["inside"](F.col("c"))))
+
+
 def train(docs: DataFrame, staging: Staging, sample_docs: int = SAMPLE_DOCS) -> Boosted:
-    """Fits on the candidates of about `sample_docs` documents, chosen by a hash of their text.
+    """Fits on labelled candidates from about `sample_docs` documents, chosen by a hash of their text.
 
-    Every fourth of them is kept for the threshold. Without candidates nothing is selected.
+    A fourth of them is kept for the threshold. Without base matches nothing is selected.
     """
     n = docs.count()
     place = F.pmod(F.xxhash64(F.lit(9), "text"), F.lit(1 << 30))
     some = docs.select("text").where("text IS NOT NULL").withColumn("place", place)
     some = some.where(F.col("place") < int((1 << 30) * min(1.0, sample_docs / max(1, n))))
-    tried = _scanned(some).select("place", F.col("base_ends"), F.explode("__tried").alias("c"))
-    sample = tried.select(
-        (F.col("place") % 4 == 0).alias("held"),
-        _is_base(F.col("c")).alias("confirmed"),
+    sample = _labelled(some.select("text", (F.col("place") % 4).alias("part"))).select(
+        (F.col("part") == 0).alias("held"),
+        "personal",
         *(feature(F.col("c")).alias(name) for name, feature in FEATURES.items()),
     )
     sample = staging.save(sample, "candidates")
-    model = boosting.fit(sample.where("NOT held"), list(FEATURES), "confirmed")
-    return boosting.calibrated(model, sample.where("held"), "confirmed", PRECISION)
+    model = boosting.fit(sample.where("NOT held"), list(FEATURES), "personal")
+    return boosting.calibrated(model, sample.where("held"), "personal", PRECISION)
 
 
 def _chosen(model: Boosted) -> Column:
@@ -216,8 +340,8 @@ def _chosen(model: Boosted) -> Column:
 def _kind(c: Column) -> Column:
     return (
         F.when(c["value"].rlike("[A-Za-z@]"), "email")
+        .when((c["n_digits"] >= CARD_DIGITS) & FEATURES["luhn"](c), "card")
         .when(FEATURES["dots"](c) & ~FEATURES["plus"](c), "ip")
-        .when((c["n_digits"] >= 13) & FEATURES["luhn"](c), "card")
         .otherwise("phone")
     )
 
