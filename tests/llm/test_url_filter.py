@@ -1,4 +1,8 @@
 
+import re
+from collections import Counter
+from itertools import product
+
 import pytest
 
 from tillhouse.llm.url_filter import RULES, Bayes, Segmenter, judge
@@ -88,6 +92,43 @@ def test_verdicts_follow_the_words_of_ruled_pages(spark):
     assert got[200] == "block" and got[201] == "allow"
 
 
+def test_rare_words_and_tokens_count_whatever_the_table_holds(spark, monkeypatch):
+    """Against one segmenter and one classifier with all counts, while `MODEL_WORDS` is far below them."""
+    from tillhouse.llm import url_filter
+
+    monkeypatch.setattr(url_filter, "MODEL_WORDS", 20)
+    names = ["cheap", "flights", "garden", "pill", "zebra", "quartz", "lemon", "violet"]
+    common = "alpha beta gamma delta " * 40
+    ways = product(names, names, (("net", "x"), ("org", "fr"), ("info", "x")))
+    rows = [
+        (k, f"http://{a}{b}.{ending}/{p}/{b}{k}", f"<p>{common} {a} word{'x' * (k % 9)}</p>")
+        for k, (a, b, (ending, p)) in enumerate(ways)
+    ]
+    texts = Counter(w for _, _, html in rows for w in re.split(r"[^a-z]+", html.replace("<p>", " ").replace("</p>", " ")) if w)
+    for telling in url_filter.TELLING.values():
+        texts.update({w: url_filter.TELLING_WEIGHT for w in telling})
+    segmenter, verdicts = Segmenter(texts), {h + p: v for h, p, v in RULES}
+    counts, pages = {}, [0, 0]
+    for _, url, _ in rows:
+        host, path, rule = brute(url)
+        if rule:
+            k = verdicts[rule] == "allow"
+            pages[k] += 1
+            for token in segmenter.tokens(host, path):
+                counts.setdefault(token, [0, 0])[k] += 1
+    for k, verdict in enumerate(("block", "allow")):
+        for token in (f"{kind}:{w}" for kind in ("host", "path") for w in url_filter.TELLING[verdict]):
+            counts.setdefault(token, [0, 0])[k] += url_filter.TELLING_WEIGHT
+    fitted = Bayes.fit({t: tuple(c) for t, c in counts.items()}, tuple(pages))
+    got = {r.page_id: r for r in judge(spark.createDataFrame(rows, SCHEMA)).collect()}
+    for k, url, _ in rows:
+        host, path, rule = brute(url)
+        if not rule:
+            blocked, score = fitted.blocks(segmenter.tokens(host, path))
+            assert got[k].score == pytest.approx(score) and got[k].verdict == ("block" if blocked else "allow")
+    assert sum(r.score is not None for r in got.values()) >= 64
+
+
 def test_the_most_frequent_rows_are_bounded(spark, staging, monkeypatch):
     from tillhouse.llm import url_filter
 

@@ -3,14 +3,14 @@
 Names in hosts are often written together. A unigram model of the words in the
 pages splits them by Viterbi's algorithm, and multinomial naive Bayes scores the
 words of host and path. It learns from the pages that a rule decides and from a
-short list of words known to tell.
+short list of words known to tell. The counts of words and tokens stay tables of
+any size; only those that a URL can hold are looked up, by joins.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from collections import Counter
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -34,9 +34,11 @@ TELLING = {
     ALLOW: ("wiki", "docs", "news", "library", "edu", "university", "science", "research", "archive", "journal"),
 }
 TELLING_WEIGHT = 1000
-# The models' size: the most frequent words, counted over all pages.
+# Rows that `most_frequent` keeps; the models hold all words.
 MODEL_WORDS = 100_000
 LONGEST_WORD = 24
+# A key with more than this part of all uses is looked up by broadcast; there are fewer keys than this.
+HOT = 500
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -69,8 +71,9 @@ def with_rules(pages: DataFrame, rules=RULES) -> DataFrame:
 class Segmenter:
     """Splits a run of letters into its most probable words."""
 
-    def __init__(self, counts: dict[str, int]):
-        total = sum(counts.values()) + 1
+    def __init__(self, counts: dict[str, int], of: int | None = None):
+        """`counts` may hold only words that can occur, if `of` is the sum of all."""
+        total = (sum(counts.values()) if of is None else of) + 1
         self.cost = {word: math.log(total / n) for word, n in counts.items()}
         self.unknown = math.log(total) + 1
         self.known: dict[str, list[str]] = {}
@@ -99,14 +102,25 @@ class Segmenter:
 
     def tokens(self, host: str, path: str) -> list[str]:
         """Words of the host's labels, its ending, and the words and number marks of the path."""
-        names, _, ending = host.rpartition(".")
-        found = [f"host:{word}" for run in re.findall("[^\\W\\d_]+", names) for word in self.split(run)]
-        found += [f"ending:{ending}"] if ending else []
-        for part in re.findall(r"[^\W\d_]+|\d+", path.lower()):
-            found += ["path:#"] if part.isdigit() else [f"path:{word}" for word in self.split(part)]
+        found = []
+        for kind, run in parts(host, path):
+            found += [run] if kind == WHOLE else [f"{kind}:{word}" for word in self.split(run)]
         return found
 
 
+WHOLE = "whole"
+
+
+def parts(host: str, path: str) -> list[tuple[str, str]]:
+    """The runs of letters of host and path, and the tokens that need no splitting, as kind `whole`."""
+    names, _, ending = host.rpartition(".")
+    found = [("host", run) for run in re.findall("[^\\W\\d_]+", names)]
+    found += [(WHOLE, f"ending:{ending}")] if ending else []
+    for part in re.findall(r"[^\W\d_]+|\d+", path.lower()):
+        found.append((WHOLE, "path:#") if part.isdigit() else ("path", part))
+    return found
+
+
 @dataclass
 class Bayes:
     """Log odds of `block` against `allow` for each token."""
@@ -145,52 +159,89 @@ def most_frequent(counted: DataFrame, staging: Staging) -> DataFrame:
     return counted.where(F.col("__size") >= least).drop("__size")
 
 
-def word_counts(pages: DataFrame, staging: Staging) -> dict[str, int]:
-    """The most frequent words of all pages' texts, counted over all of them."""
+def _looked_up(many: DataFrame, few: DataFrame, keys: list[str]) -> DataFrame:
+    """`many` joined to `few`, which has every key once and how many rows use it in `uses`.
+
+    The few keys that many rows use are broadcast, so that no task gets them all.
+    """
+    total = few.agg(F.sum("uses")).first()[0] or 0
+    often = F.col("uses") * HOT > total
+    hot, others = (F.broadcast(few.where(often).drop("uses")), few.where(~often).drop("uses"))
+    return many.join(hot, keys).unionByName(many.join(hot.select(keys), keys, "left_anti").join(others, keys))
+
+
+def _sum_in_order(place: str, value: str) -> Column:
+    """The sum of a group's values by place, which does not depend on the order of tasks."""
+    rows = F.array_sort(F.collect_list(F.struct(place, value)))
+    return F.aggregate(rows, F.lit(0.0), lambda total, row: total + row[value])
+
+
+def word_counts(pages: DataFrame) -> DataFrame:
+    """`word` and `n` of all words of all pages' texts and the telling ones."""
     shown = F.regexp_replace(F.regexp_replace("html", r"(?is)<(script|style)\b.*?</\1>", " "), "<[^>]*>", " ")
     words = pages.select(F.explode(F.split(F.lower(shown), r"[^\p{L}]+")).alias("word"))
     words = words.where((F.length("word") > 0) & (F.length("word") <= LONGEST_WORD))
-    counted = words.groupBy("word").agg(F.count("*").alias("n"))
-    counts = {row["word"]: row["n"] for row in most_frequent(counted, staging).collect()}
-    for words in TELLING.values():
-        for word in words:
-            counts[word] = counts.get(word, 0) + TELLING_WEIGHT
-    return counts
-
+    told = [(word, TELLING_WEIGHT) for telling in TELLING.values() for word in telling]
+    told = pages.sparkSession.createDataFrame(told, "word string, n long")
+    return words.groupBy("word").agg(F.count("*").alias("n")).union(told).groupBy("word").agg(F.sum("n").alias("n"))
 
-def train(ruled_pages: DataFrame, segmenter: Segmenter, staging: Staging) -> Bayes:
-    """Learns from pages with a `ruled` verdict: tokens are counted in tasks, then over all pages."""
-    shared = ruled_pages.sparkSession.sparkContext.broadcast(segmenter)
 
+def _url_parts(urls: DataFrame) -> DataFrame:
+    """What each URL consists of, in order."""
     def make():
-        splitter = shared.value
-
-        def count(batch: pa.RecordBatch) -> dict:
-            counts = Counter()
-            rows = zip(*(batch.column(c).to_pylist() for c in ("host", "path", "ruled")), strict=True)
-            for host, path, verdict in rows:
-                counts.update((token, verdict) for token in splitter.tokens(host, path))
-            return {
-                "token": [token for token, _ in counts],
-                "blocked": [n if verdict == BLOCK else 0 for (_, verdict), n in counts.items()],
-                "allowed": [n if verdict == ALLOW else 0 for (_, verdict), n in counts.items()],
-            }
-
-        return count
-
-    seen = ruled_pages.where("ruled IS NOT NULL")
-    per_batch = map_batches(seen.select("host", "path", "ruled"), make, "token string, blocked long, allowed long")
-    counted = per_batch.groupBy("token").agg(
-        F.sum("blocked").alias("blocked"), F.sum("allowed").alias("allowed"), F.sum(F.col("blocked") + F.col("allowed")).alias("n")
-    )
-    counts = {row["token"]: (row["blocked"], row["allowed"]) for row in most_frequent(counted, staging).collect()}
-    for verdict, words in TELLING.items():
-        for word in words:
-            for token in (f"host:{word}", f"path:{word}"):
-                b, a = counts.get(token, (0, 0))
-                counts[token] = (b + TELLING_WEIGHT, a) if verdict == BLOCK else (b, a + TELLING_WEIGHT)
-    pages = seen.agg(F.count_if(F.col("ruled") == BLOCK), F.count_if(F.col("ruled") == ALLOW)).first()
-    return Bayes.fit(counts, tuple(pages))
+        def cut(batch: pa.RecordBatch) -> dict:
+            out: dict = {name: [] for name in ("key", "place", "kind", "run", "ruled", "n")}
+            rows = zip(*(batch.column(c).to_pylist() for c in ("host", "path", "key", "ruled", "n")), strict=True)
+            for host, path, key, ruled, n in rows:
+                for place, (kind, run) in enumerate(parts(host, path)):
+                    for name, value in zip(out, (key, place, kind, run, ruled, n), strict=True):
+                        out[name].append(value)
+            return out
+
+        return cut
+
+    return map_batches(urls, make, "key string, place int, kind string, run string, ruled string, n long")
+
+
+def split_runs(runs: DataFrame, counts: DataFrame, staging: Staging) -> DataFrame:
+    """`run` and its `words` for a table of distinct runs; of all words it looks up those that a run holds."""
+    of = counts.agg(F.sum("n")).first()[0]
+
+    def make_split():
+        def split(batch: pa.RecordBatch) -> dict:
+            rows = zip(batch.column("run").to_pylist(), batch.column("known").to_pylist(), strict=True)
+            words = [Segmenter({w["word"]: w["n"] for w in known or []}, of).split(run) for run, known in rows]
+            return {"run": batch.column("run"), "words": words}
+
+        return split
+
+    starts = F.regexp_extract_all("run", F.lit(f"(?s)(?=(.{{1,{LONGEST_WORD}}}))."), F.lit(1))
+    starts = runs.select("run", F.explode(F.array_distinct(starts)).alias("rest"))
+    lengths = F.sequence(F.lit(1), F.length("rest"))
+    held = starts.select("run", F.explode(F.transform(lengths, lambda n: F.substring("rest", F.lit(1), n))).alias("word"))
+    known = held.groupBy("word").agg(F.count("*").alias("uses")).join(counts, "word")
+    met = _looked_up(held, staging.save(known, "known"), ["word"])
+    listed = met.groupBy("run").agg(F.collect_set(F.struct("word", "n")).alias("known"))
+    return map_batches(runs.join(listed, "run", "left"), make_split, "run string, words array<string>")
+
+
+def token_odds(tokens: DataFrame, staging: Staging) -> DataFrame:
+    """Multinomial naive Bayes over all tokens, as `Bayes.fit`: `token`, its `odds`, and the rows that use it."""
+    told = [
+        (f"{kind}:{word}", TELLING_WEIGHT * (verdict == BLOCK), TELLING_WEIGHT * (verdict == ALLOW), 0)
+        for verdict, words in TELLING.items()
+        for word in words
+        for kind in ("host", "path")
+    ]
+    told = tokens.sparkSession.createDataFrame(told, "token string, blocked long, allowed long, uses long")
+    counted = tokens.select("token", "blocked", "allowed", F.lit(1).cast("long").alias("uses")).union(told)
+    sums = (F.sum(c).alias(c) for c in ("blocked", "allowed", "uses"))
+    counted = staging.save(counted.groupBy("token").agg(*sums), "counted")
+    seen = F.col("blocked") + F.col("allowed") > 0
+    size = counted.where(seen).agg(F.sum("blocked"), F.sum("allowed"), F.count("*")).first()
+    rate = math.log((size[1] + size[2] + 1) / (size[0] + size[2] + 1))
+    odds = F.when(seen, F.log((F.col("blocked") + 1) / (F.col("allowed") + 1)) + rate).otherwise(rate)
+    return counted.select("token", odds.alias("odds"), "uses")
 
 
 def judge(pages: DataFrame, staging: Staging | None = None, rules=RULES) -> DataFrame:
@@ -201,29 +252,33 @@ def judge(pages: DataFrame, staging: Staging | None = None, rules=RULES) -> Data
     words, and so the verdict that most ruled pages have; ties are allowed.
     Repeated rows repeat. `score` is the log odds for blocking, null under a rule.
     """
-    ruled = with_rules(pages.select("page_id", "url"), rules).drop("url")
     staging = staging or Staging(pages.sparkSession)
-    segmenter = Segmenter(word_counts(pages, staging))
-    bayes = train(ruled, segmenter, staging)
-    shared = pages.sparkSession.sparkContext.broadcast((segmenter, bayes))
-
-    def make():
-        splitter, fitted = shared.value
-
-        def decide(batch: pa.RecordBatch) -> dict:
-            out = {name: batch.column(name) for name in ("page_id", "host", "path", "rule")}
-            out |= {"verdict": [], "score": []}
-            rows = zip(*(batch.column(c).to_pylist() for c in ("host", "path", "ruled")), strict=True)
-            for host, path, verdict in rows:
-                score = None
-                if verdict is None:
-                    blocked, score = fitted.blocks(splitter.tokens(host, path))
-                    verdict = BLOCK if blocked else ALLOW
-                out["verdict"].append(verdict)
-                out["score"].append(score)
-            return out
-
-        return decide
-
-    plain = ruled.withColumn("page_id", F.col("page_id").cast("long")).select("page_id", "host", "path", "rule", "ruled")
-    return map_batches(plain, make, "page_id long, host string, path string, rule string, verdict string, score double")
+    ruled = with_rules(pages.select(F.col("page_id").cast("long").alias("page_id"), "url"), rules).drop("url")
+    # A path is empty or starts with a slash, which no host holds.
+    ruled = ruled.withColumn("key", F.md5(F.concat("host", "path")))
+    urls = staging.save(ruled.groupBy("key", "host", "path", "ruled").agg(F.count("*").alias("n")), "urls")
+    found = staging.save(_url_parts(urls), "parts")
+    hits = (F.sum(F.when(F.col("ruled") == v, F.col("n")).otherwise(0)).alias(c) for v, c in ((BLOCK, "blocked"), (ALLOW, "allowed")))
+    runs = staging.save(found.groupBy("kind", "run").agg(*hits, F.count("*").alias("uses")), "runs")
+    letters = staging.save(runs.where(F.col("kind") != WHOLE).select("run").distinct(), "letters")
+    split = split_runs(letters, staging.save(word_counts(pages), "words"), staging)
+    worded = runs.where(F.col("kind") != WHOLE).join(split, "run").select(
+        "kind", "run", "blocked", "allowed", "uses", F.posexplode("words").alias("at", "token")
+    )
+    worded = worded.withColumn("token", F.concat_ws(":", "kind", "token"))
+    whole = runs.where(F.col("kind") == WHOLE).withColumn("at", F.lit(0)).withColumn("token", F.col("run"))
+    tokens = staging.save(worded.unionByName(whole), "tokens")
+    odds = staging.save(token_odds(tokens, staging), "odds")
+    priced = _looked_up(tokens.select("kind", "run", "uses", "at", "token"), odds, ["token"])
+    priced = priced.groupBy("kind", "run").agg(_sum_in_order("at", "odds").alias("odds"), F.max("uses").alias("uses"))
+    undecided = found.where("ruled IS NULL").select("key", "place", "kind", "run")
+    summed = _looked_up(undecided, staging.save(priced, "priced"), ["kind", "run"])
+    summed = summed.groupBy("key").agg(_sum_in_order("place", "odds").alias("odds"))
+    counts = urls.agg(*(F.sum(F.when(F.col("ruled") == v, F.col("n"))) for v in (BLOCK, ALLOW))).first()
+    prior = math.log(((counts[0] or 0) + 1) / ((counts[1] or 0) + 1))
+    score = F.lit(prior) + F.coalesce("odds", F.lit(0.0))
+    scores = urls.where("ruled IS NULL").join(summed, "key", "left").select("key", F.col("n").alias("uses"), score.alias("score"))
+    judged = _looked_up(ruled.where("ruled IS NULL"), staging.save(scores, "scores"), ["key"])
+    judged = judged.withColumn("ruled", F.when(F.col("score") > 0, BLOCK).otherwise(ALLOW))
+    done = judged.unionByName(ruled.where("ruled IS NOT NULL").withColumn("score", F.lit(None).cast("double")))
+    return done.select("page_id", "host", "path", "rule", F.col("ruled").alias("verdict"), "score")
