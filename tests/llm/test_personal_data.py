@@ -137,6 +137,13 @@ def test_what_the_base_patterns_miss_is_added(documents, staging):
     assert all(r.n_email + r.n_ip + r.n_card + r.n_phone == 0 for r in rows.values())
 
 
+def test_the_sample_is_bounded_whatever_the_copies(documents):
+    for copied in ("one", "two", "three"):
+        docs = documents([copied] * 1000 + [f"text {k}" for k in range(2000)])
+        got = [r.text for r in personal_data.sampled(docs, 300).collect()]
+        assert 220 <= len(got) <= 380 and 60 <= got.count(copied) <= 140
+
+
 @pytest.mark.parametrize("texts", [[], [None, ""], ["no numbers at all"]])
 def test_training_without_candidates_selects_nothing(documents, staging, texts):
     model = train(documents(texts), staging)

@@ -309,16 +309,20 @@ def _labelled(docs: DataFrame) -> DataFrame:
     return made.union(seen.where(FEATURES["counted"](F.col("c")) | FEATURES["inside"](F.col("c"))))
 
 
+def sampled(docs: DataFrame, rows: int) -> DataFrame:
+    """About `rows` rows with a text, each chosen for itself, so that copies of a text do not come or go together."""
+    place = F.pmod(F.xxhash64(F.lit(9), "doc_id", "text"), F.lit(1 << 30))
+    return docs.where("text IS NOT NULL").where(place < int((1 << 30) * min(1.0, rows / max(1, docs.count()))))
+
+
 def train(docs: DataFrame, staging: Staging, sample_docs: int = SAMPLE_DOCS) -> Boosted:
-    """Fits on labelled candidates from about `sample_docs` documents, chosen by a hash of their text.
+    """Fits on labelled candidates from about `sample_docs` documents, chosen by a hash of id and text.
 
-    A fourth of them is kept for the threshold. Without base matches nothing is selected.
+    About a fourth of the texts is kept for the threshold, copies together. Without base
+    matches nothing is selected.
     """
-    n = docs.count()
-    place = F.pmod(F.xxhash64(F.lit(9), "text"), F.lit(1 << 30))
-    some = docs.select("text").where("text IS NOT NULL").withColumn("place", place)
-    some = some.where(F.col("place") < int((1 << 30) * min(1.0, sample_docs / max(1, n))))
-    sample = _labelled(some.select("text", (F.col("place") % 4).alias("part"))).select(
+    some = sampled(docs, sample_docs)
+    sample = _labelled(some.select("text", F.pmod(F.xxhash64(F.lit(9), "text"), F.lit(4)).alias("part"))).select(
         (F.col("part") == 0).alias("held"),
         "personal",
         *(feature(F.col("c")).alias(name) for name, feature in FEATURES.items()),
