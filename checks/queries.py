@@ -76,15 +76,29 @@ def json_orders_inferred_scan(spark, sf_dir):
     return _documents(sources.read_orders_json(spark, _written_orders(spark, sf_dir), schema=None))
 
 
-def json_orders_multiline_scan(spark, sf_dir):
-    """The same documents as arrays spread over lines, one file for each day."""
-    raw = recipes.raw_orders(spark, sf_dir)
+# Orders in one file of several lines, about.
+ORDERS_PER_FILE = 10_000
+
+
+def _array_files(raw: DataFrame, orders_per_file: int = ORDERS_PER_FILE) -> DataFrame:
+    """Arrays of about `orders_per_file` documents of one day as `value`, with their `order_date` and `part`."""
     document = F.to_json(F.struct(*raw.columns), {"ignoreNullFields": "false"})
+    files = F.ceil(F.count("*") / orders_per_file).alias("files")
+    days = raw.groupBy(F.col("order_date").alias("day")).agg(files)
+    # One row for each day, however many orders there are.
+    dealt = raw.select("order_date", "order_id", document.alias("value")).join(
+        F.broadcast(days), F.col("order_date").eqNullSafe(F.col("day"))
+    )
+    part = F.pmod(F.xxhash64("order_id"), "files").alias("part")
+    arrays = dealt.groupBy("order_date", part).agg(F.collect_list("value").alias("all"))
+    return arrays.select(F.concat(F.lit("["), F.array_join("all", ",\n"), F.lit("\n]")).alias("value"), "order_date", "part")
+
+
+def json_orders_multiline_scan(spark, sf_dir):
+    """The same documents as arrays spread over lines, a file or more for each day."""
     path = th.Staging(spark).path("arrays")
-    days = raw.select("order_date", document.alias("value")).groupBy("order_date").agg(F.collect_list("value").alias("all"))
-    text = F.concat(F.lit("["), F.array_join("all", ",\n"), F.lit("\n]"))
-    days.select(text.alias("value"), "order_date").write.partitionBy("order_date").text(path)
-    return _documents(sources.read_orders_json(spark, f"{path}/*", multi_line=True))
+    _array_files(recipes.raw_orders(spark, sf_dir)).write.partitionBy("order_date", "part").text(path)
+    return _documents(sources.read_orders_json(spark, f"{path}/*/*", multi_line=True))
 
 
 def staged_orders_scan(spark, sf_dir):

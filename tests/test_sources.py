@@ -184,3 +184,15 @@ def test_the_caller_may_set_the_fetch_size():
     reader = RecordingReader(None)
     sources.read_jdbc_table(reader, "jdbc:x", "products", {"fetchsize": "7"}, "product_id", 4, (1, 9))
     assert reader.calls[0][1]["properties"] == {"fetchsize": "7"}
+
+
+def test_a_day_with_many_orders_gives_several_arrays(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from checks import queries, recipes
+
+    raw = recipes.raw_orders(spark, sf_dir).withColumn("order_date", F.lit("2024-01-15"))
+    n = raw.count()
+    rows = queries._array_files(raw, 100).select("part", F.size(F.split("value", "\n")).alias("lines")).collect()
+    assert len(rows) == len({r.part for r in rows}) == -(-n // 100)
+    assert sum(r.lines - 1 for r in rows) == n and max(r.lines for r in rows) < 200
