@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import numpy as np
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
@@ -80,3 +81,26 @@ def test_empty_table(documents, staging):
 def test_whole_table(spark, sf_dir, staging):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     check(encode_documents(docs, staging, PATH, digests=True).collect(), [(r.doc_id, r.text) for r in docs.collect()])
+
+
+def test_the_cache_of_words_stays_bounded(monkeypatch):
+    monkeypatch.setattr(chunk_encoding, "CACHE_BYTES", 100_000)
+    encoder = chunk_encoding.Encoder(chunk_encoding.read_file(PATH))
+    rng = random.Random(1)
+    for _ in range(10):
+        encoder.encode_all(["".join(rng.choice("acgt") for _ in range(40_000)) for _ in range(5)])
+    assert not encoder.known
+    for _ in range(30):
+        text = " ".join("".join(rng.choice("abcdefgh中é'1.") for _ in range(9)) for _ in range(500))
+        assert encoder.encode(text) == np.array(LIBRARY.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        held = [*encoder.known.items(), *encoder.known.older.items()]
+        assert sum(chunk_encoding.ENTRY_BYTES + len(w) + len(ids) for w, ids in held) < 210_000
+    encoder.known.rest()
+    assert not encoder.known.older
+
+
+@pytest.mark.parametrize("separator", ["\x1c", "\x1f", "\x85", " ", "​", "᠎", "﻿", "　", "\x0b", "\x00"])
+def test_white_space_is_what_the_library_takes_for_it(separator):
+    encoder = chunk_encoding.Encoder(chunk_encoding.read_file(PATH))
+    text = f"two{separator}Words{separator}{separator}'s 1{separator}2 {separator}x."
+    assert encoder.encode(text) == np.array(LIBRARY.encode(text, add_special_tokens=False).ids, "<u4").tobytes()

@@ -18,7 +18,8 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
 from functools import cache
 
 import numpy as np
@@ -28,15 +29,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillhouse.llm.columns import map_batches, row_key, sliced, texts
-from tillhouse.llm.vocabulary import Splitter, read_file
+from tillhouse.llm.vocabulary import Splitter, byte_alphabet, read_file
 from tillhouse.staging import Staging
 
 WINDOW = 16
 MASK = (1 << 10) - 1
 LEAST, MOST = 256, 8192
-CACHED_PIECES = 400_000
+CACHE_BYTES = 48 << 20
+ENTRY_BYTES = 200
 LONG_PIECE = 64
-TOGETHER = 2_000_000
 ID = np.dtype("<u4")
 ANCHOR = re.compile("[ \n]")
 GEAR = np.random.default_rng(7).integers(0, 1 << 32, 256, dtype=np.uint32)
@@ -79,53 +80,72 @@ def middle_of(chunk: str) -> tuple[int, int]:
     return first.start(), max(chunk.rfind(" "), chunk.rfind("\n"))
 
 
+class KnownWords(dict):
+    """The ids of words met so far, worked out on the first look-up, within `CACHE_BYTES` a generation.
+
+    Of a full cache only what is asked for again stays; words over `LONG_PIECE` characters never do.
+    """
+
+    def __init__(self, learn: Callable[[str], bytes]):
+        super().__init__()
+        self.learn = learn
+        self.older: dict[str, bytes] = {}
+        self.size = 0
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.older.get(word)
+        if ids is None:
+            ids = self.learn(word)
+        if len(word) <= LONG_PIECE:
+            if self.size > CACHE_BYTES:
+                self.older, self.size = dict(self), 0
+                self.clear()
+            self[word] = ids
+            self.size += ENTRY_BYTES + len(word) + len(ids)
+        return ids
+
+    def rest(self) -> None:
+        """Lets go of the older generation, for workers that stay idle between tasks."""
+        self.older = {}
+
+
 class Encoder:
-    """Ids of texts as the tokenizers library gives them, each distinct piece encoded once per task."""
+    """Ids of texts as the tokenizers library gives them, from a bounded cache of words."""
 
     def __init__(self, source: str):
         self.splitter = Splitter(source)
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
         library = self.splitter.library
+        self.merge = library.model.tokenize
+        self.known = KnownWords(self._ids_of)
         size = library.get_vocab_size(with_added_tokens=True)
         self.joins_tokens = json.loads(source)["decoder"] is None
         self.names = [library.id_to_token(k) or "" for k in range(size)]
         self.numerals = [str(k) for k in range(size)]
-
-    def _learn(self, pieces: set[str]) -> None:
-        if len(self.known) >= CACHED_PIECES:
-            self.older, self.known = self.known, {}
-        pieces = pieces.difference(self.known)
-        self.known.update((piece, self.older[piece]) for piece in pieces if piece in self.older)
-        new = [piece for piece in pieces if piece not in self.known]
-        for piece, encoded in zip(new, self.splitter.library.encode_batch(new, add_special_tokens=False), strict=True):
-            self.known[piece] = np.array(encoded.ids, ID).tobytes()
+        self.printable = {byte: shown for shown, byte in byte_alphabet().items()}
+
+    def _ids_of(self, word: str) -> bytes:
+        """The ids of one normalized word: those of its pieces, whose bytes are merged as printable characters."""
+        pieces = [word] if word.isascii() and word.isalpha() else self.splitter.cut(word)
+        if len(pieces) > 1:
+            return b"".join(map(self.known.__getitem__, pieces))
+        shown = word if word.isascii() and word.isprintable() else word.encode().decode("latin-1").translate(self.printable)
+        return array("I", [token.id for token in self.merge(shown)]).tobytes()
+
+    def encode(self, text: str) -> bytes:
+        """The ids of one text, four bytes each."""
+        parts = self.splitter.parts(text)
+        if len(parts) == 1:
+            return b"".join(map(self.known.__getitem__, self.splitter.words(text)))
+        found = []
+        for ordinary, special in parts:
+            found.extend(map(self.known.__getitem__, self.splitter.words(ordinary)))
+            if special is not None:
+                found.append(np.array([self.splitter.specials[special]], ID).tobytes())
+        return b"".join(found)
 
     def encode_all(self, stretches: list[str]) -> list[bytes]:
         """The ids of each stretch, four bytes each."""
-        out: list[bytes] = []
-        at = 0
-        while at < len(stretches):
-            end, size = at, 0
-            while end < len(stretches) and size < TOGETHER:
-                size += len(stretches[end])
-                end += 1
-            cut = [
-                [(self.splitter.pieces(ordinary), special) for ordinary, special in self.splitter.parts(stretch)]
-                for stretch in stretches[at:end]
-            ]
-            self._learn({piece for parts in cut for pieces, _ in parts for piece in pieces})
-            for parts in cut:
-                ids = []
-                for pieces, special in parts:
-                    ids.extend(map(self.known.__getitem__, pieces))
-                    if special is not None:
-                        ids.append(np.array([self.splitter.specials[special]], ID).tobytes())
-                out.append(b"".join(ids))
-            for piece in [p for p in self.known if len(p) > LONG_PIECE] if size >= TOGETHER else []:
-                del self.known[piece]
-            at = end
-        return out
+        return [self.encode(stretch) for stretch in stretches]
 
     def decode(self, ids: list[int]) -> str:
         if self.joins_tokens:
@@ -282,6 +302,7 @@ def _cut_rows(source, digests: bool):
                     rows.append({"doc_id": doc_id, "own": False} | _result(encoder, b"".join(encoded[first:end]), digests))
             for at in range(0, len(rows), 2000):
                 yield pa.RecordBatch.from_pylist(rows[at : at + 2000], schema=arrow_schema)
+        encoder.known.rest()
 
     return run
 

@@ -20,12 +20,16 @@ CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"
 LATIN_LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ɏ"
 LATIN_DIGITS = "0-9²³¹¼½¾"
 LATIN_SPACE = "\t-\r \x85\xa0"
+SEPARATORS = re.compile("[\x1c-\x1f]")
 BEYOND_LATIN = re.compile("[^\x00-ɏ]")
 RECENT = re.compile(
     "[՘֋֌࢏౜೜Ᲊ₏₝-₟Ɤ-ꟿ꭬꭭\U00010000-\U0010ffff]"
 )
 
 
+spaced_out = re.compile(f"[^{SPACE}]+").findall
+
+
 def byte_level(letters: str, digits: str, space: str, engine):
     """Byte-level pieces: an optional blank goes with the letters, digits or marks after it."""
     return engine.compile(
@@ -69,20 +73,32 @@ class Splitter:
         self.latin = make(LATIN_LETTERS, LATIN_DIGITS, LATIN_SPACE, re).findall
         self.any = make(r"\p{L}", r"\p{N}", SPACE, regex).findall
 
-    def pieces(self, text: str) -> list[str]:
-        """The pieces of text without special strings."""
-        if self.normalizes:
-            if RECENT.search(text):
-                text = self.library.normalizer.normalize_str(text)
-            else:
-                text = unicodedata.normalize("NFC", text)
-                text = "".join(c.lower() for c in text) if "Σ" in text else text.lower()
+    def normalized(self, text: str) -> str:
+        """The text as the tokenizer's normalizer leaves it."""
+        if not self.normalizes:
+            return text
+        if RECENT.search(text):
+            return self.library.normalizer.normalize_str(text)
+        text = unicodedata.normalize("NFC", text)
+        return "".join(c.lower() for c in text) if "Σ" in text else text.lower()
+
+    def cut(self, text: str) -> list[str]:
+        """The pieces of normalized text without special strings."""
         if not BEYOND_LATIN.search(text):
             return self.latin(text)
         if not RECENT.search(text):
             return self.any(text)
         return [text[a:b] for _, (a, b) in self.library.pre_tokenizer.pre_tokenize_str(text)]
 
+    def pieces(self, text: str) -> list[str]:
+        """The pieces of text without special strings."""
+        return self.cut(self.normalized(text))
+
+    def words(self, text: str) -> list[str]:
+        """Normalized text between white space, which word-level pieces never cross."""
+        text = self.normalized(text)
+        return spaced_out(text) if SEPARATORS.search(text) else text.split()
+
     def parts(self, text: str) -> list[tuple[str, str | None]]:
         """Stretches of ordinary text, each with the special string that ends it, if any."""
         found, at = [], 0
