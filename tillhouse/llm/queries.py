@@ -13,6 +13,7 @@ from tillhouse.llm import (
     decontamination,
     language_id,
     license_scan,
+    packing,
     personal_data,
     secrets,
     simhash,
@@ -79,6 +80,12 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find_secrets(docs, Staging(spark)).select(*columns)
 
 
+def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack_documents(docs, Staging(spark), path, keep_ids=False)
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_embedding_links,
@@ -91,5 +98,6 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_url_filter,
         op9_personal_data,
         op10_secrets,
+        op11_best_fit_packing,
     ]
     return {query.__name__: query for query in found}
