@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tillhouse.llm import (
     chunk_encoding,
     decontamination,
+    fill_in_middle,
     language_id,
     license_scan,
     packing,
@@ -86,6 +87,11 @@ def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, Staging(spark), path, keep_ids=False)
 
 
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return fill_in_middle.digest(fill_in_middle.fill_in_middle(docs))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_embedding_links,
@@ -99,5 +105,6 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op9_personal_data,
         op10_secrets,
         op11_best_fit_packing,
+        op13_fill_in_middle,
     ]
     return {query.__name__: query for query in found}
