@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tillhouse.llm import (
     chunk_encoding,
+    conversations,
     decontamination,
     fill_in_middle,
     language_id,
@@ -87,6 +88,13 @@ def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, Staging(spark), path, keep_ids=False)
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    staging = Staging(spark)
+    edits = staging.save(conversations.repair(conversations.damage(table), staging), "edits")
+    return conversations.repaired_summary(table, edits)
+
+
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return fill_in_middle.digest(fill_in_middle.fill_in_middle(docs))
@@ -105,6 +113,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op9_personal_data,
         op10_secrets,
         op11_best_fit_packing,
+        op12_conversation_repair,
         op13_fill_in_middle,
     ]
     return {query.__name__: query for query in found}
