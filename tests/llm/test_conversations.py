@@ -172,7 +172,7 @@ def test_conversations_over_many_chunks(spark, staging, kind):
     rows += [(7, 60 + k, role, f"end {k}.") for k, role in enumerate(["assistant", "assistant", "user"])]
     rows += [(8, 0, "system", "a."), (6, 0, "user", "b.")]
     df = staging.save(spark.createDataFrame(rows, CONVERSATIONS), "table")
-    numbered = cv.numbered_rows(df, staging)
+    numbered = cv.numbered_rows(cv.stored_rows(df, staging), staging)
     chunks = staging.save(cv.coded_chunks(numbered, 3), "chunks")
     _, passes = cv.backward_vectors(chunks, staging)
     assert passes <= cv.FIXUPS + 1 + 6

@@ -235,21 +235,37 @@ def damage(conversations: DataFrame) -> DataFrame:
     )
 
 
-def numbered_rows(conversations: DataFrame, staging: Staging) -> DataFrame:
-    """All rows in order of conversation and turn, with their number `n` and a hash of what was `said`.
+def stored_rows(conversations: DataFrame, staging: Staging) -> DataFrame:
+    """A stored copy of the rows, each with an `id`; whole texts are sorted nowhere."""
+    return staging.save(
+        conversations.select(
+            F.monotonically_increasing_id().alias("id"),
+            F.col("conv_id").cast("long").alias("conv_id"),
+            F.col("turn").cast("long").alias("turn"),
+            text_of("role").alias("role"),
+            text_of("text").alias("text"),
+        ),
+        "rows",
+    )
+
+
+def numbered_rows(rows: DataFrame, staging: Staging) -> DataFrame:
+    """The narrow rows in order of conversation and turn, with their number `n`, and a hash of what was `said`.
 
     Nulls come first; rows of one turn go in the order of that hash.
     """
-    rows = conversations.select(
-        F.col("conv_id").cast("long").alias("conv_id"),
-        F.col("turn").cast("long").alias("turn"),
-        text_of("role").alias("role"),
-        text_of("text").alias("text"),
-    )
     said = F.concat_ws(":", F.length("role").cast("string"), F.col("role"), F.col("text"))
-    rows = staging.save(rows.withColumn("said", F.unhex(F.sha2(said, 256))), "rows")
+    initial = F.substring("role", 1, 1)
+    narrow = rows.select(
+        "id",
+        "conv_id",
+        "turn",
+        F.unhex(F.sha2(said, 256)).alias("said"),
+        F.when(initial == "u", 1).when(initial == "a", 2).when(initial == "s", 3).otherwise(0).alias("initial"),
+        fault_of(F.lit(False)).alias("fault"),
+    )
     order = [F.asc_nulls_first(c) for c in ("conv_id", "turn", "said")]
-    return staging.save(dense_key(rows, order, 0, "n", staging), "ordered")
+    return staging.save(dense_key(narrow, order, 0, "n", staging), "ordered")
 
 
 def fault_of(duplicate: Column) -> Column:
@@ -272,28 +288,24 @@ def coded_chunks(rows: DataFrame, chunk_rows: int) -> DataFrame:
     `goes_on` says that the chunk's last conversation continues in the next one.
     """
     firsts = rows.groupBy("conv_id", "said").agg(F.min("n").alias("n")).select("n", F.lit(True).alias("earliest"))
-    initial = F.substring("role", 1, 1)
-    narrow = rows.select(
-        "n",
-        "conv_id",
-        F.when(initial == "u", 1).when(initial == "a", 2).when(initial == "s", 3).otherwise(0).alias("initial"),
-        fault_of(F.lit(False)).alias("fault"),
-    ).join(firsts, "n", "left")
+    narrow = rows.join(firsts, "n", "left")
     deleted = F.col("earliest").isNull() | (F.col("fault") == "blank")
     code = 2 * F.col("initial") + F.when(F.col("fault") == "truncated", 1).otherwise(0)
     coded = narrow.select(
         "n",
+        "id",
         F.floor(F.col("n") / chunk_rows).cast("long").alias("chunk"),
         "conv_id",
         F.when(deleted, DELETED).otherwise(code).cast("int").alias("code"),
     )
     ends = ~F.lead("conv_id").over(Window.partitionBy("chunk").orderBy("n")).eqNullSafe(F.col("conv_id"))
-    row = F.struct("n", "code", "ends", "conv_id")
+    row = F.struct("n", "code", "ends", "conv_id", "id")
     chunks = coded.withColumn("ends", ends).groupBy("chunk").agg(F.sort_array(F.collect_list(row)).alias("rows"))
     edges = chunks.select(
         F.col("chunk"),
         F.transform("rows", lambda r: r["code"]).alias("codes"),
         F.transform("rows", lambda r: r["ends"]).alias("ends"),
+        F.transform("rows", lambda r: r["id"]).alias("ids"),
         F.element_at("rows", 1)["conv_id"].alias("first_conv"),
         F.element_at("rows", -1)["conv_id"].alias("last_conv"),
     )
@@ -301,7 +313,7 @@ def coded_chunks(rows: DataFrame, chunk_rows: int) -> DataFrame:
     # Within a chunk the last row has no successor, so its end is told by the next chunk.
     goes_on = F.col("met") & F.col("next_conv").eqNullSafe(F.col("last_conv"))
     return edges.join(following, "chunk", "left").select(
-        "chunk", "codes", "ends", F.coalesce(goes_on, F.lit(False)).alias("goes_on")
+        "chunk", "codes", "ends", "ids", F.coalesce(goes_on, F.lit(False)).alias("goes_on")
     )
 
 
@@ -482,7 +494,7 @@ def entry_states(chunks: DataFrame, staging: Staging) -> tuple[DataFrame, int]:
 
 
 def traced(chunks: DataFrame, chunk_rows: int) -> DataFrame:
-    """The edits of every row `n` in order: `letters` from `state` on, `tail` after it from `tail_state` on.
+    """The edits of every row `id` in order: `letters` from `state` on, `tail` after it from `tail_state` on.
 
     `forced` rows are blank or duplicates.
 
@@ -493,9 +505,9 @@ def traced(chunks: DataFrame, chunk_rows: int) -> DataFrame:
         costs, tracer = Costs(), Tracer()
 
         def trace(batch: pa.RecordBatch) -> dict:
-            out: dict = {name: [] for name in ("n", "forced", "letters", "state", "tail", "tail_state")}
-            told = zip(batch.column("end").to_pylist(), batch.column("entry").to_pylist(), strict=True)
-            for (chunk, codes, runs, goes_on), (vector, entry) in zip(_loaded(batch), told, strict=True):
+            out: dict = {name: [] for name in ("id", "n", "forced", "letters", "state", "tail", "tail_state")}
+            told = zip(*(batch.column(c).to_pylist() for c in ("end", "entry", "ids")), strict=True)
+            for (chunk, codes, runs, goes_on), (vector, entry, ids) in zip(_loaded(batch), told, strict=True):
                 for start, end in runs:
                     open_ = goes_on and end == len(codes)
                     vectors = costs.back(codes[start:end], tuple(vector) if open_ else END)
@@ -505,6 +517,7 @@ def traced(chunks: DataFrame, chunk_rows: int) -> DataFrame:
                         tail = ""
                         if k + 1 == end and not open_:
                             tail, _ = tracer.edits(after, None, END, None)
+                        out["id"].append(ids[k])
                         out["n"].append(chunk * chunk_rows + k)
                         out["forced"].append(codes[k] == DELETED)
                         out["letters"].append(letters)
@@ -516,7 +529,7 @@ def traced(chunks: DataFrame, chunk_rows: int) -> DataFrame:
 
         return trace
 
-    return map_batches(chunks, make, "n long, forced boolean, letters string, state int, tail string, tail_state int")
+    return map_batches(chunks, make, "id long, n long, forced boolean, letters string, state int, tail string, tail_state int")
 
 
 def repair(conversations: DataFrame, staging: Staging, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
@@ -534,8 +547,8 @@ def repair(conversations: DataFrame, staging: Staging, chunk_rows: int = CHUNK_R
     Conversations of any length are searched in chunks. Other columns are not read. An
     empty table gives no rows.
     """
-    rows = numbered_rows(conversations, staging)
-    chunks = staging.save(coded_chunks(rows, chunk_rows), "chunks")
+    rows = stored_rows(conversations, staging)
+    chunks = staging.save(coded_chunks(numbered_rows(rows, staging), chunk_rows), "chunks")
     ends, _ = backward_vectors(chunks, staging)
     chunks = staging.save(chunks.join(ends, "chunk"), "stitched")
     entries, _ = entry_states(chunks, staging)
@@ -550,7 +563,7 @@ def repair(conversations: DataFrame, staging: Staging, chunk_rows: int = CHUNK_R
         )
 
     every = F.concat(edits("letters", "state"), edits("tail", "tail_state"))
-    told = rows.join(found, "n").withColumn("fault", fault_of(F.col("forced")))
+    told = rows.join(found, "id").withColumn("fault", fault_of(F.col("forced")))
     edited = told.select("*", F.posexplode(every).alias("k", "e")).select("*", "e.*")
     edit, own = F.col("edit"), F.col("edit") != "I"
     fault = F.when(own, F.col("fault"))

@@ -90,8 +90,7 @@ def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = spark.read.parquet(f"{sf_dir}/conversations.parquet")
-    staging = Staging(spark)
-    edits = staging.save(conversations.repair(conversations.damage(table), staging), "edits")
+    edits = conversations.repair(conversations.damage(table), Staging(spark))
     return conversations.repaired_summary(table, edits)
 
 
