@@ -5,6 +5,7 @@ from datetime import date
 import pytest
 
 import tillhouse as th
+from tillhouse.operators import scd2
 from tillhouse.schemas import DIM_PRODUCTS, LOGISTICS, ORDER_LINES, PRODUCTS, RAW_ORDERS
 from tillhouse.session import size_settings
 
@@ -48,19 +49,45 @@ def test_scores_are_a_projection_over_the_staged_base(stored, staging):
     assert "Exchange" not in text and "Window" not in text
 
 
-@pytest.mark.parametrize(("policy", "join"), [("safe", "FullOuter"), ("reference", "LeftOuter")])
-def test_scd2_joins_once_with_the_filter_in_the_scan(spark, stored, policy, join):
+@pytest.fixture
+def no_broadcast(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        text = plan(th.classify(th.current_rows(stored(DIM_PRODUCTS)), stored(PRODUCTS), DAY, policy))
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert text.count("Join [") == 1 and join in text
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_scd2_reference_joins_once_with_the_filter_in_the_scan(stored, no_broadcast):
+    text = plan(th.classify(th.current_rows(stored(DIM_PRODUCTS)), stored(PRODUCTS), DAY, "reference"))
+    assert text.count("Join [") == 1 and "LeftOuter" in text
     assert "EqualTo(dw_end_date,9999-12-31)" in text
     assert "IsNotNull(product_id)" in text and "IsNull(product_id)" in text
     assert "SinglePartition" not in text
 
 
+def test_scd2_finds_changes_by_one_grouping_of_narrow_rows(stored):
+    marks = scd2._marks(th.current_rows(stored(DIM_PRODUCTS)), stored(PRODUCTS), "product_id", ["product_price"], [])
+    text = plan(marks)
+    assert text.count("Exchange") == 1 and "Join" not in text and text.count("Window [") == 1
+    assert "EqualTo(dw_end_date,9999-12-31)" in text
+    assert "ReadSchema: struct<product_id:bigint,product_price:string>" in text and "product_description" not in text
+    assert "SinglePartition" not in text
+
+
+def test_scd2_moves_whole_rows_once_a_side_at_most(spark, stored, staging, no_broadcast):
+    dim = stored(DIM_PRODUCTS, [(0, 1, "c", "s", "1", "d", DAY, scd2.OPEN_END), (1, None, "c", "s", "1", "d", DAY, scd2.OPEN_END)])
+    snapshot = stored(PRODUCTS, [(1, "c", "s", "2", "d"), (2, "c", "s", "3", "d")])
+    text = plan(th.scd2_merge(dim, snapshot, DAY, staging=staging))
+    # Each side meets its changed keys: one exchange of whole rows and one of keys for either.
+    assert text.count("Exchange hashpartitioning(product_id") == 4 and text.count("SortMergeJoin [") == 2
+    assert "SinglePartition" not in text
+
+
+def test_scd2_moves_no_whole_rows_while_changes_are_few(stored, staging):
+    dim = stored(DIM_PRODUCTS, [(0, 1, "c", "s", "1", "d", DAY, scd2.OPEN_END)])
+    text = plan(th.scd2_merge(dim, stored(PRODUCTS, [(1, "c", "s", "2", "d")]), DAY, staging=staging))
+    assert "hashpartitioning" not in text and text.count("BroadcastHashJoin") == 3
+
+
 def test_dense_keys_broadcast_only_partition_offsets(spark, stored, staging):
     df = stored("id bigint", [(i,) for i in range(100)])
     text = plan(th.dense_key(df, ["id"], 0, "key", staging))
