@@ -253,6 +253,8 @@ SIMPLE = {
     "filter_notequal_3vl": PAIRS.format(how="", where="WHERE n.product_price <> o.product_price"),
     "join_left_outer": "SELECT c.customer_id, city, frequency, recency "
     "FROM customers c LEFT JOIN rfm_base r ON r.customer_id = c.customer_id",
+    "join_left_outer_null_keys": "SELECT order_line_id, l.customer_id, sales_quantity, city "
+    "FROM order_lines l LEFT JOIN customers c ON c.customer_id = l.customer_id",
     "join_full_outer": PAIRS.format(how="FULL", where=""),
     "join_matched_inner": PAIRS.format(how="INNER", where=""),
     "join_new_only_anti": "SELECT * FROM products_second n WHERE NOT EXISTS "

@@ -337,11 +337,15 @@ def filter_notequal_3vl(spark, sf_dir):
 
 def join_left_outer(spark, sf_dir):
     base = th.rfm_base(recipes.order_lines(spark, sf_dir), SNAPSHOT_DATE)
-    return (
-        recipes.customers(spark, sf_dir)
-        .join(base, "customer_id", "left")
-        .select("customer_id", "city", "frequency", "recency")
-    )
+    joined = th.left_join(recipes.customers(spark, sf_dir), base, "customer_id")
+    return joined.select("customer_id", "city", "frequency", "recency")
+
+
+def join_left_outer_null_keys(spark, sf_dir):
+    """Order lines with their buyer's city; the lines of all guests have no key."""
+    lines, customers = recipes.order_lines(spark, sf_dir), recipes.customers(spark, sf_dir)
+    cities = customers.select("customer_id", "city")
+    return th.left_join(lines, cities, "customer_id").select("order_line_id", "customer_id", "sales_quantity", "city")
 
 
 def join_full_outer(spark, sf_dir):
@@ -484,7 +488,7 @@ def coalesce_key(spark, sf_dir):
 
 def surrogate_key_dense(spark, sf_dir):
     customers = recipes.customers(spark, sf_dir).select("customer_id", "city")
-    return th.dense_key(customers, ["customer_id"], 100, "cust_key", th.Staging(spark))
+    return th.dense_key_by(customers, "customer_id", 100, "cust_key", th.Staging(spark))
 
 
 # Composite operators
@@ -634,6 +638,7 @@ def all_queries() -> dict[str, Query]:
         filter_equal_3vl,
         filter_notequal_3vl,
         join_left_outer,
+        join_left_outer_null_keys,
         join_full_outer,
         join_matched_inner,
         join_new_only_anti,

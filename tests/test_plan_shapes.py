@@ -6,7 +6,7 @@ import pytest
 
 import tillhouse as th
 from tillhouse.operators import scd2
-from tillhouse.schemas import DIM_PRODUCTS, LOGISTICS, ORDER_LINES, PRODUCTS, RAW_ORDERS
+from tillhouse.schemas import CUSTOMERS, DIM_PRODUCTS, LOGISTICS, ORDER_LINES, PRODUCTS, RAW_ORDERS
 from tillhouse.session import size_settings
 
 DAY = date(2025, 10, 1)
@@ -98,3 +98,22 @@ def test_dense_keys_broadcast_only_partition_offsets(spark, stored, staging):
 def test_shuffle_partitions_follow_the_data():
     assert size_settings(0, 8)["spark.sql.shuffle.partitions"] == "16"
     assert size_settings(20 << 40, 8000)["spark.sql.shuffle.partitions"] == "81920"
+
+
+def test_rows_without_a_key_are_not_dealt_by_it(stored, no_broadcast):
+    left, right = stored("id bigint, l string"), stored("id bigint, r string")
+    text = plan(th.left_join(left, right, "id"))
+    before, after = text.split("Union")[1].rsplit("Project", 1)
+    assert "SortMergeJoin" in before and before.count("Exchange hashpartitioning(id") == 2
+    assert "IsNotNull(id)" in before and "IsNull(id)" in after and "Exchange" not in after
+
+
+def test_customers_are_dealt_once_to_meet_key_and_score(stored, staging, no_broadcast):
+    rows = [(f"{i}_1", i, i, "2025-01-01", "paid", 1, 1, float(i)) for i in range(50)]
+    customers = stored(CUSTOMERS, [(i, 30, "F", "A", 0) for i in range(60)])
+    text = plan(th.dim_customer(customers, stored(ORDER_LINES, rows), DAY, staging))
+    scan = "customer_id:bigint,age:int,gender:string,city:string,registration_date:bigint"
+    assert text.count(scan) == 1 and text.count("SortMergeJoin") == 2
+    # Exchanges: whole customers, their numbers, their scores; the numbering itself is staged and narrow.
+    assert text.count("Exchange hashpartitioning(customer_id") == 3 and "rangepartitioning" not in text
+    assert "SinglePartition" not in text

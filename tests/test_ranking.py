@@ -128,3 +128,30 @@ def test_many_buckets(spark):
     df = spark.range(1500).select(F.col("id"), (F.col("id") * 7 % 1500).alias("v"))
     ranked = th.global_ntile(df, 300, [th.Measure("v", "score")], "id")
     assert ranked.where(F.col("score") != F.floor(F.col("v") / 5) + 1).count() == 0
+
+
+def test_keys_by_one_column_with_missing_and_repeated_values(spark, staging):
+    rng = random.Random(4)
+    rows = [(rng.choice([None, 5, 7, i]), f"row {i}") for i in range(60)]
+    df = staging.save(spark.createDataFrame(rows, "id bigint, text string"), "input")
+    names = spark.createDataFrame([(5, "five"), (8, "eight"), (None, "none")], "id bigint, name string")
+    got = th.dense_key_by(df, "id", 100, "key", staging, names).orderBy("key").collect()
+    assert [r.key for r in got] == list(range(100, 160))
+    assert [r.id for r in got] == sorted((i for i, _ in rows), key=lambda i: (i is not None, i or 0))
+    assert sorted((r.id is None, r.id or 0, r.text) for r in got) == sorted((i is None, i or 0, t) for i, t in rows)
+    assert {(r.id, r.name) for r in got if r.name} <= {(5, "five"), (8, "eight")}
+    assert all(r.name == "five" for r in got if r.id == 5)
+
+
+@pytest.mark.parametrize("ids", [[], [None, None], [3, 1, 2]])
+def test_keys_by_one_column_of_plain_tables(spark, staging, ids):
+    df = staging.save(spark.createDataFrame([(i,) for i in ids], "id bigint"), "input")
+    got = {r.key: r.id for r in th.dense_key_by(df, "id", 0, "key", staging).collect()}
+    assert got == dict(enumerate(sorted(ids, key=lambda i: (i is not None, i or 0))))
+
+
+def test_a_left_join_keeps_rows_without_a_key(spark, staging):
+    left = staging.save(spark.createDataFrame([(1, "a"), (None, "b"), (2, "c"), (1, "d")], "id bigint, l string"), "left")
+    right = staging.save(spark.createDataFrame([(1, "x"), (None, "y"), (1, "z")], "id bigint, r string"), "right")
+    got = sorted(th.left_join(left, right, "id").collect(), key=lambda r: (r.l, r.r or ""))
+    assert [tuple(r) for r in got] == [(1, "a", "x"), (1, "a", "z"), (None, "b", None), (2, "c", None), (1, "d", "x"), (1, "d", "z")]

@@ -1,9 +1,10 @@
 """Retail warehouse operators written as Spark DataFrame transformations."""
 
+from tillhouse.operators.joins import left_join
 from tillhouse.operators.logistics import avg_delay, delivery_facts
 from tillhouse.operators.ntile import Measure, global_ntile
 from tillhouse.operators.orders import dropped_orders, flatten_orders, invalid_order_dates
-from tillhouse.operators.ranking import dense_key, global_row_number
+from tillhouse.operators.ranking import dense_key, dense_key_by, global_row_number
 from tillhouse.operators.rfm import dim_customer, rfm, rfm_base
 from tillhouse.operators.scd2 import (
     DuplicateKeyError,
@@ -33,12 +34,14 @@ __all__ = [
     "current_rows",
     "delivery_facts",
     "dense_key",
+    "dense_key_by",
     "dim_customer",
     "dropped_orders",
     "flatten_orders",
     "global_ntile",
     "global_row_number",
     "invalid_order_dates",
+    "left_join",
     "quarantine",
     "rfm",
     "rfm_base",

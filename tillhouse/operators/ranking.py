@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from itertools import accumulate
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillhouse.staging import Staging
@@ -26,15 +26,15 @@ SPREAD = "_spread"
 
 
 class SortedRows:
-    """A staged frame in total order, with the number of rows before each partition."""
+    """A staged frame in total order, with the number of rows before each partition.
+
+    Without an order rows stay where they are read.
+    """
 
     def __init__(self, df: DataFrame, order: Sequence[Column], staging: Staging, name: str):
-        self.rows = staging.save(
-            df.repartitionByRange(*order)
-            .sortWithinPartitions(*order)
-            .withColumn(POSITION, F.monotonically_increasing_id()),
-            name,
-        )
+        if order:
+            df = df.repartitionByRange(*order).sortWithinPartitions(*order)
+        self.rows = staging.save(df.withColumn(POSITION, F.monotonically_increasing_id()), name)
         counts = (
             self.rows.groupBy(F.shiftright(POSITION, PLACE_BITS).alias("part"))
             .agg(F.count("*").alias("n"))
@@ -84,6 +84,33 @@ def dense_key(
     return ranked.with_index(name, start).drop(SPREAD)
 
 
+def dense_key_by(
+    df: DataFrame, key: str, start: int, name: str, staging: Staging, joined: DataFrame | None = None
+) -> DataFrame:
+    """`df` plus a gapless number from `start`, in order of one column, NULL first.
+
+    Only that column is sorted. Whole rows are dealt by it once, to meet the
+    first number of their value, and, in the same exchange, the columns that
+    `joined` has for it (a left join). Rows of one value get consecutive
+    numbers; they meet in one task. Rows without a value are numbered where they
+    are read, and meet nothing.
+    """
+    has_key = F.col(key).isNotNull()
+    no_key = df.where(~has_key)
+    keyless = None if no_key.isEmpty() else SortedRows(no_key, [], staging, "keyless")
+    first = start + keyless.total if keyless else start
+    ranked = dense_key(df.where(has_key).select(key), [key], first, name, staging)
+    firsts = ranked.groupBy(key).agg(F.min(name).alias(name))
+    keyed = df.where(has_key).join(firsts, key)
+    if joined is not None:
+        keyed = keyed.join(joined.where(has_key), key, "left")
+    copies = F.row_number().over(Window.partitionBy(key).orderBy(key))
+    keyed = keyed.withColumn(name, F.col(name) + copies - 1)
+    if keyless:
+        return keyed.unionByName(keyless.with_index(name, start), allowMissingColumns=True)
+    return keyed
+
+
 def global_row_number(
     df: DataFrame, order: Sequence[str | Column], staging: Staging, name: str = "row_number"
 ) -> DataFrame:

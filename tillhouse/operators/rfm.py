@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tillhouse import functions as fn
 from tillhouse.operators.ntile import Measure, global_ntile
-from tillhouse.operators.ranking import dense_key
+from tillhouse.operators.ranking import dense_key_by
 from tillhouse.schemas import DIM_CUSTOMER, conform
 from tillhouse.staging import Staging
 
@@ -56,8 +56,10 @@ def rfm(
 def dim_customer(
     customers: DataFrame, lines: DataFrame, snapshot_date: date, staging: Staging | None = None
 ) -> DataFrame:
-    """Every customer with a dense key and an RFM score, NULL without orders."""
+    """Every customer with a dense key and an RFM score, NULL without orders.
+
+    Whole customer rows are dealt once, by id, to meet key and score.
+    """
     staging = staging or Staging(customers.sparkSession)
-    keyed = dense_key(customers, ["customer_id"], 0, "cust_key", staging)
     scores = rfm(lines, snapshot_date, staging=staging).select("customer_id", "RFM_Score")
-    return conform(keyed.join(scores, "customer_id", "left"), DIM_CUSTOMER)
+    return conform(dense_key_by(customers, "customer_id", 0, "cust_key", staging, scores), DIM_CUSTOMER)
