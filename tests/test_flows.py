@@ -132,8 +132,8 @@ def test_rejected_rows_and_old_versions(spark, paths, raw):
         th.run_dimensions(
             spark, paths, customers(spark), products(spark, (1, f"{day}.00"), (None, "5.00")), DAY, date(2025, 1, day), keep=2
         )
-    assert spark.read.parquet(f"{paths.rejected}/products").count() == 1
-    assert spark.read.parquet(f"{paths.rejected}/order_lines").count() == 0
+    assert th.read_published(spark, paths, paths.rejected_products).count() == 1
+    assert th.read_published(spark, paths, paths.rejected_lines).count() == 0
     assert len([n for n in storage.child_names(spark, paths.dim_products) if n.startswith("version-")]) == 2
     assert spark.table("Dim_Products").count() == 3
 
@@ -145,5 +145,5 @@ def test_undeclared_fields_stay_in_the_staged_copy(spark, paths, tmp_path):
     file.write_text(json.dumps([order | {"items": [item]}], indent=1))
     lines = th.run_orders(spark, paths, str(file), multi_line=True, schema=None)
     assert lines.first().price_per_unit == 3.0
-    staged = spark.read.parquet(paths.staged_orders)
+    staged = th.read_published(spark, paths, paths.staged_orders)
     assert staged.first().channel == "web" and staged.first()["items"][0].discount == 0.5

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillhouse import functions as fn
@@ -37,7 +37,12 @@ def invalid_order_dates(lines: DataFrame) -> DataFrame:
     return lines.where(F.col("order_date").isNotNull() & fn.order_day(F.col("order_date")).isNull())
 
 
+def is_unusable_line() -> Column:
+    """Whether RFM counts a line in part only: its date is no date, or its amount cannot be counted."""
+    date_lost = F.col("order_date").isNotNull() & fn.order_day(F.col("order_date")).isNull()
+    return date_lost | fn.is_unusable(F.col("sales_quantity"), F.col("price_per_unit"))
+
+
 def unusable_lines(lines: DataFrame) -> DataFrame:
     """Lines that RFM counts in part only: their date is no date, or their amount cannot be counted."""
-    date_lost = F.col("order_date").isNotNull() & fn.order_day(F.col("order_date")).isNull()
-    return lines.where(date_lost | fn.is_unusable(F.col("sales_quantity"), F.col("price_per_unit")))
+    return lines.where(is_unusable_line())
