@@ -92,6 +92,16 @@ def test_keep_one_of_repeated_rows(documents, staging):
     assert keep_one(documents(["same words again"], repeat=True), staging).count() == 1
 
 
+def test_keep_one_keeps_columns_of_any_name(documents, staging):
+    texts = ["a b c d e", "a b c d e", "quite another text here", None]
+    docs = documents(texts, extra=[(None, "no id at all", None, None, None)], repeat=True).selectExpr(
+        "*", "1 AS key", "2 AS __key", "'r' AS repeated", "3 AS kept", "4 AS digest"
+    )
+    rows = keep_one(docs, staging).collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0) for r in rows) == [(False, 0), (False, 2), (False, 3), (True, 0)]
+    assert all((r.key, r["__key"], r.repeated, r.kept, r.digest) == (1, 2, "r", 3, 4) for r in rows)
+
+
 def test_buckets_over_a_block_are_dealt(spark, staging, monkeypatch):
     """Chained fingerprints in one bucket, with blocks too small for it."""
     monkeypatch.setattr(simhash, "BLOCK", 8)

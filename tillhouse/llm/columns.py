@@ -8,8 +8,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillhouse.staging import Staging
-
 LAST_ID = 2**63 - 1
 ROWS_AT_ONCE = 1000
 
@@ -64,5 +62,9 @@ def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
     )
 
 
-def saved(staging: Staging, df: DataFrame, name: str) -> DataFrame:
-    return staging.save(df, name)
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that `df` does not have, in any letter case."""
+    taken = {column.lower() for column in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tillhouse.llm.columns import map_batches, row_key, texts
+from tillhouse.llm.columns import map_batches, row_key, texts, unused
 from tillhouse.staging import Staging
 
 N_GRAM = 4
@@ -251,5 +251,6 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, staging: Staging, least_
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, staging: Staging) -> DataFrame:
     """The rows of `docs` that hold no benchmark item, all columns kept."""
     leaks = contaminated(docs, benchmark, staging).select("id", "digest").distinct()
-    leaks = staging.save(leaks, "leaks").select(F.struct("id", "digest").alias("__key"))
-    return docs.withColumn("__key", row_key()).join(leaks, "__key", "left_anti").drop("__key")
+    key = unused(docs, "key")
+    leaks = staging.save(leaks, "leaks").select(F.struct("id", "digest").alias(key))
+    return docs.withColumn(key, row_key()).join(leaks, key, "left_anti").select(*docs.columns)

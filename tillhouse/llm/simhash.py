@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillhouse.llm.columns import LAST_ID, map_batches, row_key, texts
+from tillhouse.llm.columns import LAST_ID, map_batches, row_key, texts, unused
 from tillhouse.llm.graphs import components
 from tillhouse.staging import Staging
 
@@ -260,13 +260,22 @@ def simhash_groups(
 
 
 def keep_one(docs: DataFrame, staging: Staging, shingle: int = WORDS_PER_SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """The rows of `docs` with one row of each group, all columns kept."""
-    kept = simhash_groups(docs, staging, shingle, radius).where("kept").select("id", "digest").distinct()
-    keyed = docs.withColumn("__key", row_key())
-    chosen = keyed.join(
-        kept.select(F.struct("id", "digest").alias("__key")), "__key", "left_semi"
-    )
-    return chosen.dropDuplicates(["__key"]).drop("__key")
+    """The rows of `docs` with one row of each group, all columns kept.
+
+    Rows meet the keys of the few that go, so that whole texts stay where they
+    are while Spark can broadcast those. Of exactly repeated rows one stays.
+    """
+    groups = simhash_groups(docs, staging, shingle, radius)
+    # `kept` is the same for all rows of one key.
+    keys = groups.groupBy("id", "digest").agg(F.min("kept").alias("kept"), F.count("*").alias("copies"))
+    marks = staging.save(keys.where("NOT kept OR copies > 1").select("id", "digest", "kept"), "marks")
+    key, repeated = unused(docs, "key"), unused(docs, "repeated")
+    named = marks.select(F.struct("id", "digest").alias(key), F.col("kept").alias(repeated))
+    marked = docs.withColumn(key, row_key()).join(named, key, "left")
+    chosen = marked.where(F.col(repeated).isNull())
+    if not marks.where("kept").isEmpty():
+        chosen = chosen.unionAll(marked.where(repeated).dropDuplicates([key]))
+    return chosen.select(*docs.columns)
 
 
 __all__ = ["LAST_ID", "fingerprint", "fingerprints", "keep_one", "simhash_groups"]
