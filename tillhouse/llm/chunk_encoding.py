@@ -360,7 +360,8 @@ def encode_documents(docs: DataFrame, staging: Staging, path: str, digests: bool
     source = _shared_source(docs, path)
     keyed = _keyed(docs)
     uses = staging.save(_shared_chunks(keyed, staging), "uses")
-    cut = keyed.join(uses, ["id", "digest"], "left").select("doc_id", "text", "uses")
+    # Chunks may be shared by most rows: the plan is that of large inputs on small ones as well.
+    cut = keyed.join(uses.hint("merge"), ["id", "digest"], "left").select("doc_id", "text", "uses")
     cut = staging.save(cut.mapInArrow(_cut_rows(source, digests), PART), "cut")
     owned = cut.where("own").select("high", "low", "ids").dropDuplicates(["high", "low"])
     results = ["doc_id", "ids", "n_tokens", "ids_sha256", "decoded_sha256"]
