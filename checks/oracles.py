@@ -72,6 +72,12 @@ LOGISTICS = f"""
   FROM (SELECT *, CAST(CAST(o_orderdate AS DATE) - DATE '1970-01-01' AS BIGINT) * {MS_PER_DAY} AS base
         FROM orders)"""
 
+SPOILT_LINES = """
+  SELECT order_line_id, CASE WHEN order_id % 50 = 11 THEN 'unknown' ELSE order_date END AS order_date,
+    CASE WHEN order_id % 50 = 13 THEN CAST('1e300' AS DOUBLE) ELSE price_per_unit END AS price_per_unit,
+    order_id % 50 IN (11, 13) AS unusable
+  FROM order_lines WHERE order_id % 50 <> 7"""
+
 # Operators
 
 RFM_BASE = """
@@ -167,6 +173,7 @@ VIEWS = {
     "customers": CUSTOMERS,
     "products_first": PRODUCTS_FIRST,
     "products_second": PRODUCTS_SECOND,
+    "spoilt_lines": SPOILT_LINES,
     "logistics": LOGISTICS,
     "rfm_base": RFM_BASE,
     "rfm": RFM,
@@ -302,6 +309,22 @@ SIMPLE = {
         CAST(NULL AS DATE) AS dw_start_date, CAST(NULL AS DATE) AS dw_end_date FROM dim_customer
       UNION ALL
       SELECT 'product', product_key, product_id, product_price, dw_start_date, dw_end_date FROM v2""",
+    "flow_all": """
+      SELECT 'line' AS kind, CAST(NULL AS BIGINT) AS key, order_id AS id, order_line_id AS detail,
+        CAST(NULL AS DATE) AS until FROM order_lines
+      UNION ALL SELECT 'customer', cust_key, customer_id, CAST(RFM_Score AS VARCHAR), NULL FROM dim_customer
+      UNION ALL SELECT 'product', product_key, product_id, product_price, dw_end_date FROM v2
+      UNION ALL SELECT 'delivery', NULL, order_id, CAST(delivery_time_delta_days AS VARCHAR), NULL FROM facts""",
+    "rejected_documents": "SELECT concat('{\"order_id\": ', CAST(order_id AS VARCHAR), ', \"items\": [') AS document "
+    "FROM order_header WHERE order_id % 50 = 7",
+    "rejected_lines": "SELECT order_line_id, order_date, price_per_unit FROM spoilt_lines WHERE unusable",
+    "scd2_quarantine": "SELECT CAST(NULL AS BIGINT) AS product_id, category, sub_category, product_price, "
+    "product_description FROM products_first WHERE category = 'SERVICE'",
+    "reject_counts": """
+      SELECT 'documents' AS source, count(*) AS rows_read, count(*) FILTER (WHERE order_id % 50 = 7) AS rows_rejected
+      FROM order_header
+      UNION ALL SELECT 'order_lines', count(*), count(*) FILTER (WHERE unusable) FROM spoilt_lines
+      UNION ALL SELECT 'products', count(*), count(*) FILTER (WHERE category = 'SERVICE') FROM products_first""",
     "flow_logistics": PER_WAREHOUSE.format(
         more=", CAST(count(*) FILTER (WHERE is_late_delivery) AS BIGINT) AS late, count(*) AS deliveries"
     ),

@@ -159,15 +159,23 @@ def snapshot_type_mapping(spark, sf_dir):
 # Sinks
 
 
+def _released(spark, df: DataFrame, schema=None) -> DataFrame:
+    """`df` as read from a release that replaces an empty version of its table."""
+    root, schema = th.Staging(spark).root, schema or df.schema
+    releases = sinks.Releases(spark, f"{root}/releases")
+    for version in (spark.createDataFrame([], schema), df):
+        with releases.draft() as draft:
+            draft.write(f"{root}/table", version, schema)
+            draft.publish()
+    return releases.read(f"{root}/table", schema)
+
+
 def orders_stage_roundtrip(spark, sf_dir):
-    staged = sinks.replace_parquet(recipes.raw_orders(spark, sf_dir), th.Staging(spark).path("orders"))
-    return th.flatten_orders(staged)
+    return th.flatten_orders(_released(spark, recipes.raw_orders(spark, sf_dir)))
 
 
 def order_lines_roundtrip(spark, sf_dir):
-    lines = th.flatten_orders(recipes.raw_orders(spark, sf_dir))
-    path = th.Staging(spark).path("order_lines")
-    return sinks.replace_parquet(schemas.conform(lines, schemas.ORDER_LINES), path)
+    return _released(spark, th.flatten_orders(recipes.raw_orders(spark, sf_dir)), schemas.ORDER_LINES)
 
 
 def _customer_dimension(spark, sf_dir, staging=None):
@@ -181,13 +189,12 @@ def _stored_customers(spark, sf_dir) -> str:
 
 
 def dim_customer_roundtrip(spark, sf_dir):
-    return spark.read.parquet(_stored_customers(spark, sf_dir))
+    with th.Staging(spark) as scratch:
+        return _released(spark, _customer_dimension(spark, sf_dir, scratch), schemas.DIM_CUSTOMER)
 
 
 def fact_logistics_roundtrip(spark, sf_dir):
-    facts = th.delivery_facts(recipes.logistics(spark, sf_dir))
-    path = th.Staging(spark).path("fact_logistics")
-    return sinks.replace_parquet(schemas.conform(facts, schemas.FACT_LOGISTICS), path)
+    return _released(spark, th.delivery_facts(recipes.logistics(spark, sf_dir)), schemas.FACT_LOGISTICS)
 
 
 def _snapshot(spark, sf_dir, run: int) -> DataFrame:
@@ -208,9 +215,22 @@ def _product_versions(spark, sf_dir, runs: int, policy: str = "safe") -> sinks.V
     return table
 
 
+# Product keys in one bucket; small, so that test tables have several.
+KEYS_PER_BUCKET = 500
+
+
 def scd2_publish_roundtrip(spark, sf_dir):
-    """Three runs, each reading the dimension that it replaces."""
-    return _product_versions(spark, sf_dir, 3).read()
+    """Three runs, each writing the buckets of the dimension that it changes."""
+    root = th.Staging(spark).root
+    releases, place = sinks.Releases(spark, f"{root}/releases"), f"{root}/Dim_Products"
+    for run, day in enumerate(RUN_DATES, 1):
+        with th.Staging(spark) as scratch, releases.draft() as draft:
+            dim, snapshot = draft.read(place, schemas.DIM_PRODUCTS), _snapshot(spark, sf_dir, run)
+            found = th.find_changes(dim, snapshot, day, staging=scratch)
+            changed = scratch.save(th.changed_rows(dim, snapshot, found, day).drop(ACTION), "changed")
+            draft.write_changes(place, changed, schemas.DIM_PRODUCTS, "product_key", KEYS_PER_BUCKET)
+            draft.publish()
+    return releases.read(place, schemas.DIM_PRODUCTS)
 
 
 # Catalog
@@ -591,6 +611,79 @@ def flow_dimensions(spark, sf_dir):
     return customers.unionByName(products)
 
 
+def _spoilt_flow(spark, sf_dir) -> th.WarehousePaths:
+    """Orders and dimensions over documents, lines and products of which some cannot be used."""
+    paths = th.WarehousePaths(th.Staging(spark).root)
+    recipes.spoilt_orders(spark, sf_dir).write.text(f"{paths.root}/raw_orders")
+    th.run_orders(spark, paths, f"{paths.root}/raw_orders", corrupt="reject")
+    th.run_dimensions(
+        spark,
+        paths,
+        recipes.relational_customers(spark, sf_dir),
+        recipes.spoilt_products(spark, sf_dir),
+        SNAPSHOT_DATE,
+        RUN_DATES[0],
+    )
+    return paths
+
+
+def rejected_documents(spark, sf_dir):
+    """The texts of documents that the orders flow could not read."""
+    paths = _spoilt_flow(spark, sf_dir)
+    return th.read_published(spark, paths, paths.rejected_documents).select(F.col("_corrupt_record").alias("document"))
+
+
+def rejected_lines(spark, sf_dir):
+    """Lines that the scores count in part only."""
+    paths = _spoilt_flow(spark, sf_dir)
+    return th.read_published(spark, paths, paths.rejected_lines).select("order_line_id", "order_date", "price_per_unit")
+
+
+def scd2_quarantine(spark, sf_dir):
+    """Products without a key, which the merge leaves out."""
+    paths = _spoilt_flow(spark, sf_dir)
+    return th.read_published(spark, paths, paths.rejected_products)
+
+
+def reject_counts(spark, sf_dir):
+    """How many rows the flows read and rejected, as counted by the passes that use them."""
+    paths = _spoilt_flow(spark, sf_dir)
+    return th.read_published(spark, paths, paths.reject_counts)
+
+
+def flow_all(spark, sf_dir):
+    """All flows, started again without and with news; rows of all tables of the last release side by side."""
+    paths = th.WarehousePaths(th.Staging(spark).root)
+    raw = f"{paths.root}/raw_orders"
+    recipes.raw_orders(spark, sf_dir).write.json(raw)
+
+    def run(products, day) -> list[str]:
+        frames = recipes.relational_customers(spark, sf_dir), products, recipes.relational_logistics(spark, sf_dir)
+        return th.run_all(spark, paths, raw, *frames, SNAPSHOT_DATE, day)
+
+    first, second = recipes.products_first(spark, sf_dir), recipes.products_second(spark, sf_dir)
+    steps = [run(first, RUN_DATES[0]), run(first, RUN_DATES[0]), run(second, RUN_DATES[1])]
+    if steps != [["orders", "dimensions", "logistics"], [], ["dimensions"]]:
+        raise RuntimeError(f"steps were repeated or left out: {steps}")
+    release = th.releases(spark, paths).current()
+
+    def rows(kind: str, table: str, schema, key: str | None, id_: str, detail: str, day: str | None = None) -> DataFrame:
+        df = th.releases(spark, paths).read(table, schema, release)
+        return df.select(
+            F.lit(kind).alias("kind"),
+            (F.col(key) if key else F.lit(None).cast("bigint")).alias("key"),
+            F.col(id_).alias("id"),
+            F.col(detail).cast("string").alias("detail"),
+            (F.col(day) if day else F.lit(None).cast("date")).alias("until"),
+        )
+
+    lines = rows("line", paths.order_lines, schemas.ORDER_LINES, None, "order_id", "order_line_id")
+    customers = rows("customer", paths.dim_customer, schemas.DIM_CUSTOMER, "cust_key", "customer_id", "RFM_Score")
+    products = rows("product", paths.dim_products, schemas.DIM_PRODUCTS, "product_key", "product_id", "product_price", "dw_end_date")
+    facts = rows("delivery", paths.fact_logistics, schemas.FACT_LOGISTICS, None, "order_id", "delivery_time_delta_days")
+    return lines.unionAll(customers).unionAll(products).unionAll(facts)
+
+
 def flow_logistics(spark, sf_dir):
     paths = th.WarehousePaths(th.Staging(spark).root)
     th.run_logistics(spark, paths, recipes.relational_logistics(spark, sf_dir))
@@ -671,6 +764,11 @@ def all_queries() -> dict[str, Query]:
         flow_orders,
         flow_dimensions,
         flow_logistics,
+        flow_all,
+        rejected_documents,
+        rejected_lines,
+        scd2_quarantine,
+        reject_counts,
     ]
     queries = {query.__name__: query for query in plain}
     for letter in "rfm":

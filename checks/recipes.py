@@ -72,6 +72,29 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select(*order_header()).join(documents, "order_id", "left").withColumn("items", items)
 
 
+def spoilt_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents as lines of JSON in `value`: some broken off, some without a date, some priced beyond counting."""
+    key = F.col("order_id")
+    items = F.transform(
+        "items",
+        lambda i: F.struct(
+            i["product_id"].alias("product_id"),
+            i["sales_quantity"].alias("sales_quantity"),
+            F.when(key % 50 == 13, F.lit(1e300)).otherwise(i["price_per_unit"]).alias("price_per_unit"),
+        ),
+    )
+    day = F.when(key % 50 == 11, "unknown").otherwise(F.col("order_date"))
+    orders = raw_orders(spark, sf_dir).withColumns({"items": items, "order_date": day})
+    broken = F.concat(F.lit('{"order_id": '), key.cast("string"), F.lit(', "items": ['))
+    return orders.select(F.when(key % 50 == 7, broken).otherwise(F.to_json(F.struct(*orders.columns))).alias("value"))
+
+
+def spoilt_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first snapshot, with services that have lost their key."""
+    key = F.when(F.col("category") != "SERVICE", F.col("product_id"))
+    return products_first(spark, sf_dir).withColumn("product_id", key)
+
+
 def relational_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Registered accounts as a database keeps them: buyers, and suppliers who never order."""
     nation = table(spark, sf_dir, "nation")

@@ -196,3 +196,68 @@ def test_a_day_with_many_orders_gives_several_arrays(spark, sf_dir):
     rows = queries._array_files(raw, 100).select("part", F.size(F.split("value", "\n")).alias("lines")).collect()
     assert len(rows) == len({r.part for r in rows}) == -(-n // 100)
     assert sum(r.lines - 1 for r in rows) == n and max(r.lines for r in rows) < 200
+
+
+@pytest.mark.parametrize("schema", [RAW_ORDERS, None])
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_files_are_opened_once(spark, staging, tmp_path, schema, multi_line):
+    if schema and not multi_line:
+        pytest.skip("lines with a declared schema are read when they are used")
+    file = tmp_path / "a.json"
+    file.write_text(json.dumps(DOCUMENTS, indent=1) if multi_line else "\n".join(map(json.dumps, DOCUMENTS)))
+    orders = sources.read_orders_json(spark, str(file), multi_line, schema=schema, staging=staging)
+    file.unlink()
+    assert ids(orders) == [0, 1, 2]
+    assert [r["items"][0].price_per_unit for r in orders.collect()] == [3.5] * 3
+
+
+def test_declared_schema_is_not_changed_by_reading(spark, tmp_path):
+    path = write(tmp_path, "a.json", json.dumps(DOCUMENTS[0]))
+    names = list(RAW_ORDERS.names)
+    for _ in range(2):
+        assert sources.read_orders_json(spark, path, corrupt="column").count() == 1
+    assert RAW_ORDERS.names == names == [f.name for f in RAW_ORDERS.fields]
+
+
+MIXED = [
+    {"id": 1, "whole": 3, "part": 1.5, "mixed": "a", "none": None, "big": 12345678901234567890, "tags": [1, 2]},
+    {"id": 2, "whole": 4, "part": 2, "mixed": {"x": 1}, "none": None, "tags": [], "deep": {"b": True, "a": [{"z": 1e3}]}},
+    {"id": 3, "odd name": "x", "part": 12345.678},
+]
+
+
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_inferred_types_are_those_of_the_reader(spark, tmp_path, multi_line):
+    text = json.dumps(MIXED, indent=1) if multi_line else "\n".join(map(json.dumps, MIXED))
+    path = write(tmp_path, "a.json", text)
+    expected = spark.read.option("multiLine", multi_line).json(path)
+    got = sources.read_orders_json(spark, path, multi_line, schema=None)
+    assert got.schema.simpleString() == expected.schema.simpleString()
+    shown = [["".join(str(r).replace("\\n", "").split()) for r in df.orderBy("id").collect()] for df in (got, expected)]
+    assert shown[0] == shown[1]
+
+
+def test_broken_files_fail_or_are_kept_in_multi_line_mode(spark, tmp_path):
+    write(tmp_path, "a.json", json.dumps(DOCUMENTS, indent=1))
+    broken = json.dumps(DOCUMENTS, indent=1)[:-20]
+    write(tmp_path, "b.json", broken)
+    write(tmp_path, "c.json", " \n\n")
+    for schema in (RAW_ORDERS, None):
+        with pytest.raises(Exception, match="MALFORMED_RECORD_IN_PARSING"):
+            sources.read_orders_json(spark, str(tmp_path), multi_line=True, schema=schema).collect()
+        kept = sources.read_orders_json(spark, str(tmp_path), True, "column", schema).collect()
+        assert [r._corrupt_record for r in kept if r._corrupt_record] == [broken]
+        assert sorted(r.order_id for r in kept if not r._corrupt_record) == [0, 1, 2]
+
+
+def test_documents_of_a_wrong_type_are_kept_one_by_one(spark, tmp_path):
+    path = write(tmp_path, "a.json", json.dumps([DOCUMENTS[0], DOCUMENTS[1] | {"customer_id": "five"}]))
+    kept = sources.read_orders_json(spark, path, True, "column").collect()
+    assert [r.order_id for r in kept if not r._corrupt_record] == [0]
+    assert [json.loads(r._corrupt_record)["customer_id"] for r in kept if r._corrupt_record] == ["five"]
+
+
+def test_no_documents_at_all(spark, tmp_path):
+    path = write(tmp_path, "a.json", "\n")
+    assert sources.read_orders_json(spark, path, True).count() == 0
+    assert sources.read_orders_json(spark, path, schema=None).columns == []

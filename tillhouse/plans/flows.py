@@ -157,11 +157,13 @@ def run_orders(
     """
     if corrupt not in ("fail", "reject"):
         raise ValueError(f"corrupt must be 'fail' or 'reject', not {corrupt!r}")
-    with releases(spark, paths).draft() as draft:
+    with Staging(spark) as staging, releases(spark, paths).draft() as draft:
         if corrupt == "fail":
-            staged = draft.write(paths.staged_orders, read_orders_json(spark, raw_orders, multi_line, schema=schema))
+            orders = read_orders_json(spark, raw_orders, multi_line, schema=schema, staging=staging)
+            staged = draft.write(paths.staged_orders, orders)
         else:
-            staged = _keep_rejects(spark, draft, paths, raw_orders, multi_line, schema)
+            orders = read_orders_json(spark, raw_orders, multi_line, "column", schema, staging)
+            staged = _keep_rejects(spark, draft, paths, orders, staging)
         lines = draft.write(paths.order_lines, flatten_orders(staged), ORDER_LINES)
         release = draft.publish("orders", fingerprint)
     show_release(spark, paths, release, {paths.order_lines})
@@ -170,21 +172,17 @@ def run_orders(
 
 
 def _keep_rejects(
-    spark: SparkSession, draft: Draft, paths: WarehousePaths, raw_orders: str, multi_line: bool, schema: StructType | None
+    spark: SparkSession, draft: Draft, paths: WarehousePaths, orders: DataFrame, staging: Staging
 ) -> DataFrame:
-    """Stage what can be read; the texts of malformed documents and their number become tables of their own."""
-    with Staging(spark) as staging:
-        counted = Observation()
-        read = read_orders_json(spark, raw_orders, multi_line, "column", schema)
-        if CORRUPT_COLUMN not in read.columns:  # inferred, and nothing is malformed
-            read = read.withColumn(CORRUPT_COLUMN, F.lit(None).cast("string"))
-        bad = F.col(CORRUPT_COLUMN).isNotNull()
-        counted_read = read.observe(counted, F.count(F.lit(1)).alias("read"), F.count_if(bad).alias("bad"))
-        every = staging.save(counted_read, "documents")
-        n = counted.get
-        draft.write(paths.rejected_documents, every.where(bad).select(CORRUPT_COLUMN), expected=n["bad"])
-        _write_counts(spark, draft, paths, {"documents": (n["read"], n["bad"])})
-        return draft.write(paths.staged_orders, every.where(~bad).drop(CORRUPT_COLUMN), expected=n["read"] - n["bad"])
+    """Keep what can be read; the texts of malformed documents and their number become tables of their own."""
+    counted = Observation()
+    bad = F.col(CORRUPT_COLUMN).isNotNull()
+    counted_orders = orders.observe(counted, F.count(F.lit(1)).alias("read"), F.count_if(bad).alias("bad"))
+    every = staging.save(counted_orders, "documents")
+    n = counted.get
+    draft.write(paths.rejected_documents, every.where(bad).select(CORRUPT_COLUMN), expected=n["bad"])
+    _write_counts(spark, draft, paths, {"documents": (n["read"], n["bad"])})
+    return draft.write(paths.staged_orders, every.where(~bad).drop(CORRUPT_COLUMN), expected=n["read"] - n["bad"])
 
 
 COUNTS = StructType(
