@@ -1,7 +1,10 @@
 import json
-from datetime import date
+from datetime import date, datetime, timedelta
 
+import duckdb
+import pyarrow as pa
 import pytest
+from pyspark.sql import Row
 
 from tillhouse import sources
 from tillhouse.schemas import RAW_ORDERS
@@ -165,6 +168,58 @@ def test_jdbc_bounds_are_asked_of_the_database(extent):
     assert (reader.calls[1][1]["lowerBound"], reader.calls[1][1]["upperBound"]) == extent
 
 
+class RowsReader(RecordingReader):
+    """Answers the query for parts with the first values that SQL finds in a table of its own."""
+
+    def __init__(self, values):
+        super().__init__(None)
+        self.values = values
+
+    def collect(self):
+        connection = duckdb.connect()
+        connection.register("held", pa.table({"id": self.values}))
+        query = self.calls[-1][0].replace("FROM big_table", "FROM held")
+        return [Row(lo=row[0]) for row in connection.execute(f"SELECT * FROM {query}").fetchall()]
+
+    def rows_read(self):
+        connection = duckdb.connect()
+        connection.register("held", pa.table({"id": self.values}))
+        conditions = self.calls[-1][1].get("predicates", ["TRUE"])
+        return [connection.execute(f"SELECT count(*) FROM held WHERE {c}").fetchone()[0] for c in conditions]
+
+
+CLUSTERED = [*range(1000), *range(10**12, 10**12 + 9000), -5, None, None]
+
+
+@pytest.mark.parametrize(
+    "values",
+    [
+        CLUSTERED,
+        [date(2020, 1, 1) + timedelta(days=k * k) for k in range(300)] + [None],
+        [datetime(2025, 1, 1) + timedelta(seconds=k) for k in range(300)],
+        [f"it's {k:03}" for k in range(300)],
+        [7] * 500 + [8, 9, None],
+    ],
+)
+def test_jdbc_parts_hold_about_as_many_rows_each(values):
+    reader = RowsReader(values)
+    sources.read_jdbc_table(reader, "jdbc:x", "big_table", {"user": "u"}, "id", 8, split="quantiles")
+    parts = reader.rows_read()
+    assert sum(parts) == len(values) and reader.calls[-1][0] == "big_table"
+    if len(set(values)) > 100:
+        assert len(parts) == 8 and max(parts) <= len(values) / 8 + 4
+    assert reader.calls[-1][1]["properties"] == {"fetchsize": "10000", "user": "u"}
+
+
+@pytest.mark.parametrize("values", [[], [None], [3, 3]])
+def test_jdbc_tables_of_one_value_are_not_parted(values):
+    reader = RowsReader(pa.array(values, pa.int64()))
+    sources.read_jdbc_table(reader, "jdbc:x", "big_table", {}, "id", 8, split="quantiles")
+    assert "predicates" not in reader.calls[-1][1]
+    with pytest.raises(ValueError, match="split"):
+        sources.read_jdbc_table(reader, "jdbc:x", "big_table", {}, "id", 8, split="halves")
+
+
 def test_jdbc_read_of_an_empty_table_is_not_split():
     reader = RecordingReader((None, None))
     sources.read_jdbc_table(reader, "jdbc:x", "products", {}, "product_id", 4)
