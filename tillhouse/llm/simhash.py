@@ -262,8 +262,8 @@ def simhash_groups(
 def keep_one(docs: DataFrame, staging: Staging, shingle: int = WORDS_PER_SHINGLE, radius: int = RADIUS) -> DataFrame:
     """The rows of `docs` with one row of each group, all columns kept.
 
-    Rows meet the keys of the few that go, so that whole texts stay where they
-    are while Spark can broadcast those. Of exactly repeated rows one stays.
+    Rows are dealt once, to meet the keys of those that go; only exactly repeated
+    rows are dealt again, and one of them stays.
     """
     groups = simhash_groups(docs, staging, shingle, radius)
     # `kept` is the same for all rows of one key.
@@ -271,7 +271,8 @@ def keep_one(docs: DataFrame, staging: Staging, shingle: int = WORDS_PER_SHINGLE
     marks = staging.save(keys.where("NOT kept OR copies > 1").select("id", "digest", "kept"), "marks")
     key, repeated = unused(docs, "key"), unused(docs, "repeated")
     named = marks.select(F.struct("id", "digest").alias(key), F.col("kept").alias(repeated))
-    marked = docs.withColumn(key, row_key()).join(named, key, "left")
+    # The plan is that of large inputs on small ones as well.
+    marked = docs.withColumn(key, row_key()).join(named.hint("merge"), key, "left")
     chosen = marked.where(F.col(repeated).isNull())
     if not marks.where("kept").isEmpty():
         chosen = chosen.unionAll(marked.where(repeated).dropDuplicates([key]))
