@@ -130,6 +130,28 @@ def test_many_buckets(spark):
     assert ranked.where(F.col("score") != F.floor(F.col("v") / 5) + 1).count() == 0
 
 
+@pytest.mark.parametrize("few", [3, 50, 10**6])
+def test_places_are_selected_among_ties_and_missing_ids(spark, staging, monkeypatch, few):
+    from tillhouse.operators import selection
+
+    monkeypatch.setattr(selection, "FEW", few)
+    rng = random.Random(8)
+    rows = [(rng.choice([0.0, 0.0, 0.0, 1.0, rng.random()]), rng.choice([None, 7, i])) for i in range(700)]
+    df = staging.save(spark.createDataFrame(rows, "v double, id bigint"), "input")
+    key = F.struct("v", "id")
+    expected = [(r.v, r.id) for r in df.orderBy("v", F.asc_nulls_first("id")).collect()]
+    places = [1, 2, 139, 140, 350, 351, 420, 560, 699, 700]
+    got = selection.select_places(df, [key], ["v", "id"], [(0, p) for p in places], 700)
+    assert [(r.v, r.id) for r in got] == [expected[p - 1] for p in places]
+
+
+def test_ids_that_are_no_numbers(spark, staging):
+    df = staging.save(spark.createDataFrame([(f"k{i % 40:02}", i % 3) for i in range(40)], "id string, v int"), "input")
+    got = {r.id: r.s for r in th.global_ntile(df, 4, [th.Measure("v", "s")], "id").collect()}
+    ranked = sorted(got, key=lambda k: (int(k[1:]) % 3, k))
+    assert [got[k] for k in ranked] == [b for b in (1, 2, 3, 4) for _ in range(10)]
+
+
 def test_keys_by_one_column_with_missing_and_repeated_values(spark, staging):
     rng = random.Random(4)
     rows = [(rng.choice([None, 5, 7, i]), f"row {i}") for i in range(60)]
