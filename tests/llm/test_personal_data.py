@@ -172,3 +172,48 @@ def test_columns_with_clashing_names(documents):
     docs = documents(["me@x.org"]).withColumn("all_email", F.lit(1)).withColumn("__state", F.lit(2))
     assert digest(find_personal_data(docs, NOTHING)).first().n_email == 1
     assert personal_data.find_personal_data(docs, NOTHING).columns.count("all_email") == 1
+
+
+def test_redaction_keeps_columns_of_any_name(documents):
+    from pyspark.sql import functions as F
+
+    names = {"base_model": F.lit("b"), "all_email": F.lit(1), "__state": F.lit(2), "row": F.lit(3), "every": F.lit(4)}
+    docs = documents(["a me@x.org b", None]).withColumns(names)
+    rows = redacted(docs, NOTHING).orderBy("doc_id").collect()
+    assert [r.text for r in rows] == ["a [EMAIL] b", None]
+    assert all((r.base_model, r.all_email, r["__state"], r.row, r.every) == ("b", 1, 2, 3, 4) for r in rows)
+
+
+def brute_redacted(text, spans):
+    out, at = [], 0
+    for start, end, kind in spans:
+        if start >= at:
+            out += [text[at:start], f"[{kind.upper()}]"]
+        at = max(at, end)
+    return "".join(out) + text[at:]
+
+
+def test_redaction_of_overlapping_spans_over_long_texts(documents):
+    everything = Boosted(1.0, (), 0.0)
+    texts = [TEXTS[1] * 40, TEXTS[4] * 300, ("x" * 3000 + " 4111-1111-1111-1111-4111 " + "\U0001f600" * 2000) * 5]
+    docs = documents(texts)
+    spans = {r.doc_id: r for r in find_personal_data(docs, everything).collect()}
+    for row in redacted(docs, everything).collect():
+        found = [(s.start, s.end, kind) for kind in personal_data.KINDS for s in spans[row.doc_id][f"all_{kind}"]]
+        assert len(found) > 10
+        assert row.text == brute_redacted(texts[row.doc_id], sorted(found, key=lambda s: (s[0], s[1], s[2].upper())))
+
+
+def test_time_grows_with_the_matches_of_a_text(spark):
+    from pyspark.sql import functions as F
+    from test_spans import seconds
+
+    def run(n, use):
+        text = F.repeat(F.lit("write to me.too@mail.example.org or 10.20.30.40 today "), n)
+        docs = spark.range(1).select(F.col("id").alias("doc_id"), text.alias("text"), F.lit(0).alias("n_chars"))
+        return seconds(use(docs, NOTHING))
+
+    for use in (lambda d, m: digest(find_personal_data(d, m)), redacted):
+        run(500, use)
+        small, large = run(6_000, use), run(25_000, use)
+        assert large < 9 * small + 2, (small, large)

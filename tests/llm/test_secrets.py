@@ -84,3 +84,17 @@ def test_only_candidates_are_verified(documents, staging):
 def test_no_python_in_the_plan(documents, staging):
     plan = find_secrets(documents(TEXTS), staging)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_time_grows_with_the_matches_of_a_text(spark, staging):
+    from pyspark.sql import functions as F
+    from test_spans import seconds
+
+    def run(n):
+        text = F.repeat(F.lit("password = Abcdefgh1234567 or 0123456789abcdef01 "), n)
+        docs = spark.range(1).select(F.col("id").alias("doc_id"), text.alias("text"))
+        return seconds(find_secrets(docs, staging))
+
+    run(500)
+    small, large = run(12_000), run(50_000)
+    assert large < 9 * small + 2, (small, large)

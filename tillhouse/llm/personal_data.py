@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tillhouse.llm import boosting
 from tillhouse.llm.boosting import Boosted
-from tillhouse.llm.spans import digits, found, listed
+from tillhouse.llm.spans import code, cut_text, digits, distinct_sorted, found, largest_before, let, listed, without
 from tillhouse.staging import Staging
 
 KINDS = ("email", "ip", "card", "phone")
@@ -55,8 +55,8 @@ SAMPLE_DOCS = 4000
 PRECISION = 0.98
 
 
-def _base(text: Column) -> dict[str, Column]:
-    """The matches of each kind that hold up; failing ones are dropped, not retried."""
+def _base(text: Column, around: int = 0) -> dict[str, Column]:
+    """The matches of each kind that hold up, with `around` characters on both sides; failing ones are dropped, not retried."""
     n_digits = lambda s: F.length(digits(s["value"]))
     holds = {
         "email": lambda s: F.lit(True),
@@ -64,7 +64,7 @@ def _base(text: Column) -> dict[str, Column]:
         "card": lambda s: n_digits(s).between(13, 19) & F.call_function("luhn_check", digits(s["value"])),
         "phone": lambda s: n_digits(s).between(9, 15),
     }
-    return {kind: F.filter(found(text, PATTERNS[kind]), holds[kind]) for kind in KINDS}
+    return {kind: F.filter(found(text, PATTERNS[kind], 0, around, around), holds[kind]) for kind in KINDS}
 
 
 def _told(before: Column) -> Column:
@@ -167,41 +167,25 @@ def _numbers(text: Column) -> Column:
 
         return F.filter(F.transform(ends, of_end), lambda c: c["n_digits"].between(LEAST_DIGITS, MOST_DIGITS))
 
-    return F.flatten(F.transform(F.transform(found(text, CHAIN), lambda s: _around(text, s)), of_chain))
-
-
-def _around(text: Column, span: Column) -> Column:
-    """A span with the text around it."""
-    first = F.greatest(F.lit(0), span["start"] - BEFORE)
-    return F.struct(
-        span["start"].alias("start"),
-        span["value"].alias("value"),
-        F.substring(text, first + 1, span["start"] - first).alias("before"),
-        F.substring(text, span["end"] + 1, F.lit(AFTER)).alias("after"),
-    )
+    return F.flatten(F.transform(found(text, CHAIN, 0, BEFORE, AFTER), of_chain))
 
 
 def _candidates(text: Column) -> Column:
     """What the generators propose, with the text around it."""
-    addresses = F.array_distinct(F.concat(*(found(text, pattern) for pattern in SPELT)))
-    described = F.transform(
-        F.transform(addresses, lambda s: _around(text, s)),
-        lambda s: _described(s["start"], s["value"], s["before"], s["after"]),
-    )
+    addresses = distinct_sorted(F.array_sort(F.concat(*(found(text, pattern, 0, BEFORE, AFTER) for pattern in SPELT))))
+    described = F.transform(addresses, lambda s: _described(s["start"], s["value"], s["before"], s["after"]))
     return F.concat(_numbers(text), described)
 
 
-def _is_base(candidate: Column) -> Column:
-    """Whether a base match is the same span."""
-    return F.array_contains("base_ends", F.concat_ws(":", candidate["start"], candidate["end"]))
-
+def _scanned(rows: DataFrame, around: int = 0) -> DataFrame:
+    """`rows` (`text` and others that no kind is named after) with their base matches and, as `tried`, other candidates.
 
-def _scanned(docs: DataFrame) -> DataFrame:
-    """`docs` with its base matches and candidates; a null text counts as empty."""
+    A null text counts as empty. Candidates of the same span as a base match are left out.
+    """
     text = F.coalesce("text", F.lit(""))
-    with_base = docs.select("*", *(c.alias(f"__{kind}") for kind, c in _base(text).items()), _candidates(text).alias("__tried"))
-    every = F.concat(*(F.col(f"__{kind}") for kind in KINDS))
-    return with_base.withColumn("base_ends", F.transform(every, lambda s: F.concat_ws(":", s["start"], s["end"])))
+    scanned = rows.select("*", *(c.alias(kind) for kind, c in _base(text, around).items()), _candidates(text).alias("every"))
+    known = F.concat(*(F.transform(kind, code) for kind in KINDS))
+    return scanned.withColumn("tried", without(F.col("every"), known)).drop("every")
 
 
 def _rewritten(kind: str, base: Column) -> list[tuple[Column, Column, Column, int]]:
@@ -258,14 +242,13 @@ def _rewritten(kind: str, base: Column) -> list[tuple[Column, Column, Column, in
     return [(before, F.concat(F.lit("9"), value), after, 0)]
 
 
-def _forms(kind: str, text: Column) -> Column:
+def _forms(kind: str) -> Column:
     """The rewritten base matches of one kind as texts, with the place of the personal data in them."""
     def described(s: Column) -> Column:
-        after = F.substring(text, s["end"] + 1, F.lit(BEFORE))
         return F.struct(
             s["value"].alias("value"),
-            F.regexp_extract(_around(text, s)["before"], "[^0-9@]*$", 0).alias("before"),
-            F.regexp_extract(after, "^[^0-9@]*", 0).alias("after"),
+            F.regexp_extract(s["before"], "[^0-9@]*$", 0).alias("before"),
+            F.regexp_extract(s["after"], "^[^0-9@]*", 0).alias("after"),
         )
 
     def rewritten(base: Column) -> Column:
@@ -281,7 +264,7 @@ def _forms(kind: str, text: Column) -> Column:
             )
         )
 
-    return F.flatten(F.transform(F.transform(f"__{kind}", described), rewritten))
+    return F.flatten(F.transform(F.transform(kind, described), rewritten))
 
 
 def _labelled(docs: DataFrame) -> DataFrame:
@@ -292,8 +275,8 @@ def _labelled(docs: DataFrame) -> DataFrame:
     a letter before them tells that they are none. So no label follows from the
     base patterns, and all are of the sort that can be added.
     """
-    scanned = _scanned(docs)
-    forms = [_forms(kind, F.col("text")) for kind in KINDS]
+    scanned = _scanned(docs, BEFORE)
+    forms = [_forms(kind) for kind in KINDS]
     examples = scanned.select("part", F.explode(F.concat(*forms)).alias("e")).select("part", "e.*").where("text IS NOT NULL")
     span = F.struct(F.col("c.start"), F.col("c.end"))
     first = F.struct(F.col("start"), (F.col("start") + F.col("length")).alias("end"))
@@ -302,10 +285,10 @@ def _labelled(docs: DataFrame) -> DataFrame:
     personal = (span == first) | (F.col("twice") & (span == second))
     made = (
         _scanned(examples)
-        .select("*", F.explode(F.filter("__tried", lambda c: ~_is_base(c))).alias("c"))
+        .select("*", F.explode("tried").alias("c"))
         .select("part", F.coalesce(personal, F.lit(False)).alias("personal"), "c")
     )
-    seen = scanned.select("part", F.lit(False).alias("personal"), F.explode(F.filter("__tried", lambda c: ~_is_base(c))).alias("c"))
+    seen = scanned.select("part", F.lit(False).alias("personal"), F.explode("tried").alias("c"))
     return made.union(seen.where(FEATURES["counted"](F.col("c")) | FEATURES["inside"](F.col("c"))))
 
 
@@ -333,12 +316,8 @@ def train(docs: DataFrame, staging: Staging, sample_docs: int = SAMPLE_DOCS) ->
 
 
 def _chosen(model: Boosted) -> Column:
-    """The candidates above the threshold that are no base matches, each span once."""
-    def selected(c: Column) -> Column:
-        probability = model.probability(lambda name: FEATURES[name](c))
-        return (probability >= model.threshold) & ~_is_base(c)
-
-    return F.filter("__tried", selected)
+    """The candidates above the threshold."""
+    return F.filter("tried", lambda c: model.probability(lambda name: FEATURES[name](c)) >= model.threshold)
 
 
 def _kind(c: Column) -> Column:
@@ -354,22 +333,32 @@ def _is_kind(kind: str):
     return lambda c: _kind(c) == kind
 
 
+def _with_spans(docs: DataFrame, model: Boosted) -> DataFrame:
+    """Each row of `docs` as `row`, its `text`, and for each kind the spans `base_<kind>` and `all_<kind>`, by start."""
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text"))
+    scanned = _scanned(rows).withColumn("added", _chosen(model))
+    plain = lambda c: F.struct(c["start"].alias("start"), c["end"].alias("end"))
+    columns = []
+    for kind in KINDS:
+        base = F.transform(kind, plain)
+        added = F.transform(F.filter("added", _is_kind(kind)), plain)
+        # The candidates are no base matches, but may propose one span twice.
+        every = distinct_sorted(F.array_sort(F.concat(base, added)))
+        columns += [base.alias(f"base_{kind}"), every.alias(f"all_{kind}")]
+    return scanned.select("row", "text", *columns)
+
+
 def find_personal_data(docs: DataFrame, model: Boosted, keep: list[str] | None = None) -> DataFrame:
     """The columns `keep` of `docs` (all of them) with an array of spans for each kind and what they add up to.
 
     `base_<kind>` holds the base matches, `all_<kind>` these and the chosen
     candidates, by start. A null or empty text has none; repeated rows give equal
-    rows; an empty table gives no rows. Columns of these names are replaced.
+    rows; an empty table gives no rows. The work is linear in a text and, but for
+    sorting, in its matches. Columns of exactly these names are replaced.
     """
-    kept = [c for c in keep or docs.columns if not c.startswith(("base_", "all_", "__"))]
-    scanned = _scanned(docs.select(*kept, *({"text"} - set(kept)))).withColumn("__added", _chosen(model))
-    plain = lambda c: F.struct(c["start"].alias("start"), c["end"].alias("end"))
-    columns = []
-    for kind in KINDS:
-        base = F.transform(f"__{kind}", plain)
-        added = F.transform(F.filter("__added", _is_kind(kind)), plain)
-        columns += [base.alias(f"base_{kind}"), F.array_sort(F.array_union(base, added)).alias(f"all_{kind}")]
-    return scanned.select(*kept, *columns)
+    made = [f"{prefix}_{kind}" for kind in KINDS for prefix in ("base", "all")]
+    kept = [c for c in keep or docs.columns if c.lower() not in made]
+    return _with_spans(docs, model).select(*[F.col("row").getField(c).alias(c) for c in kept], *made)
 
 
 def digest(found_spans: DataFrame) -> DataFrame:
@@ -390,40 +379,41 @@ def redacted(docs: DataFrame, model: Boosted) -> DataFrame:
 
     Where spans overlap, the union of them is replaced and named after the span that starts first.
     """
-    spans = find_personal_data(docs, model)
-
     def named_as(kind: str) -> Column:
         name = F.lit(kind.upper()).alias("kind")
         return F.transform(f"all_{kind}", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), name))
 
-    named = [named_as(kind) for kind in KINDS]
-    text = F.col("text")
-    state = F.aggregate(
-        F.array_sort(F.concat(*named)),
-        F.struct(F.lit(0).alias("at"), F.expr("CAST(array() AS array<string>)").alias("parts")),
-        lambda s, span: F.struct(
-            F.greatest(s["at"], span["end"]).alias("at"),
-            F.when(span["start"] < s["at"], s["parts"])
-            .otherwise(
-                F.concat(
-                    s["parts"],
-                    F.array(
-                        F.substring(text, s["at"] + 1, span["start"] - s["at"]),
-                        F.concat(F.lit("["), span["kind"], F.lit("]")),
-                    ),
-                )
-            )
-            .alias("parts"),
-        ),
-    )
-    rest = F.substring(text, F.col("__state.at") + 1, F.length(text))
-    clean = F.when(
-        F.size("__state.parts") > 0, F.concat(F.array_join("__state.parts", ""), rest)
-    ).otherwise(text)
-    done = spans.withColumn("__state", state).withColumn("text", clean)
-    if "n_chars" in docs.columns:
-        done = done.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return done.select(*docs.columns)
+    def replaced(spans: Column) -> Column:
+        ends = F.transform(spans, lambda s: s["end"])
+        firsts = F.filter(
+            F.zip_with(
+                spans,
+                largest_before(ends),
+                lambda s, end: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), end.cast("int").alias("before")),
+            ),
+            # The others overlap one that starts earlier, and end what it covers.
+            lambda s: (s["start"] >= s["before"]),
+        )
+
+        def put_together(cut) -> Column:
+            parts = F.transform(firsts, lambda s: F.concat(cut(s["before"], s["start"]), F.lit("["), s["kind"], F.lit("]")))
+            return F.concat(F.array_join(parts, ""), cut(F.array_max(ends), F.length("text")))
+
+        return cut_text(F.col("text"), put_together)
+
+    found_spans = _with_spans(docs, model)
+    spans = F.array_sort(F.concat(*(named_as(kind) for kind in KINDS)))
+    clean = F.when(F.size(spans) > 0, let(spans, replaced)).otherwise(F.col("text"))
+    done = found_spans.select("row", clean.alias("text"))
+
+    def column(name: str) -> Column:
+        if name == "text":
+            return F.col("text")
+        if name == "n_chars":
+            return F.length("text").cast(docs.schema["n_chars"].dataType).alias(name)
+        return F.col("row").getField(name).alias(name)
+
+    return done.select(*[column(c) for c in docs.columns])
 
 
 __all__ = ["KINDS", "digest", "find_personal_data", "redacted", "train"]
