@@ -2,9 +2,10 @@
 
 Names in hosts are often written together. A unigram model of the words in the
 pages splits them by Viterbi's algorithm, and multinomial naive Bayes scores the
-words of host and path. It learns from the pages that a rule decides and from a
-short list of words known to tell. The counts of words and tokens stay tables of
-any size; only those that a URL can hold are looked up, by joins.
+words of host and path. It learns from the pages that a rule decides, and of those
+from what the rule does not ask for, so that it tells more than the rules repeated.
+The counts of words and tokens stay tables of any size; only those that a URL can
+hold are looked up, by joins.
 """
 
 from __future__ import annotations
@@ -28,14 +29,6 @@ RULES = (
     ("example.com", "/de/", BLOCK),
     ("org", "/fr/", ALLOW),
 )
-# Words that speak for a verdict before any page is seen, and how often each counts.
-TELLING = {
-    BLOCK: ("spam", "farm", "casino", "poker", "porn", "xxx", "adult", "malware", "phishing", "warez", "torrent", "bet", "clickbait"),
-    ALLOW: ("wiki", "docs", "news", "library", "edu", "university", "science", "research", "archive", "journal"),
-}
-TELLING_WEIGHT = 1000
-# Rows that `most_frequent` keeps; the models hold all words.
-MODEL_WORDS = 100_000
 LONGEST_WORD = 24
 # A key with more than this part of all uses is looked up by broadcast; there are fewer keys than this.
 HOT = 500
@@ -57,15 +50,21 @@ def _fits(host: Column, path: Column, rule_host: str, rule_path: str) -> Column:
 
 
 def with_rules(pages: DataFrame, rules=RULES) -> DataFrame:
-    """`pages` with `host`, `path`, the longest fitting `rule` and its `ruled` verdict, both null without one."""
+    """`pages` with `host`, `path`, the longest fitting `rule` and its `ruled` verdict, both null without one.
+
+    `own_host` and `own_path` are host and path without what the rule asks for.
+    """
     host, path = host_and_path(F.col("url"))
     parsed = pages.withColumn("host", host).withColumn("path", path)
     rule, ruled = F.lit(None).cast("string"), F.lit(None).cast("string")
+    own_host, own_path = F.col("host"), F.col("path")
     for rule_host, rule_path, verdict in sorted(rules, key=lambda r: len(r[0] + r[1])):
         fits = _fits(F.col("host"), F.col("path"), rule_host, rule_path)
         rule = F.when(fits, F.lit(rule_host + rule_path)).otherwise(rule)
         ruled = F.when(fits, F.lit(verdict)).otherwise(ruled)
-    return parsed.withColumn("rule", rule).withColumn("ruled", ruled)
+        own_host = F.when(fits, F.left("host", F.length("host") - len(rule_host))).otherwise(own_host)
+        own_path = F.when(fits, F.substring("path", F.lit(len(rule_path) + 1), F.length("path"))).otherwise(own_path)
+    return parsed.withColumns({"rule": rule, "ruled": ruled, "own_host": own_host, "own_path": own_path})
 
 
 class Segmenter:
@@ -76,15 +75,12 @@ class Segmenter:
         total = (sum(counts.values()) if of is None else of) + 1
         self.cost = {word: math.log(total / n) for word, n in counts.items()}
         self.unknown = math.log(total) + 1
-        self.known: dict[str, list[str]] = {}
 
     def _price(self, word: str) -> float:
         """An unknown word costs more with each letter than any known word that could fill its place."""
         return self.cost.get(word) or self.unknown + 2.5 * len(word)
 
     def split(self, letters: str) -> list[str]:
-        if letters in self.known:
-            return self.known[letters]
         best, last = [0.0], [0]
         for end in range(1, len(letters) + 1):
             price, start = min(
@@ -96,12 +92,10 @@ class Segmenter:
         while end:
             words.append(letters[last[end] : end])
             end = last[end]
-        if len(self.known) < MODEL_WORDS:
-            self.known[letters] = words[::-1]
         return words[::-1]
 
     def tokens(self, host: str, path: str) -> list[str]:
-        """Words of the host's labels, its ending, and the words and number marks of the path."""
+        """Words of the host's labels before the last, and the words and number marks of the path."""
         found = []
         for kind, run in parts(host, path):
             found += [run] if kind == WHOLE else [f"{kind}:{word}" for word in self.split(run)]
@@ -112,10 +106,9 @@ WHOLE = "whole"
 
 
 def parts(host: str, path: str) -> list[tuple[str, str]]:
-    """The runs of letters of host and path, and the tokens that need no splitting, as kind `whole`."""
-    names, _, ending = host.rpartition(".")
+    """The runs of letters of path and host but for its last label, and the tokens that need no splitting, as kind `whole`."""
+    names, _, _ = host.rpartition(".")
     found = [("host", run) for run in re.findall("[^\\W\\d_]+", names)]
-    found += [(WHOLE, f"ending:{ending}")] if ending else []
     for part in re.findall(r"[^\W\d_]+|\d+", path.lower()):
         found.append((WHOLE, "path:#") if part.isdigit() else ("path", part))
     return found
@@ -142,23 +135,6 @@ class Bayes:
         return score > 0, score
 
 
-def most_frequent(counted: DataFrame, staging: Staging) -> DataFrame:
-    """The rows of the largest `n`, at most `MODEL_WORDS` of them; rows of about equal `n` come or go together.
-
-    A count of rows for each eighth of a power of two tells where to cut, so that
-    neither the driver nor a task sorts all rows.
-    """
-    counted = staging.save(counted, "counted").withColumn("__size", F.floor(F.log2("n") * 8))
-    sizes = {row["__size"]: row["count"] for row in counted.groupBy("__size").count().collect()}
-    least, kept = 0, 0
-    for size in sorted(sizes, reverse=True):
-        kept += sizes[size]
-        if kept > MODEL_WORDS:
-            least = size + 1
-            break
-    return counted.where(F.col("__size") >= least).drop("__size")
-
-
 def _looked_up(many: DataFrame, few: DataFrame, keys: list[str]) -> DataFrame:
     """`many` joined to `few`, which has every key once and how many rows use it in `uses`.
 
@@ -177,13 +153,11 @@ def _sum_in_order(place: str, value: str) -> Column:
 
 
 def word_counts(pages: DataFrame) -> DataFrame:
-    """`word` and `n` of all words of all pages' texts and the telling ones."""
+    """`word` and `n` of all words of all pages' texts."""
     shown = F.regexp_replace(F.regexp_replace("html", r"(?is)<(script|style)\b.*?</\1>", " "), "<[^>]*>", " ")
     words = pages.select(F.explode(F.split(F.lower(shown), r"[^\p{L}]+")).alias("word"))
     words = words.where((F.length("word") > 0) & (F.length("word") <= LONGEST_WORD))
-    told = [(word, TELLING_WEIGHT) for telling in TELLING.values() for word in telling]
-    told = pages.sparkSession.createDataFrame(told, "word string, n long")
-    return words.groupBy("word").agg(F.count("*").alias("n")).union(told).groupBy("word").agg(F.sum("n").alias("n"))
+    return words.groupBy("word").agg(F.count("*").alias("n"))
 
 
 def _url_parts(urls: DataFrame) -> DataFrame:
@@ -191,7 +165,7 @@ def _url_parts(urls: DataFrame) -> DataFrame:
     def make():
         def cut(batch: pa.RecordBatch) -> dict:
             out: dict = {name: [] for name in ("key", "place", "kind", "run", "ruled", "n")}
-            rows = zip(*(batch.column(c).to_pylist() for c in ("host", "path", "key", "ruled", "n")), strict=True)
+            rows = zip(*(batch.column(c).to_pylist() for c in ("own_host", "own_path", "key", "ruled", "n")), strict=True)
             for host, path, key, ruled, n in rows:
                 for place, (kind, run) in enumerate(parts(host, path)):
                     for name, value in zip(out, (key, place, kind, run, ruled, n), strict=True):
@@ -205,7 +179,7 @@ def _url_parts(urls: DataFrame) -> DataFrame:
 
 def split_runs(runs: DataFrame, counts: DataFrame, staging: Staging) -> DataFrame:
     """`run` and its `words` for a table of distinct runs; of all words it looks up those that a run holds."""
-    of = counts.agg(F.sum("n")).first()[0]
+    of = counts.agg(F.sum("n")).first()[0] or 0
 
     def make_split():
         def split(batch: pa.RecordBatch) -> dict:
@@ -227,36 +201,36 @@ def split_runs(runs: DataFrame, counts: DataFrame, staging: Staging) -> DataFram
 
 def token_odds(tokens: DataFrame, staging: Staging) -> DataFrame:
     """Multinomial naive Bayes over all tokens, as `Bayes.fit`: `token`, its `odds`, and the rows that use it."""
-    told = [
-        (f"{kind}:{word}", TELLING_WEIGHT * (verdict == BLOCK), TELLING_WEIGHT * (verdict == ALLOW), 0)
-        for verdict, words in TELLING.items()
-        for word in words
-        for kind in ("host", "path")
-    ]
-    told = tokens.sparkSession.createDataFrame(told, "token string, blocked long, allowed long, uses long")
-    counted = tokens.select("token", "blocked", "allowed", F.lit(1).cast("long").alias("uses")).union(told)
+    counted = tokens.select("token", "blocked", "allowed", F.lit(1).cast("long").alias("uses"))
     sums = (F.sum(c).alias(c) for c in ("blocked", "allowed", "uses"))
     counted = staging.save(counted.groupBy("token").agg(*sums), "counted")
     seen = F.col("blocked") + F.col("allowed") > 0
     size = counted.where(seen).agg(F.sum("blocked"), F.sum("allowed"), F.count("*")).first()
-    rate = math.log((size[1] + size[2] + 1) / (size[0] + size[2] + 1))
+    rate = math.log(((size[1] or 0) + size[2] + 1) / ((size[0] or 0) + size[2] + 1))
     odds = F.when(seen, F.log((F.col("blocked") + 1) / (F.col("allowed") + 1)) + rate).otherwise(rate)
     return counted.select("token", odds.alias("odds"), "uses")
 
 
-def judge(pages: DataFrame, staging: Staging | None = None, rules=RULES) -> DataFrame:
+def judge(pages: DataFrame, staging: Staging | None = None, rules=RULES, held_out: Column | None = None) -> DataFrame:
     """One row per row of `pages`: `page_id`, `host`, `path`, `rule`, `verdict`, `score`.
 
     A rule's verdict stands; any other page is blocked if its words speak more
     for that. A null url, or one without `://`, has an empty host and path, no
-    words, and so the verdict that most ruled pages have; ties are allowed.
-    Repeated rows repeat. `score` is the log odds for blocking, null under a rule.
+    words, and so the verdict that most ruled pages have; ties are allowed, as is
+    everything where no rule decides a page. Repeated rows repeat. `score` is the
+    log odds for blocking, null under a rule. URLs may be of any length; columns
+    but `page_id`, `url` and `html` are not read. An empty table gives no rows.
+    Pages that `held_out` holds for are judged by their words without what the
+    rule asks for, and nothing is learnt from them, to measure the method.
     """
     staging = staging or Staging(pages.sparkSession)
-    ruled = with_rules(pages.select(F.col("page_id").cast("long").alias("page_id"), "url"), rules).drop("url")
+    held = F.lit(False) if held_out is None else F.coalesce(held_out, F.lit(False))
+    known = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", held.alias("held"))
+    ruled = with_rules(known, rules).withColumn("ruled", F.when(~F.col("held"), F.col("ruled"))).drop("url", "held")
     # A path is empty or starts with a slash, which no host holds.
-    ruled = ruled.withColumn("key", F.md5(F.concat("host", "path")))
-    urls = staging.save(ruled.groupBy("key", "host", "path", "ruled").agg(F.count("*").alias("n")), "urls")
+    ruled = ruled.withColumn("key", F.md5(F.concat("host", "path", F.coalesce("ruled", F.lit("")))))
+    urls = ruled.groupBy("key", "own_host", "own_path", "ruled").agg(F.count("*").alias("n"))
+    urls = staging.save(urls, "urls")
     found = staging.save(_url_parts(urls), "parts")
     hits = (F.sum(F.when(F.col("ruled") == v, F.col("n")).otherwise(0)).alias(c) for v, c in ((BLOCK, "blocked"), (ALLOW, "allowed")))
     runs = staging.save(found.groupBy("kind", "run").agg(*hits, F.count("*").alias("uses")), "runs")
