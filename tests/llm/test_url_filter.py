@@ -2,8 +2,6 @@ import re
 from collections import Counter
 from itertools import product
 from pathlib import Path
-from pathlib import Path
-from itertools import product
 
 import pytest
 
