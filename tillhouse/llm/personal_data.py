@@ -304,8 +304,9 @@ def train(docs: DataFrame, staging: Staging, sample_docs: int = SAMPLE_DOCS) ->
     About a fourth of the texts is kept for the threshold, copies together. Without base
     matches nothing is selected.
     """
-    some = sampled(docs, sample_docs)
-    sample = _labelled(some.select("text", F.pmod(F.xxhash64(F.lit(9), "text"), F.lit(4)).alias("part"))).select(
+    some = sampled(docs, sample_docs).select("text", F.pmod(F.xxhash64(F.lit(9), "text"), F.lit(4)).alias("part"))
+    # Written, so that no pattern is tried on the other documents.
+    sample = _labelled(staging.save(some, "sample")).select(
         (F.col("part") == 0).alias("held"),
         "personal",
         *(feature(F.col("c")).alias(name) for name, feature in FEATURES.items()),
