@@ -1,10 +1,12 @@
 """Benchmark passages in training documents: rare seeds, then local alignment.
 
 Words of the benchmark are numbered; every other word of a document is number 0.
-A document's n-grams that the benchmark has too are hits. How many documents have
-an n-gram tells how rare it is, and of each few neighbouring n-grams of an item
-the rarest and those about as rare are seeds, so that any run of words copied from
-an item holds a seed however common its n-grams are. Documents and items that share a seed are aligned
+A document's n-grams that the benchmark has too are hits: four words in a row, or
+with one between them left open, so that a copy with every third word replaced
+has some. How many documents have an n-gram tells how rare it is. Those in few of
+the documents are seeds, and of each few neighbouring n-grams of an item the rarest
+and those about as rare, so that any run of words copied from an item holds a seed
+however common its n-grams are. Documents and items that share a seed are aligned
 with Smith-Waterman around it, which scores edited copies.
 """
 
@@ -24,9 +26,11 @@ from pyspark.sql import functions as F
 from tillhouse.llm.columns import map_batches, row_key, texts, unused
 from tillhouse.staging import Staging
 
-N_GRAM = 4
+# Places of the four words of an n-gram.
+SHAPES = ((0, 1, 2, 3), (0, 1, 3, 4), (0, 1, 2, 4), (0, 2, 3, 4))
 NEIGHBOURS = 3
 RARITY = 4
+RARE_SHARE = 0.01
 MATCH, MISMATCH, GAP = 2, -1, -1
 LEAST_SHARE = 0.5
 WORDS = re.compile(rb"[a-z0-9\x80-\xff]+")
@@ -39,15 +43,27 @@ def words(text: str | None) -> list[bytes]:
     return WORDS.findall((text or "").lower().encode())
 
 
-def gram_codes(numbers: np.ndarray, n: int, base: int) -> np.ndarray:
-    """A code for each run of n numbers, wrapping around 2^64: equal runs have equal codes."""
-    length = max(0, len(numbers) - n + 1)
+def shapes_of(n_words: int) -> list[tuple[int, ...]]:
+    """The shapes of the n-grams of an item; one of fewer than four words occurs whole."""
+    if n_words < len(SHAPES[0]):
+        return [tuple(range(n_words))]
+    return [shape for shape in SHAPES if shape[-1] < n_words]
+
+
+def gram_codes(numbers: np.ndarray, shape: tuple[int, ...], base: int) -> np.ndarray:
+    """A code for the numbers at the places of a shape from each number on, wrapping around 2^64."""
+    length = max(0, len(numbers) - shape[-1])
     codes = np.zeros(length, np.uint64)
-    for k in range(n):
+    for k in shape:
         codes = codes * np.uint64(base) + numbers[k : k + length].astype(np.uint64)
     return codes.view(np.int64)
 
 
+def shape_number(shape: tuple[int, ...]) -> int:
+    """Tells shapes apart: a bit for each of its places."""
+    return sum(1 << k for k in shape)
+
+
 def _passes(benchmark: DataFrame) -> Iterator[list[tuple[int, list[bytes]]]]:
     """The items in groups of bounded size, streamed through the driver."""
     group, size = [], 0
@@ -86,13 +102,14 @@ def _hits(docs: DataFrame, items: list[tuple[int, list[bytes]]]) -> DataFrame:
         for word in found:
             vocabulary.setdefault(word, len(vocabulary) + 1)
     base = len(vocabulary) + 1
-    codes: dict[int, set[int]] = defaultdict(set)
+    codes: dict[tuple[int, ...], set[int]] = defaultdict(set)
     for _, found in items:
-        n = min(N_GRAM, len(found))
-        codes[n].update(gram_codes(np.array([vocabulary[w] for w in found]), n, base).tolist())
+        numbers = np.array([vocabulary[w] for w in found])
+        for shape in shapes_of(len(found)):
+            codes[shape].update(gram_codes(numbers, shape, base).tolist())
     reach = 2 * max(len(found) for _, found in items)
     model = docs.sparkSession.sparkContext.broadcast(
-        (vocabulary, {n: np.array(sorted(found), np.int64) for n, found in codes.items()}, base, reach)
+        (vocabulary, {shape: np.array(sorted(found), np.int64) for shape, found in codes.items()}, base, reach)
     )
 
     def make():
@@ -106,15 +123,15 @@ def _hits(docs: DataFrame, items: list[tuple[int, list[bytes]]]) -> DataFrame:
             for (doc_id, key, digest), text in zip(keys, texts(batch), strict=True):
                 numbers = np.array([number(w, 0) for w in words(text)], np.int64)
                 met = []
-                for n, known in codes.items():
-                    grams = gram_codes(numbers, n, base)
+                for shape, known in codes.items():
+                    grams = gram_codes(numbers, shape, base)
                     inside = np.ones(len(grams), bool)
-                    for k in range(n):
+                    for k in shape:
                         inside &= numbers[k : k + len(grams)] > 0
                     at = np.flatnonzero(inside)
                     near = np.searchsorted(known, grams[at])
                     at = at[known[np.minimum(near, len(known) - 1)] == grams[at]]
-                    met += [(int(p), int(grams[p]), n) for p in at]
+                    met += [(int(p), int(grams[p]), shape_number(shape)) for p in at]
                 met.sort()
                 first = 0
                 for k in range(1, len(met) + 1):
@@ -147,27 +164,30 @@ def _item_grams(spark, items, vocabulary, base) -> DataFrame:
     rows = []
     for item_id, found in items:
         numbers = np.array([vocabulary[w] for w in found])
-        n = min(N_GRAM, len(found))
-        rows += [(item_id, at, code, n) for at, code in enumerate(gram_codes(numbers, n, base).tolist())]
+        for shape in shapes_of(len(found)):
+            codes = enumerate(gram_codes(numbers, shape, base).tolist())
+            rows += [(item_id, at, code, shape_number(shape)) for at, code in codes]
     return spark.createDataFrame(rows, "item_id long, place int, gram long, n int")
 
 
-def _seeds(hits: DataFrame, item_grams: DataFrame) -> DataFrame:
-    """The n-grams of each item that are about as rare as the rarest of a run of neighbours they stand in.
+def _seeds(hits: DataFrame, item_grams: DataFrame, rows: int) -> DataFrame:
+    """The n-grams of each item that are rare, or about as rare as the rarest of a run of neighbours they stand in.
 
-    So every run of neighbouring n-grams has a seed, and where none of them is
-    common, all are seeds.
+    Rare is an n-gram in at most `RARE_SHARE` of the documents, of which there are
+    `rows`. So every run of neighbouring n-grams has a seed, and where none of
+    them is common, all are seeds.
     """
     spread = hits.select("digest", "id", "gram", "n").distinct().groupBy("gram", "n").agg(F.count("*").alias("documents"))
     ranked = item_grams.join(spread, ["gram", "n"], "left").na.fill(0, ["documents"])
     # An item is a test question: its n-grams are few, so its window stays small.
-    item = W.partitionBy("item_id").orderBy("place")
-    last = F.max("place").over(W.partitionBy("item_id"))
+    item = W.partitionBy("item_id", "n").orderBy("place")
+    last = F.max("place").over(W.partitionBy("item_id", "n"))
     full = (F.col("place") + NEIGHBOURS - 1 <= last) | (F.col("place") == 0)
     rarest = F.when(full, F.min("documents").over(item.rowsBetween(0, NEIGHBOURS - 1)))
     bound = F.max("rarest").over(item.rowsBetween(1 - NEIGHBOURS, 0))
-    rows = ranked.withColumn("rarest", rarest).withColumn("bound", bound)
-    return rows.where(F.col("documents") <= RARITY * F.greatest(F.lit(1), "bound")).select("item_id", "n", "place", "gram").distinct()
+    judged = ranked.withColumn("rarest", rarest).withColumn("bound", bound)
+    most = F.greatest(RARITY * F.greatest(F.lit(1), "bound"), F.lit(RARE_SHARE * rows))
+    return judged.where(F.col("documents") <= most).select("item_id", "n", "place", "gram").distinct()
 
 
 def _scored(pairs: DataFrame, items: DataFrame) -> DataFrame:
@@ -207,14 +227,16 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, staging: Staging, least_
     `share` is the alignment's score as a share of the item's score against
     itself; pairs below `least_share` are left out. Null and empty texts and items
     match nothing. Rows that repeat, in either table, give one pair; a null doc_id
-    is kept, a null item_id is not. Two empty tables give no rows.
+    is kept, a null item_id is not. Of several alignments of a pair, in texts of
+    any length, the best counts. Two empty tables give no rows. Other columns are
+    not read.
     """
-    spark, found = docs.sparkSession, None
+    spark, found, rows = docs.sparkSession, None, docs.count()
     for items in _passes(benchmark):
         raw, vocabulary, base = _hits(docs, items)
         windows = staging.save(raw, "windows")
         hits = windows.select("window", "id", "digest", F.explode("hits").alias("hit")).select("window", "id", "digest", "hit.*")
-        seeds = _seeds(hits, _item_grams(spark, items, vocabulary, base))
+        seeds = _seeds(hits, _item_grams(spark, items, vocabulary, base), rows)
         listed = [(item_id, len(f), [vocabulary[w] for w in f]) for item_id, f in items]
         table = spark.createDataFrame(listed, "item_id long, n_words int, item array<int>").distinct()
         # Hits on one diagonal, give or take half the item, are the same stretch of the document.
@@ -249,7 +271,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, staging: Staging, least_
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, staging: Staging) -> DataFrame:
-    """The rows of `docs` that hold no benchmark item, all columns kept."""
+    """The rows of `docs` that hold no benchmark item, all columns kept, whatever their names."""
     leaks = contaminated(docs, benchmark, staging).select("id", "digest").distinct()
     key = unused(docs, "key")
     leaks = staging.save(leaks, "leaks").select(F.struct("id", "digest").alias(key))
