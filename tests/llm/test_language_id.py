@@ -1,3 +1,4 @@
+import math
 from collections import Counter
 
 from pyspark.sql import functions as F
@@ -68,3 +69,48 @@ def test_the_sample_is_bounded(documents):
     from tillhouse.llm.language_id import _bounded_sample
 
     assert 50 < _bounded_sample(docs.select("doc_id", "text", "lang"), 100).count() < 150
+
+
+def plain_grams(text):
+    """Feature numbers and counts by walking over the bytes."""
+    letters = [32] + [b if b >= 128 or chr(b).isalpha() else 32 for b in text.lower().encode()] + [32]
+    found = Counter()
+    for a, b, c in zip(letters, letters[1:], letters[2:]):
+        if b != 32:
+            mixed = (a * 0x9E3779B1 & 0xFFFFFFFF) ^ (b * 0x85EBCA77 & 0xFFFFFFFF) ^ (c * 0xC2B2AE3D & 0xFFFFFFFF)
+            mixed = (mixed ^ mixed >> 15) * 0x2C1B3C6D & 0xFFFFFFFF
+            found[mixed >> 19] += 1
+    return found
+
+
+def test_predictions_against_plain_cosines(spark, sf_dir, odd_texts):
+    """TF-IDF weights, cosines to all centroids, nearest centroid and distance limit, worked out one by one."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    training = docs.where(~held_out()).where("lang IS NOT NULL")
+    model = train(training)
+    texts = [r.text for r in training.collect() if r.text]
+    frequency = Counter(g for text in texts for g in plain_grams(text))
+    assert len(texts) < 2400  # the sample is the whole table
+    for g in list(frequency)[::37]:
+        assert math.isclose(model.idf[g], math.log((1 + len(texts)) / (1 + frequency[g])) + 1, rel_tol=1e-5)
+    centroids = model.centroids.T.astype(float)
+    assert all(math.isclose(sum(x * x for x in c), 1, rel_tol=1e-4) for c in centroids)
+    assert sorted(set(model.owner)) == list(range(len(model.languages))) and len(centroids) > len(model.languages)
+
+    tried = odd_texts + [r.text for r in docs.where(held_out()).collect()]
+    rows = predict(spark.createDataFrame(list(enumerate(tried)), "doc_id long, text string"), model).collect()
+    for row in rows:
+        text = tried[row.doc_id]
+        found = plain_grams(text or "")
+        if not any(map(str.isalpha, text or "")) or not found:
+            assert row.rejected and row.score == 0
+            continue
+        weights = {g: math.sqrt(n) * float(model.idf[g]) for g, n in found.items()}
+        norm = math.sqrt(sum(w * w for w in weights.values()))
+        cosines = [sum(w / norm * c[g] for g, w in weights.items()) for c in centroids]
+        best = max(cosines)
+        assert math.isclose(row.score, min(1, max(0, best)), abs_tol=1e-4)
+        near = {model.languages[o] for o, c in zip(model.owner, cosines) if c > best - 1e-4}
+        assert row.lang_pred in near
+        limit = model.limits[sum(len(found) >= b for b in (8, 32, 128, 512))]
+        assert row.rejected == (row.score < limit) or abs(row.score - limit) < 1e-4
