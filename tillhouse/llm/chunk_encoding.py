@@ -356,6 +356,8 @@ def encode_documents(docs: DataFrame, staging: Staging, path: str, digests: bool
     with `digests`, `doc_id`, `n_tokens`, `ids_sha256` and `decoded_sha256` instead, so that
     long id lists need not be moved. Null texts count as empty and have no ids. Repeated
     rows each give a row; other columns are not read; an empty table gives no rows.
+    Ids do not depend on which of several copies of a chunk is encoded. Texts are
+    encoded whole, however long; words over `LONG_PIECE` are not kept.
     """
     source = _shared_source(docs, path)
     keyed = _keyed(docs)

@@ -156,8 +156,9 @@ def predict(docs: DataFrame, model: Model, keep: list[str] | None = None) -> Dat
     """The columns `keep` of `docs` (all of them) with `lang_pred`, `score` and `rejected` for each whole text.
 
     A null text or one without letters is `und` with score 0, and rejected. Only
-    the text is looked at; repeated rows repeat, and ties go to the language
-    first in order. Columns of these three names are replaced.
+    the text is looked at, all of it however long; repeated rows repeat, and ties
+    go to the language first in order. Columns of these three names are replaced.
+    An empty table gives no rows.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kept = [c for c in keep or docs.columns if c not in ("lang_pred", "score", "rejected")]

@@ -353,9 +353,11 @@ def find_personal_data(docs: DataFrame, model: Boosted, keep: list[str] | None =
     """The columns `keep` of `docs` (all of them) with an array of spans for each kind and what they add up to.
 
     `base_<kind>` holds the base matches, `all_<kind>` these and the chosen
-    candidates, by start. A null or empty text has none; repeated rows give equal
-    rows; an empty table gives no rows. The work is linear in a text and, but for
-    sorting, in its matches. Columns of exactly these names are replaced.
+    candidates, by start and end. A null or empty text has none; repeated rows give
+    equal rows; an empty table gives no rows. Spans may overlap; one that several
+    generators propose counts once. Whole texts are searched, however long: the
+    work is linear in a text and, but for sorting, in its matches. Columns of
+    exactly these names are replaced.
     """
     made = [f"{prefix}_{kind}" for kind in KINDS for prefix in ("base", "all")]
     kept = [c for c in keep or docs.columns if c.lower() not in made]

@@ -155,8 +155,10 @@ def find_secrets(docs: DataFrame, staging: Staging, more: tuple[Rule, ...] = MOR
     """One row per row of `docs`: `doc_id`, an array of spans for each rule, and what they add up to.
 
     `n_assign`, `n_access`, `n_hex` and `base_sha256` are of the base rules alone,
-    `spans` lists all. Null texts count as empty and have no spans; repeated rows
-    give equal rows; other columns are not read; an empty table gives no rows.
+    `spans` lists all, by start and then in the order of the rules. Null texts count
+    as empty and have no spans; repeated rows give equal rows; other columns are not
+    read; an empty table gives no rows. Whole texts are searched, however long, in
+    time that grows with their matches.
     """
     rules = BASE + more
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))

@@ -235,7 +235,9 @@ def simhash_groups(
     bits; `kept` marks one row of each group, that with the smallest (doc_id, text
     hash), a null doc_id last. Null and wordless texts have fingerprint zero and
     link like any other. Exactly repeated rows are all kept or all dropped; see
-    `keep_one`. An empty table gives no rows.
+    `keep_one`. Ties cannot arise, as a bit needs more than half the hashes. Texts
+    count whole, however long. Columns but `doc_id` and `text` are not read. An
+    empty table gives no rows.
     """
     prints = staging.save(fingerprints(docs, shingle), "prints")
     classes = staging.save(

@@ -247,7 +247,9 @@ def token_counts(docs: DataFrame, path: str, limit: int = LIMIT) -> DataFrame:
 
     `fits_chars` is the number of characters in the longest prefix of at most
     `limit` tokens. A null text counts as empty: no bytes, no tokens. Rows repeat
-    as they do in `docs`; other columns are not read.
+    as they do in `docs`; other columns are not read. Texts of any length are
+    counted whole, with two bytes a character held for one text at a time. An
+    empty table gives no rows.
     """
     counter_of = _shared_counter(docs, path)
 

@@ -260,7 +260,8 @@ def vector_links(
     vectors of their own. `component_id` is the smallest vec_id reachable, null if
     all are null. `slack` is how far beyond the plane between two cells a vector
     may have partners: by default the link distance, which loses none; less makes
-    fewer probes and may lose links.
+    fewer probes and may lose links. Other columns are not read. An empty table
+    gives no rows.
     """
     spark = vectors.sparkSession
     reach = math.sqrt(2 - 2 * least)
