@@ -345,3 +345,16 @@ def test_counted_lines_are_read_in_their_five_columns(spark, paths, tmp_path, mo
     text = plans[0].groupBy("customer_id").agg(F.max("order_date"))._jdf.queryExecution().executedPlan().toString()
     assert "order_line_id" not in text and "payment_status" not in text
     assert ORDER_LINES.names[0] == "order_line_id" and CUSTOMERS.names[0] == "customer_id"
+
+
+def test_dimensions_of_nothing(spark, paths):
+    nothing = customers(spark, 1).limit(0), products(spark, (1, "1.00")).limit(0)
+    for day in (1, 2):
+        dimension, versions = th.run_dimensions(spark, paths, *nothing, DAY, date(2025, 1, day))
+        assert dimension.count() == versions.count() == 0
+    assert spark.table("Dim_Products").count() == 0
+    counts = th.read_published(spark, paths, paths.reject_counts).collect()
+    assert [tuple(r) for r in counts] == [("order_lines", 0, 0), ("products", 0, 0)]
+    empty = spark.createDataFrame([], nothing[1].schema), spark.createDataFrame([], nothing[0].schema)
+    dimension, versions = th.run_dimensions(spark, paths, empty[1], empty[0], DAY, date(2025, 1, 3))
+    assert dimension.count() == versions.count() == 0

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tillhouse import functions as fn
+from tillhouse.metrics import observed
 from tillhouse.operators.ranking import dense_key
 from tillhouse.staging import Staging
 
@@ -238,7 +239,7 @@ def find_changes(
         *[F.count_if(F.col(ACTION) == action).alias(action) for action in ("expired", *INSERTED)],
     )
     marks = staging.save(marked.where("NOT _repeated AND action IS NOT NULL").select(key, ACTION), "marks")
-    counts = counted.get
+    counts = observed(counted, dict.fromkeys([*sides, "expired", *INSERTED], 0))
     for name, df in (("dimension", open_rows), ("snapshot", snapshot)):
         if counts.pop(name):
             repeats = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from tillhouse import storage
+from tillhouse.metrics import observed
 from tillhouse.operators.logistics import avg_delay, delivery_facts
 from tillhouse.operators.orders import flatten_orders, is_unusable_line, unusable_lines
 from tillhouse.operators.rfm import dim_customer
@@ -179,12 +180,13 @@ def _keep_rejects(
     bad = F.col(CORRUPT_COLUMN).isNotNull()
     counted_orders = orders.observe(counted, F.count(F.lit(1)).alias("read"), F.count_if(bad).alias("bad"))
     every = staging.save(counted_orders, "documents")
-    n = counted.get
+    n = observed(counted, NO_ROWS)
     draft.write(paths.rejected_documents, every.where(bad).select(CORRUPT_COLUMN), expected=n["bad"])
     _write_counts(spark, draft, paths, {"documents": (n["read"], n["bad"])})
     return draft.write(paths.staged_orders, every.where(~bad).drop(CORRUPT_COLUMN), expected=n["read"] - n["bad"])
 
 
+NO_ROWS = {"read": 0, "bad": 0}
 COUNTS = StructType(
     [StructField("source", StringType()), StructField("rows_read", LongType()), StructField("rows_rejected", LongType())]
 )
@@ -247,7 +249,8 @@ def run_dimensions(
             merged = scd2_merge(dim, sold, as_of, policy, staging=staging)
             versions = draft.write(paths.dim_products, merged.drop(ACTION), DIM_PRODUCTS)
 
-        counts = {name: (n.get["read"], n.get["bad"]) for name, n in (("order_lines", lines_counted), ("products", sold_counted))}
+        found_rows = {"order_lines": observed(lines_counted, NO_ROWS), "products": observed(sold_counted, NO_ROWS)}
+        counts = {name: (n["read"], n["bad"]) for name, n in found_rows.items()}
         draft.write(paths.rejected_products, quarantine(sold), expected=counts["products"][1])
         draft.write(paths.rejected_lines, unusable_lines(lines), expected=counts["order_lines"][1])
         _write_counts(spark, draft, paths, counts)

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tillhouse import storage
+from tillhouse.metrics import observed
 from tillhouse.schemas import conform, same_columns
 
 VERSION = "version-"
@@ -176,7 +177,7 @@ class Draft:
         written = Observation()
         counted = conform(df, schema).observe(written, F.count(F.lit(1)).alias("n"))
         counted.write.mode("errorifexists").parquet(folder)
-        self._verify(folder, written.get["n"] if expected is None else expected, schema)
+        self._verify(folder, observed(written, {"n": 0})["n"] if expected is None else expected, schema)
         self.written[table] = Table({"": folder})
         return self.spark.read.schema(schema).parquet(folder)
 
@@ -225,7 +226,7 @@ class Draft:
             .partitionBy(BUCKET)
             .parquet(folder)
         )
-        self._verify(folder, written.get["n"], schema)
+        self._verify(folder, observed(written, {"n": 0})["n"], schema)
         made = [n.removeprefix(f"{BUCKET}=") for n in storage.child_names(self.spark, folder) if n.startswith(f"{BUCKET}=")]
         self.written[table] = Table(before.folders | {b: f"{folder}/{BUCKET}={b}" for b in made}, size)
         return self._stored(self.written[table].paths, schema)

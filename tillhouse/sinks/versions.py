@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tillhouse import storage
+from tillhouse.metrics import observed
 from tillhouse.schemas import conform, same_columns
 
 PREFIX = "version-"
@@ -65,7 +66,7 @@ class VersionedTable:
             .write.mode("errorifexists")
             .parquet(folder)
         )
-        self._verify(folder, written.get["n"])
+        self._verify(folder, observed(written, {"n": 0})["n"])
         return folder
 
     def _verify(self, folder: str, expected: int) -> None:

@@ -18,6 +18,7 @@ from pyspark.sql.types import (
     VariantType,
 )
 
+from tillhouse.metrics import observed
 from tillhouse.schemas import RAW_ORDERS
 from tillhouse.staging import Staging
 
@@ -100,7 +101,7 @@ def _stored(staging: Staging, documents: DataFrame, parsed: Column) -> DataFrame
     seen = documents.observe(counted, *[F.max(F.when(F.col("refused") == kind, F.col("file"))).alias(kind) for kind in kinds])
     rows = seen.select(F.explode("documents").alias("document")).select(parsed.alias("parsed")).select("parsed.*")
     stored = staging.save(rows, "orders")
-    files = counted.get
+    files = observed(counted, dict.fromkeys(kinds))
     if files["lines"]:
         raise ValueError(f"{files['lines']} holds one document per line; read it without multi_line")
     if files["more"]:
