@@ -1,0 +1,106 @@
+import itertools
+import math
+import random
+
+from tillhouse.llm import boosting
+from tillhouse.llm.boosting import RATE, RIDGE, calibrated, fit
+
+NAMES = ["a", "b", "c", "d"]
+
+
+def plain_probability(model, row):
+    score = model.start
+    for tree in model.trees:
+        yes = row[tree.root]
+        inner = tree.inner[0 if yes else 1]
+        score += tree.leaves[(0 if yes else 2) + (not row[inner])]
+    return 1 / (1 + math.exp(-score))
+
+
+def plain_fit(rows, trees):
+    """Newton steps on all rows: the best root by gain, then the best split on each of its sides."""
+    hits = sum(r["label"] for r in rows)
+    scores = [math.log(hits / (len(rows) - hits))] * len(rows)
+    told = []
+
+    def totals(some):
+        return sum(g for g, _ in some), sum(h for _, h in some)
+
+    def gain(some):
+        g, h = totals(some)
+        return g * g / (h + RIDGE)
+
+    for _ in range(trees):
+        p = [1 / (1 + math.exp(-s)) for s in scores]
+        steps = [(r["label"] - q, q * (1 - q)) for r, q in zip(rows, p)]
+
+        def best(indexes):
+            def both(name):
+                yes = [steps[k] for k in indexes if rows[k][name]]
+                return gain(yes) + gain([steps[k] for k in indexes if not rows[k][name]])
+
+            return max(sorted(NAMES), key=lambda name: round(both(name), 9))
+
+        root = best(range(len(rows)))
+        inner, leaves = [], []
+        for side in (True, False):
+            own = [k for k in range(len(rows)) if rows[k][root] == side]
+            inner.append(best(own))
+            for value in (True, False):
+                leaf = [k for k in own if rows[k][inner[-1]] == value]
+                g, h = totals([steps[k] for k in leaf])
+                leaves.append(RATE * g / (h + RIDGE))
+                for k in leaf:
+                    scores[k] += leaves[-1]
+        told.append((root, tuple(inner), leaves))
+    return told
+
+
+def table(n=400):
+    rng = random.Random(7)
+    rows = []
+    for _ in range(n):
+        row = {name: rng.random() < share for name, share in zip(NAMES, (0.5, 0.3, 0.6, 0.2))}
+        chance = 0.9 if row["a"] and not row["b"] else 0.7 if row["d"] and row["c"] else 0.1
+        rows.append(row | {"label": rng.random() < chance})
+    return rows
+
+
+def test_trees_by_newton_steps_over_all_rows(spark):
+    rows = table()
+    model = fit(spark.createDataFrame(rows), NAMES, "label", 4)
+    for tree, (root, inner, leaves) in zip(model.trees, plain_fit(rows, 4), strict=True):
+        assert (tree.root, tree.inner) == (root, inner)
+        assert all(math.isclose(a, b, abs_tol=1e-9) for a, b in zip(tree.leaves, leaves))
+
+
+def test_probabilities_as_expressions(spark):
+    model = fit(spark.createDataFrame(table()), NAMES, "label")
+    every = [dict(zip(NAMES, values)) for values in itertools.product([True, False], repeat=4)]
+    from pyspark.sql import functions as F
+
+    got = spark.createDataFrame(every).withColumn("p", model.probability(F.col)).collect()
+    assert all(math.isclose(r.p, plain_probability(model, r.asDict()), rel_tol=1e-12) for r in got)
+
+
+def test_the_threshold_reaches_the_precision_and_is_the_least(spark):
+    rows = table(2000)
+    model = fit(spark.createDataFrame(rows[:1000]), NAMES, "label")
+    for precision in (0.5, 0.8, 0.85):
+        found = calibrated(model, spark.createDataFrame(rows[1000:]), "label", precision).threshold
+        scored = sorted(((plain_probability(model, r), r["label"]) for r in rows[1000:]), reverse=True)
+
+        def precise(least):
+            chosen = [label for p, label in scored if math.floor(p * 1000) / 1000 >= least]
+            return not chosen or sum(chosen) >= precision * len(chosen)
+
+        assert precise(found)
+        lower = [math.floor(p * 1000) / 1000 for p, _ in scored if math.floor(p * 1000) / 1000 < found]
+        assert not lower or not precise(max(lower))
+
+
+def test_one_class_alone_gives_a_constant(spark):
+    rows = [r | {"label": False} for r in table(20)]
+    model = fit(spark.createDataFrame(rows), NAMES, "label")
+    assert model.trees == () and model.start < 0
+    assert boosting.calibrated(model, spark.createDataFrame(rows), "label", 0.9).threshold == 2.0
