@@ -72,15 +72,21 @@ NEVER = 10**6
 END = with_inserts([0, NEVER, NEVER, 0])
 
 
+def own_edits(state: int, code: int) -> list[tuple[int, str, int]]:
+    """What can be done with a row: cost, letter and the state after it."""
+    found = [(DELETE, "D", state)]
+    if code != DELETED:
+        more = TRUNCATED if code % 2 else 0
+        found.append((RENAME + more, "R", NEXT[state]))
+        kept = kept_state(state, code)
+        if kept is not None:
+            found.append((more, "K", kept))
+    return found
+
+
 def costs_before(vector: tuple | list, code: int) -> tuple[int, ...]:
-    """The costs before a row that need not be deleted, given those after it."""
-    more = TRUNCATED if code % 2 else 0
-    costs = []
-    for state in range(4):
-        best = min(DELETE + vector[state], RENAME + more + vector[NEXT[state]])
-        after = kept_state(state, code)
-        costs.append(best if after is None else min(best, more + vector[after]))
-    return with_inserts(costs)
+    """The costs before a row, given those after it."""
+    return with_inserts([min(cost + vector[to] for cost, _, to in own_edits(state, code)) for state in range(4)])
 
 
 class Costs:
@@ -136,38 +142,28 @@ def transfer(codes: bytes) -> list[int]:
 def least_edit(state: int, code: int | None, here: tuple, after: tuple | None) -> tuple[str, int]:
     """The least letter among the cheapest edits, and the state that it leads to.
 
-    `here` and `after` are costs before and after the row, each less a constant,
-    so costs are compared through the edit that is sure to be possible.
+    `here` and `after` are the costs before and after the row, each less a
+    constant. Without a row, what is missing is inserted.
     """
-    options: list[tuple[int, str, int]] = []
-    if code is not None:
-        options.append((DELETE + after[state], "D", state))
-        if code != DELETED:
-            more = TRUNCATED if code % 2 else 0
-            kept = kept_state(state, code)
-            if kept is not None:
-                options.append((more + after[kept], "K", kept))
-            options.append((RENAME + more + after[NEXT[state]], "R", NEXT[state]))
-    if code == DELETED:
-        return "D", state
-    # Costs before this row in the scale of `after`: any state's cheapest edit fixes the constant.
-    scale = _scale(code, here, after) if code is not None else 0
-    options.append((INSERT + here[NEXT[state]] + scale, "I", NEXT[state]))
+    insert = ("I", NEXT[state])
+    if code is None:
+        return insert
+    options = [(cost + after[to], letter, to) for cost, letter, to in own_edits(state, code)]
+    if code != DELETED:
+        options.append((INSERT + here[NEXT[state]] + _shift(code, here, after), *insert))
     least = min(cost for cost, _, _ in options)
     return min((letter, to) for cost, letter, to in options if cost == least)
 
 
-def _scale(code: int, here: tuple, after: tuple) -> int:
-    """What to add to `here` so that both vectors count from the same zero."""
-    more = TRUNCATED if code % 2 else 0
+def _shift(code: int, here: tuple, after: tuple) -> int:
+    """What to add to `here` so that both vectors count from the same zero.
+
+    From some state no insert comes first; there the row's own edits are the cost.
+    """
     for state in range(4):
-        kept = kept_state(state, code)
-        costs = [DELETE + after[state], RENAME + more + after[NEXT[state]]]
-        costs += [] if kept is None else [more + after[kept]]
-        # Without an insert first the cheapest edit of the row is the cost itself.
         if here[state] < INSERT + here[NEXT[state]]:
-            return min(costs) - here[state]
-    raise AssertionError("some state's cheapest edit is no insert")
+            return min(cost + after[to] for cost, _, to in own_edits(state, code)) - here[state]
+    raise AssertionError("the state with the least cost needs no insert")
 
 
 class Tracer:
