@@ -85,3 +85,62 @@ def test_the_sample_is_bounded_whatever_the_documents(documents):
         n = sampled_paragraphs(documents(texts), 3000).count()
         lines = sum(t.count("\n") + 1 for t in texts if t)
         assert (2700 <= n <= 3300) if lines > 3000 else n == 2
+
+
+def test_training_reads_every_paragraph(spark, documents):
+    from tillhouse.staging import Staging
+
+    saved = {}
+
+    class Watched(Staging):
+        def save(self, df, name, partition_by=None):
+            saved[name] = super().save(df, name, partition_by)
+            return saved[name]
+
+    lines = [[f"the work {k} of document {d} and the rest" for k in range(20)] for d in range(400)]
+    texts = ["\n".join([*some, "", "Released under the MIT License."]) for some in lines]
+    with Watched(spark) as area:
+        classifier = train(documents(texts), area)
+        assert saved["unknown"].count() == 400 * 20
+    assert found(documents([texts[0]]), classifier) == [(0, 21, "MIT")]
+
+
+def test_paragraphs_like_a_template_are_those_of_the_similarity(documents, odd_texts):
+    from pyspark.sql import functions as F
+
+    from tillhouse.llm.license_scan import _corpus_paragraphs, _with_similarity, paragraphs, word_list
+
+    texts = [*odd_texts, *CLEAN, "The licence, the License; version 2\r\nThe  CAT on\u00a0the mat_the", "Released under\nthe MIT License."]
+    texts += ["Released under the MIT License", "MIT License here, not released", "under the terms of the gnu general public license as such"]
+    docs = documents(texts)
+    got = sorted(r.words for r in _corpus_paragraphs(docs).collect())
+    worded = paragraphs(docs).withColumn("words", word_list(F.col("paragraph")))
+    per_family = [_with_similarity(worded.withColumn("family", F.lit(family))) for family in TEMPLATES]
+    alike = {(r.doc_id, r.place) for rows in per_family for r in rows.where("similarity >= 0.6").collect()}
+    assert got == sorted(r.words for r in worded.collect() if (r.doc_id, r.place) not in alike)
+    assert alike
+
+
+def test_rows_left_out_before_scoring_are_unknown(spark, classifier):
+    from dataclasses import replace
+
+    from pyspark.sql import functions as F
+
+    from tillhouse.llm.license_scan import word_list
+
+    texts = [*CLEAN, *(notice for some in TEMPLATES.values() for notice in some), "under the version of the", "no warranty"]
+    rows = spark.createDataFrame([(text,) for text in texts], "text string").select(word_list(F.col("text")).alias("words"))
+    whole = replace(classifier, families=("none of them", *classifier.families[1:]))
+    kinds = [c.scored(rows, "words").where(F.col("family") != c.families[0]).collect() for c in (classifier, whole)]
+    assert classifier._telling() and whole._telling() is None
+    assert sorted(map(str, kinds[0])) == sorted(map(str, kinds[1])) and kinds[0]
+
+
+def test_the_least_probability_is_exact_over_many_rows(spark):
+    from tillhouse.llm.license_scan import _exceeded_by
+
+    values = [(k * 7919 % 10_007) / 10_007 for k in range(20_000)]
+    rows = spark.createDataFrame([(v,) for v in values], "probability double")
+    for few in (0, 1, 19, 5_000, 19_999):
+        assert _exceeded_by(rows, few) == sorted(values, reverse=True)[few]
+    assert _exceeded_by(rows, 20_000) == 0.0

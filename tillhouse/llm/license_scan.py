@@ -2,7 +2,7 @@
 
 A paragraph's words and word pairs are its features. Multinomial logistic
 regression with an L1 penalty learns the families from templates and the unknown
-class from paragraphs of the corpus; the penalty leaves few weights, and a
+class from all paragraphs of the corpus; the penalty leaves few weights, and a
 paragraph with none of those n-grams is unknown without further work. The
 probability that a prediction needs is set so that few corpus paragraphs pass,
 and a prediction stands only if the paragraph's word runs are mostly those of
@@ -20,10 +20,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillhouse.llm.license_templates import TEMPLATES
+from tillhouse.operators.selection import select_places
 from tillhouse.staging import Staging
 
 UNKNOWN = "unknown"
-SAMPLE_PARAGRAPHS = 3000
 VOCABULARY = 8192
 PENALTY = 0.002
 ROUNDS = 60
@@ -31,10 +31,12 @@ FALSE_SHARE = 0.001
 LEAST_PROBABILITY = 0.5
 LEAST_SIMILARITY = 0.6
 RUN = 3
+COMMON = frozenset("a an and as at be by for in is it of on or that the this to with".split())
 
 
 def word_list(text: Column) -> Column:
-    return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+    # The plain ranges say nothing new, but are looked up faster.
+    return F.array_remove(F.split(F.lower(text), r"[^a-z0-9\p{L}\p{N}]+"), "")
 
 
 def _runs(words: Column, n: int) -> Column:
@@ -68,6 +70,7 @@ def paragraphs(docs: DataFrame) -> DataFrame:
 def sampled_paragraphs(docs: DataFrame, sample: int) -> DataFrame:
     """About `sample` lines of the corpus, those without a letter or digit left out: a number `place` and the `paragraph`.
 
+    For looking at some lines of a corpus; training reads all of them.
     Each line is chosen for itself, by a hash of document and line against the
     number of all lines, so no document, however long, and no copies of one can
     make the sample much larger.
@@ -92,17 +95,44 @@ class Classifier:
     weights: dict[str, tuple[float, ...]]
     least_probability: float = LEAST_PROBABILITY
 
+    def _telling(self) -> list[str] | None:
+        """N-grams of which a paragraph with a family has one; None if there may be a family without any.
+
+        Those left out, common words and small weights first, speak for a family
+        too, but all of them together less than the intercepts for the unknown class.
+        """
+        if UNKNOWN not in self.families:
+            return None
+        unknown = self.families.index(UNKNOWN)
+        others = [k for k in range(len(self.families)) if k != unknown]
+        room = 0.999 * (self.intercepts[unknown] - max(self.intercepts[k] for k in others))
+        gains = {gram: max(row[k] for k in others) - row[unknown] for gram, row in self.weights.items()}
+        telling = []
+        for gram in sorted(gains, key=lambda g: (not COMMON.issuperset(g.split(" ")), gains[g], g)):
+            if 0 < gains[gram] < room:
+                room -= gains[gram]
+            elif gains[gram] > 0:
+                telling.append(gram)
+        return telling if room > 0 else None
+
     def scored(self, rows: DataFrame, words: str) -> DataFrame:
-        """`rows` that have a weighted n-gram, with `family` and `probability`; the others are unknown."""
-        grams, n = sorted(self.weights), len(self.families)
-        index = _constant(grams)
-        flat = _constant([repr(w) for g in grams for w in self.weights[g]]).cast("array<double>")
+        """`rows` that may have a family, with `family` and `probability`; the others are unknown.
+
+        Left out are those without a weighted n-gram, and, before their n-grams
+        are made, those without a word of the n-grams that a family needs.
+        """
+        weighted, n = sorted(self.weights), len(self.families)
+        index = _constant(weighted)
+        flat = _constant([repr(w) for g in weighted for w in self.weights[g]]).cast("array<double>")
         start = _constant([repr(w) for w in self.intercepts]).cast("array<double>")
 
         def add(scores: Column, gram: Column) -> Column:
             row = F.slice(flat, (F.array_position(index, gram).cast("int") - 1) * n + 1, n)
             return F.zip_with(scores, row, lambda a, b: a + b)
 
+        telling = self._telling()
+        if telling is not None:
+            rows = rows.where(F.arrays_overlap(F.col(words), _constant(_marks(telling))))
         found = computed(rows, "__met", F.array_intersect(features(F.col(words)), index)).where(F.size("__met") > 0)
         found = computed(found, "__scores", F.aggregate("__met", start, add))
         found = found.withColumn("__top", F.array_max("__scores"))
@@ -134,8 +164,7 @@ def _notices(spark: SparkSession) -> DataFrame:
     rows = []
     for family, notices in TEMPLATES.items():
         for notice in notices:
-            said = _plain_words(notice)
-            rows.append((family, sorted({" ".join(said[k : k + RUN]) for k in range(max(1, len(said) - RUN + 1))})))
+            rows.append((family, sorted(_word_runs(_plain_words(notice)))))
     return spark.createDataFrame(rows, "family string, own array<string>")
 
 
@@ -151,44 +180,72 @@ def _with_similarity(predicted: DataFrame) -> DataFrame:
     return met.withColumn("similarity", F.coalesce(F.array_max(shares), F.lit(0.0)))
 
 
-def _unlike_templates(rows: DataFrame) -> DataFrame:
-    """The rows (`place`, `words`) that share too few word runs with any template."""
-    runs = with_runs(rows)
-    by_run = _notices(rows.sparkSession).select(F.explode("own").alias("run"), "own")
-    met = runs.select("place", "runs", F.explode("runs").alias("run")).join(F.broadcast(by_run), "run")
-    alike = (
-        met.groupBy("place", "runs", "own")
-        .agg(F.count("*").alias("shared"))
-        .where(_share(F.col("shared"), F.col("runs"), F.col("own")) >= LEAST_SIMILARITY)
-    )
-    return rows.join(alike.select("place").distinct(), "place", "left_anti")
-
-
 def _plain_words(text: str) -> list[str]:
     return "".join(c if c.isalnum() else " " for c in text.lower()).split()
 
 
-def train(docs: DataFrame, staging: Staging, sample: int = SAMPLE_PARAGRAPHS) -> Classifier:
-    """Fits on the templates and about `sample` paragraphs of the corpus, chosen by a hash of document and place.
+def _word_runs(words: list[str]) -> set[str]:
+    """What `with_runs` gives for a list of words."""
+    return {" ".join(words[k : k + RUN]) for k in range(max(1, len(words) - RUN + 1))}
+
+
+def _like_a_template(words: Column) -> Column:
+    """Whether one template shares as many of its word runs, or of the paragraph's, as `LEAST_SIMILARITY` asks for.
+
+    A shared run brings its marking word along, so most paragraphs need no runs.
+    Runs of common words alone are less than that share of any template, and of
+    any paragraph but a very short one.
+    """
+    notices = [_word_runs(_plain_words(notice)) for some in TEMPLATES.values() for notice in some]
+    every = sorted(set().union(*notices))
+    marked = [run for run in every if not COMMON.issuperset(run.split(" "))]
+    owned = F.array(*[_constant(sorted(own)) for own in notices])
+
+    def alike(runs: Column) -> Column:
+        shares = F.transform(owned, lambda own: _share(F.size(F.array_intersect(runs, own)), runs, own))
+        return F.when(F.arrays_overlap(runs, _constant(every)), F.array_max(shares) >= LEAST_SIMILARITY)
+
+    met = F.transform(F.array(F.array_distinct(_runs(words, RUN))), alike)[0]
+    return F.coalesce(F.when((F.size(words) <= 2 * RUN) | F.arrays_overlap(words, _constant(_marks(marked))), met), F.lit(False))
+
+
+def _marks(grams: list[str]) -> list[str]:
+    """Words of which every one of the n-grams has one, none of them common unless all of an n-gram's are."""
+    return sorted({max(gram.split(" "), key=lambda word: (word not in COMMON, len(word))) for gram in grams})
+
+
+def _corpus_paragraphs(docs: DataFrame) -> DataFrame:
+    """All paragraphs unlike every template: `line`, a hash of document, place and text, and their `words`."""
+    worded = computed(paragraphs(docs), "words", word_list(F.col("paragraph")))
+    line = F.xxhash64("doc_id", "place", "paragraph").alias("line")
+    return worded.where(~_like_a_template(F.col("words"))).select(line, "words")
+
+
+def train(docs: DataFrame, staging: Staging) -> Classifier:
+    """Fits on the templates and on all paragraphs of the corpus, as vectors over the templates' n-grams.
 
     Paragraphs like a template are not taken for unknown ones. Every fourth
-    corpus paragraph is kept to set the least probability.
+    corpus paragraph, by a hash of document and place, is held out of the fit;
+    these set the least probability.
     """
     spark = docs.sparkSession
-    some = computed(sampled_paragraphs(docs, sample), "words", word_list(F.col("paragraph"))).select("place", "words")
-    templates = _template_rows(spark)
-    some = staging.save(some, "sample")
-    unknown = staging.save(_unlike_templates(some).select("place", "words", F.lit(UNKNOWN).alias("family")), "unknown")
-    known = templates.select("family", features(F.col("words")).alias("grams"))
-    seen = unknown.where("place % 4 <> 0").select("family", features(F.col("words")).alias("grams"))
+    known = _template_rows(spark).select("family", features(F.col("words")).alias("grams"))
     families = (UNKNOWN, *TEMPLATES)
     number = F.array_position(_constant(families), F.col("family")) - 1
     counter = CountVectorizer(inputCol="grams", outputCol="vector", vocabSize=VOCABULARY, binary=True).fit(known)
-    # Templates weigh as much as the sample, however many paragraphs that has.
+    fits = F.col("line") % 4 != 0
+    grams = F.when(fits, features(F.col("words"))).otherwise(F.array().cast("array<string>"))
+    read = _corpus_paragraphs(docs).select("line", F.when(~fits, F.col("words")).alias("words"), grams.alias("grams"))
+    unknown = staging.save(counter.transform(read).drop("grams"), "unknown")
+    seen = unknown.where(fits)
+    # Templates weigh as much as the corpus, however many paragraphs that has.
     n_known, n_seen = known.count(), seen.count()
-    weight = F.when(F.col("family") == UNKNOWN, F.lit(1.0)).otherwise(F.lit(max(1.0, n_seen / n_known)))
-    table = counter.transform(known.union(seen)).select(
-        "vector", number.cast("double").alias("label"), weight.alias("weight")
+    # Equal vectors are one row with their number as weight.
+    alike = staging.save(seen.groupBy("vector").agg(F.count(F.lit(1)).cast("double").alias("weight")), "vectors")
+    table = (
+        counter.transform(known)
+        .select("vector", number.cast("double").alias("label"), F.lit(max(1.0, n_seen / n_known)).alias("weight"))
+        .union(alike.select("vector", F.lit(float(families.index(UNKNOWN))), "weight"))
     )
     fitted = LogisticRegression(
         featuresCol="vector", labelCol="label", weightCol="weight", family="multinomial",
@@ -202,16 +259,22 @@ def train(docs: DataFrame, staging: Staging, sample: int = SAMPLE_PARAGRAPHS) ->
         tuple(float(fitted.interceptVector[k]) for k in present),
         {counter.vocabulary[k]: tuple(float(matrix[c, k]) for c in present) for k in held},
     )
-    test = unknown.where("place % 4 = 0").drop("family")
+    test = unknown.where(~fits).select("words")
     passed = classifier.scored(test, "words").where(F.col("family") != UNKNOWN)
-    kept = test.count()
-    # The probability that only a thousandth of the kept paragraphs exceed.
-    highest = passed.orderBy(F.desc("probability")).select("probability").limit(1 + math.floor(FALSE_SHARE * kept)).collect()
-    beyond = highest[-1]["probability"] if len(highest) > math.floor(FALSE_SHARE * kept) else 0.0
+    beyond = _exceeded_by(staging.save(passed.select("probability"), "passed"), math.floor(FALSE_SHARE * test.count()))
     least = min(max(LEAST_PROBABILITY, beyond), 0.99)
     return Classifier(classifier.families, classifier.intercepts, classifier.weights, least)
 
 
+def _exceeded_by(passed: DataFrame, few: int) -> float:
+    """The largest probability that at most `few` rows exceed; 0 if there are no more rows than that."""
+    total = passed.count()
+    if total <= few:
+        return 0.0
+    key = F.struct(F.col("probability").alias("value"))
+    return select_places(passed, [key], ["value"], [(0, total - few)], total)[0]["value"]
+
+
 def find_licences(docs: DataFrame, classifier: Classifier) -> DataFrame:
     """`doc_id`, `place`, `family`, `probability`, `similarity`, `confirmed`: a row for each paragraph predicted to be a notice.
 
