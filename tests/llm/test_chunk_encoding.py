@@ -104,3 +104,18 @@ def test_white_space_is_what_the_library_takes_for_it(separator):
     encoder = chunk_encoding.Encoder(chunk_encoding.read_file(PATH))
     text = f"two{separator}Words{separator}{separator}'s 1{separator}2 {separator}x."
     assert encoder.encode(text) == np.array(LIBRARY.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+def test_ids_move_in_as_few_bytes_as_the_vocabulary_needs():
+    from array import array
+    from pathlib import Path
+
+    import public_tokenizers
+
+    from tillhouse.llm.chunk_encoding import Encoder
+
+    encoder = Encoder(Path(public_tokenizers.path("word_bpe_49k.json")).read_text())
+    ids = array("I", [0, 1, 255, 256, len(encoder.names) - 1]).tobytes()
+    assert len(encoder.packed(ids)) == len(ids) // 2
+    assert encoder.unpacked(encoder.packed(ids)) == ids
+    assert encoder.unpacked(encoder.packed(b"")) == b""

@@ -38,7 +38,7 @@ LEAST, MOST = 256, 8192
 CACHE_BYTES = 48 << 20
 ENTRY_BYTES = 200
 LONG_PIECE = 64
-ID = np.dtype("<u4")
+ID, SHORT_ID = np.dtype("<u4"), np.dtype("<u2")
 ANCHOR = re.compile("[ \n]")
 GEAR = np.random.default_rng(7).integers(0, 1 << 32, 256, dtype=np.uint32)
 
@@ -118,6 +118,7 @@ class Encoder:
         self.merge = library.model.tokenize
         self.known = KnownWords(self._ids_of)
         size = library.get_vocab_size(with_added_tokens=True)
+        self.moved = SHORT_ID if size <= 1 << 16 else ID
         self.joins_tokens = json.loads(source)["decoder"] is None
         self.names = [library.id_to_token(k) or "" for k in range(size)]
         self.numerals = [str(k) for k in range(size)]
@@ -147,6 +148,13 @@ class Encoder:
         """The ids of each stretch, four bytes each."""
         return [self.encode(stretch) for stretch in stretches]
 
+    def packed(self, ids: bytes) -> bytes:
+        """The ids in as few bytes as the vocabulary needs, for the way to other rows."""
+        return np.frombuffer(ids, ID).astype(self.moved).tobytes()
+
+    def unpacked(self, moved: bytes) -> bytes:
+        return np.frombuffer(moved, self.moved).astype(ID).tobytes()
+
     def decode(self, ids: list[int]) -> str:
         if self.joins_tokens:
             return " ".join(map(self.names.__getitem__, ids))
@@ -234,7 +242,7 @@ def _cut_rows(source, digests: bool):
     """Encodes what each row has to encode itself.
 
     A row without borrowed chunks gives its result; any other gives the ids
-    around its holes. A row that owns shared chunks gives those as well.
+    around its holes, packed. A row that owns shared chunks gives those as well.
     """
     arrow_schema = pa.schema(
         [
@@ -289,7 +297,7 @@ def _cut_rows(source, digests: bool):
                 encoded[k] = ids
             for doc_id, holes, first, end, owned in plans:
                 for k, high, low in owned:
-                    rows.append({"own": True, "high": high, "low": low, "ids": encoded[k]})
+                    rows.append({"own": True, "high": high, "low": low, "ids": encoder.packed(encoded[k])})
                 if holes:
                     parts = [b""]
                     for k in range(first, end):
@@ -297,7 +305,8 @@ def _cut_rows(source, digests: bool):
                             parts.append(b"")
                         else:
                             parts[-1] += encoded[k]
-                    rows.append({"doc_id": doc_id, "own": False, "parts": parts, "holes": holes})
+                    packed = [encoder.packed(part) for part in parts]
+                    rows.append({"doc_id": doc_id, "own": False, "parts": packed, "holes": holes})
                 else:
                     rows.append({"doc_id": doc_id, "own": False} | _result(encoder, b"".join(encoded[first:end]), digests))
             for at in range(0, len(rows), 2000):
@@ -337,7 +346,7 @@ def _filled(holed: DataFrame, owned: DataFrame, source, digests: bool) -> DataFr
                 pieces = [parts[0]]
                 for middle, part in zip(middles, parts[1:], strict=True):
                     pieces += [middle["ids"], part]
-                result = _result(encoder, b"".join(pieces), digests)
+                result = _result(encoder, encoder.unpacked(b"".join(pieces)), digests)
                 for name in ("ids", "n_tokens", "ids_sha256", "decoded_sha256"):
                     out[name].append(result.get(name))
             return out
