@@ -123,3 +123,41 @@ def test_ids_beyond_32_bits(spark):
     )
     rows = {r.customer_id: r.RFM_Score for r in th.dim_customer(customers, lines, DAY).collect()}
     assert rows[6_000_000_000] is not None and rows[6_000_000_002] is None
+
+
+def test_eight_places_are_summed_as_longs(spark):
+    """Amounts with up to eight places leave the decimal sum, whatever their size within the bounds, without a change."""
+    from decimal import Decimal
+
+    from pyspark.sql import functions as F
+
+    from tillhouse import functions as fn
+    from tillhouse.functions import columns
+
+    prices = [0.00000123, 104949.50000369, 999999.99999999, 1000000.5, 1e9 + 0.25, 0.123456789, -0.00000001, -5.5, 0.0, 7.0, None]
+    quantities = [1, 3, 89_999, 90_000, 2**40 // 7, -50, 0, None]
+    rows = [(q, p) for q in quantities for p in prices]
+    lines = spark.createDataFrame(rows, "q long, p double")
+    total, longs = lines.agg(
+        fn.sum_amount(F.col("q"), F.col("p")).alias("total"), F.sum(fn.line_amount(F.col("q"), F.col("p"))).alias("plain")
+    ).first()
+    want = sum(q * Decimal(repr(p)) for q, p in rows if q is not None and p is not None and abs(q) < 10**11)
+    assert total == longs == want
+    # Such prices are whole numbers of units, so no decimals are made of them.
+    assert all(round(p * columns.PRICE_UNIT) / columns.PRICE_UNIT == p for p in prices[:3])
+
+
+def test_unusable_numbers_at_the_bounds(spark):
+    from pyspark.sql import functions as F
+
+    from tillhouse import functions as fn
+    from tillhouse.functions.columns import exact_price
+
+    prices = [0.0, 1e15, -1e15, 9.9e15, 1e16, -1e16, 1e300, float("nan"), float("inf"), -float("inf"), None]
+    quantities = [0, 10**10, 10**11 - 1, 10**11, -(10**11), 2**63 - 1, -(2**63), None]
+    lines = spark.createDataFrame([(q, p) for q in quantities for p in prices], "q long, p double")
+    q, p = F.col("q"), F.col("p")
+    plain = (p.isNotNull() & exact_price(p).isNull()) | (q.isNotNull() & q.try_cast("decimal(11,0)").isNull())
+    rows = lines.select(fn.is_unusable(q, p).alias("got"), plain.alias("want")).collect()
+    assert [r.got for r in rows] == [r.want for r in rows]
+    assert {r.got for r in rows} == {True, False}

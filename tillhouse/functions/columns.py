@@ -12,10 +12,12 @@ from pyspark.sql.types import DataType, DateType, DecimalType, TimestampNTZType,
 MS_PER_DAY = 86_400_000
 PRICE, QUANTITY, MONEY = "decimal(26,10)", "decimal(11,0)", "decimal(38,10)"
 ADDEND = "decimal(37,10)"  # two of these add up without losing a place
-# Amounts below these bounds, in units of the fourth decimal place, fit in a long.
-PRICE_UNIT = 10_000
-PLAIN_PRICE, PLAIN_QUANTITY = 10**9, 10**5
+# Amounts below these bounds, in units of the eighth decimal place, fit in a long.
+PRICE_UNIT = 10**8
+PLAIN_PRICE, PLAIN_QUANTITY = 10**6, 9 * 10**4
 HALF_BITS = 20
+# Numbers within these bounds have an exact form.
+SURE_PRICE, SURE_QUANTITY = 10**15, 10**10
 
 
 def order_line_id(order_id: Column, product_id: Column) -> Column:
@@ -35,18 +37,22 @@ def line_amount(quantity: Column, unit_price: Column) -> Column:
 
 def is_unusable(quantity: Column, unit_price: Column) -> Column:
     """A quantity or price is given but is not finite, or too large to be counted exactly."""
-    price_lost = unit_price.isNotNull() & exact_price(unit_price).isNull()
-    return price_lost | (quantity.isNotNull() & quantity.try_cast(QUANTITY).isNull())
+    # Few rows need the conversions that decide.
+    price_lost = F.when(unit_price.between(-SURE_PRICE, SURE_PRICE), False).otherwise(unit_price.isNotNull() & exact_price(unit_price).isNull())
+    amount_lost = F.when(quantity.between(-SURE_QUANTITY, SURE_QUANTITY), False).otherwise(
+        quantity.isNotNull() & quantity.try_cast(QUANTITY).isNull()
+    )
+    return price_lost | amount_lost
 
 
 def sum_amount(quantity: Column, unit_price: Column) -> Column:
     """Exact total of the line amounts, whatever order the rows are added in.
 
-    Most prices have four places at most. Their amounts are summed as two longs,
+    Most prices have eight places at most. Their amounts are summed as two longs,
     high and low bits, since decimal buffers would double the cost and one long
     could overflow in a very large group. All others are summed as decimals.
     """
-    scaled = F.round(unit_price * PRICE_UNIT)
+    scaled = F.rint(unit_price * PRICE_UNIT)
     plain = (F.abs(unit_price) < PLAIN_PRICE) & (F.abs(quantity) < PLAIN_QUANTITY) & (scaled / PRICE_UNIT == unit_price)
     units = F.when(plain, quantity * F.when(plain, scaled).cast("bigint"))
     high = F.sum(F.shiftright(units, HALF_BITS)).cast("decimal(20,0)")
